@@ -1,13 +1,29 @@
-"""Registered queries (key -> (spark, sf_dir) -> DataFrame) and oracles."""
+"""Registered queries (key -> (spark, sf_dir) -> DataFrame) and their oracles.
+
+Every query derives the flight view from the tables of ``sf_dir`` and runs
+over the whole table.  Oracle texts are DuckDB SQL (see ``oracle.py``).
+"""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.operators import prep
+from tarmac.functions.metrics import clipped_mean, rate, stable_round
+from tarmac.functions.text import cause_label, fmt_duration, map_values
+from tarmac.operators import prep, profile, volumes
+from tarmac.operators.baseline import join_baseline, rank_in_group
+from tarmac.operators.topk import ordered_list, rank_rows, top_k_per_group
 from tarmac.plans import oracle as O
 from tarmac.plans import reports as R
+from tarmac.plans import runlog as RL
+from tarmac.schema import CAUSES, TARGET_COLUMNS
+from tarmac.session import checkpoint_dir
+from tarmac.sources.catalog import register_table, run_sql_file
 from tarmac.sources.flightview import flights_raw
+from tarmac.sources.io import read_clean
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -27,16 +43,478 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.clean(flights_raw(spark, sf_dir))
 
 
-@register("q1_carrier_stats", O.with_flights(O.Q1))
+W = O.with_flights
+RAW_COLS = ("year, month, fl_date, op_unique_carrier, op_carrier_fl_num, origin, dest, "
+            "dep_delay, arr_delay, cancelled, diverted, cancellation_code, carrier_delay, "
+            "weather_delay, nas_delay, security_delay, late_aircraft_delay")
+_DUCK_NOT_OUTLIER = ("NOT coalesce(dep_delay < -30 OR dep_delay > 1440, false) "
+                     "AND NOT coalesce(arr_delay < -30 OR arr_delay > 1440, false)")
+
+# ------------------------------------------------------------------ reports
+@register("q1_carrier_stats", W(O.Q1))
 def q1_carrier_stats(spark, sf_dir):
     return R.carrier_stats(flights(spark, sf_dir))
 
 
-@register("q2_report", O.with_flights(O.Q2, O.CAUSE_UNION))
+@register("q2_report", W(O.Q2, O.CAUSE_UNION))
 def q2_report(spark, sf_dir):
     return R.airport_month_report(flights(spark, sf_dir))
 
 
-@register("q3_anomaly_rank", O.with_flights("SELECT * FROM q3", O.Q3_CTES))
+@register("q3_anomaly_rank", W("SELECT * FROM q3", O.Q3_CTES))
 def q3_anomaly_rank(spark, sf_dir):
     return R.carrier_vs_airport(flights(spark, sf_dir))
+
+
+@register("q1_rate_scale_1", W(O.Q1.replace(O.cancel_rate_sql(2), O.cancel_rate_sql(1))))
+def q1_rate_scale_1(spark, sf_dir):
+    """Q1 with the SQL form's one-decimal cancellation rate."""
+    return R.carrier_stats(flights(spark, sf_dir), rate_scale=1)
+
+
+# ------------------------------------------------------- scans and cleaning
+_scan_cache: dict = {}
+
+
+@register("scan_clean", W("SELECT * FROM flights"))
+def scan_clean(spark, sf_dir):
+    """S8 + S2: the clean table written as Parquet to the checkpoint folder,
+    read back with schema merging."""
+    key = (id(spark), sf_dir)
+    if key not in _scan_cache:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/clean_{abs(hash(sf_dir))}"
+        flights(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _scan_cache[key] = path
+    return read_clean(spark, _scan_cache[key], merge_schema=True)
+
+
+@register("clean_drop_corrupt", W(f"SELECT {RAW_COLS} FROM raw_ok"))
+def clean_drop_corrupt(spark, sf_dir):
+    return prep.drop_corrupt(flights_raw(spark, sf_dir))
+
+
+@register("clean_parse_date", W(
+    "SELECT " + RAW_COLS.replace("fl_date,", "CAST(fl_date AS TIMESTAMP) AS fl_date,")
+    + " FROM flights_raw"))
+def clean_parse_date(spark, sf_dir):
+    return prep.parse_date(flights_raw(spark, sf_dir), "fl_date")
+
+
+_CAUSE_LIST = ", ".join(CAUSES)
+
+
+@register("clean_coerce", W(
+    "SELECT origin, month, " + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in CAUSES)
+    + " FROM flights_raw"))
+def clean_coerce(spark, sf_dir):
+    raw = flights_raw(spark, sf_dir).select("origin", "month", *CAUSES)
+    return prep.coerce_numeric(raw, list(CAUSES))
+
+
+@register("clean_impute_causes", W(
+    "SELECT origin, month, "
+    + ", ".join(f"CAST(coalesce(TRY_CAST({c} AS DOUBLE), 0) AS BIGINT) AS {c}" for c in CAUSES)
+    + " FROM flights_raw"))
+def clean_impute_causes(spark, sf_dir):
+    raw = flights_raw(spark, sf_dir).select("origin", "month", *CAUSES)
+    return prep.impute_causes(raw)
+
+
+@register("clean_drop_outliers", W(f"SELECT {RAW_COLS} FROM flights_raw WHERE {_DUCK_NOT_OUTLIER}"))
+def clean_drop_outliers(spark, sf_dir):
+    return prep.drop_outliers(flights_raw(spark, sf_dir))
+
+
+@register("clean_pipeline", W("SELECT * FROM flights"))
+def clean_pipeline(spark, sf_dir):
+    return flights(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ profiles
+def _clean_steps():
+    return {"drop_corrupt": ~F.coalesce(prep.corrupt_condition(), F.lit(False)),
+            "drop_outliers": ~prep.outlier_condition()}
+
+
+@register("profile_step_counts", W(f"""
+SELECT 'input' AS step, count(*) AS rows FROM flights_raw
+UNION ALL SELECT 'drop_corrupt', count(*) FROM raw_ok
+UNION ALL SELECT 'drop_outliers', count(*) FROM raw_ok WHERE {_DUCK_NOT_OUTLIER}"""))
+def profile_step_counts(spark, sf_dir):
+    return profile.step_counts(flights_raw(spark, sf_dir), _clean_steps())
+
+
+def _null_sql(source: str, cols) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(CASE WHEN {c} IS NULL THEN 1 END) AS null_count "
+        f"FROM {source}"
+        for c in cols)
+
+
+@register("profile_nulls", W(_null_sql("flights", TARGET_COLUMNS)))
+def profile_nulls(spark, sf_dir):
+    return profile.null_counts(flights(spark, sf_dir), TARGET_COLUMNS)
+
+
+@register("profile_distinct", W(
+    "SELECT cancellation_code, count(*) AS rows FROM flights_raw GROUP BY cancellation_code"))
+def profile_distinct(spark, sf_dir):
+    return profile.distinct_values(flights_raw(spark, sf_dir), "cancellation_code")
+
+
+@register("profile_bounds", W("""
+SELECT min(dep_delay) AS dep_delay_min, max(dep_delay) AS dep_delay_max,
+       min(arr_delay) AS arr_delay_min, max(arr_delay) AS arr_delay_max FROM raw_ok"""))
+def profile_bounds(spark, sf_dir):
+    return profile.bounds(prep.drop_corrupt(flights_raw(spark, sf_dir)),
+                          ["dep_delay", "arr_delay"])
+
+
+@register("profile_outliers", W(f"""
+SELECT count_if(NOT ({_DUCK_NOT_OUTLIER})) AS outliers, count(*) AS rows,
+       CAST(count_if(NOT ({_DUCK_NOT_OUTLIER})) AS DOUBLE) / count(*) * 100.0 AS percent
+FROM raw_ok"""))
+def profile_outliers(spark, sf_dir):
+    return profile.outlier_share(prep.drop_corrupt(flights_raw(spark, sf_dir)),
+                                 prep.outlier_condition())
+
+
+@register("profile_missing_code", W(
+    "SELECT * FROM (" + _null_sql("missing", TARGET_COLUMNS) + ")",
+    "missing AS (SELECT * FROM flights WHERE cancellation_code IS NULL AND cancelled = 1)"))
+def profile_missing_code(spark, sf_dir):
+    f = flights(spark, sf_dir)
+    missing = f.filter(F.col("cancellation_code").isNull() & (F.col("cancelled") == 1))
+    return profile.null_counts(missing, TARGET_COLUMNS)
+
+
+# ---------------------------------------------------------- metric builders
+@register("agg_by_key", W("""
+SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza, count(*) AS numero_voli,
+       sum(carrier_delay) AS minuti_vettore
+FROM flights GROUP BY op_unique_carrier, origin"""))
+def agg_by_key(spark, sf_dir):
+    return (flights(spark, sf_dir).groupBy("op_unique_carrier", "origin")
+            .agg(F.count(F.lit(1)).alias("numero_voli"),
+                 F.sum("carrier_delay").alias("minuti_vettore"))
+            .withColumnsRenamed({"op_unique_carrier": "codice",
+                                 "origin": "aeroporto_partenza"}))
+
+
+@register("cond_agg", W("""
+SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza,
+       coalesce(min(CASE WHEN cancelled = 0 AND arr_delay >= 1.0 THEN arr_delay END), 0.0)
+         AS ritardo_minimo,
+       coalesce(max(CASE WHEN cancelled = 0 THEN arr_delay END), 0.0) AS ritardo_massimo
+FROM flights GROUP BY op_unique_carrier, origin"""))
+def cond_agg(spark, sf_dir):
+    from tarmac.functions.metrics import max_where, min_where
+    arr = F.col("arr_delay")
+    return (flights(spark, sf_dir).groupBy("op_unique_carrier", "origin")
+            .agg(min_where(arr, R.flown() & (arr >= 1.0), 0.0).alias("ritardo_minimo"),
+                 max_where(arr, R.flown(), 0.0).alias("ritardo_massimo"))
+            .withColumnsRenamed({"op_unique_carrier": "codice",
+                                 "origin": "aeroporto_partenza"}))
+
+
+@register("clipped_mean", W(f"""
+SELECT op_unique_carrier AS codice,
+       {O.rnd("avg(greatest(0.0, coalesce(arr_delay, 0.0)))")} AS ritardo_medio
+FROM flights GROUP BY op_unique_carrier"""))
+def clipped_mean_q(spark, sf_dir):
+    return (flights(spark, sf_dir).groupBy(F.col("op_unique_carrier").alias("codice"))
+            .agg(stable_round(clipped_mean("arr_delay"), 2).alias("ritardo_medio")))
+
+
+@register("cancel_rate", W(f"""
+SELECT origin AS aeroporto_partenza, {O.cancel_rate_sql(2)} AS tasso_cancellazione,
+       {O.cancel_rate_sql(1)} AS tasso_cancellazione_1
+FROM flights GROUP BY origin"""))
+def cancel_rate(spark, sf_dir):
+    return (flights(spark, sf_dir).groupBy(F.col("origin").alias("aeroporto_partenza"))
+            .agg(rate(R.cancelled(), 2).alias("tasso_cancellazione"),
+                 rate(R.cancelled(), 1).alias("tasso_cancellazione_1")))
+
+
+@register("delay_buckets", W("""
+SELECT origin AS aeroporto_partenza, month AS mese,
+       CAST(numero_ritardi_basso AS BIGINT) AS numero_ritardi_basso,
+       CAST(numero_ritardi_medio AS BIGINT) AS numero_ritardi_medio,
+       CAST(numero_ritardi_alto AS BIGINT) AS numero_ritardi_alto
+FROM bands""", "bands AS (" + O.BANDS + ")"))
+def delay_buckets(spark, sf_dir):
+    return (flights(spark, sf_dir).groupBy("origin", "month").agg(*R.band_aggs())
+            .withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}))
+
+
+@register("airport_mean", W("SELECT origin AS aeroporto_partenza, media_aeroporto "
+                            "AS ritardo_medio_complessivo FROM airport_stat", O.Q3_CTES))
+def airport_mean_q(spark, sf_dir):
+    return R.airport_mean(flights(spark, sf_dir)).withColumnRenamed("origin",
+                                                                    "aeroporto_partenza")
+
+
+# ------------------------------------------------------------- Q3 pieces
+@register("join_airport_baseline", W("""
+SELECT ps.origin AS aeroporto_partenza, ps.op_unique_carrier AS compagnia,
+       ps.ritardo_medio_partenza, a.media_aeroporto AS ritardo_medio_complessivo
+FROM pair_stat ps JOIN airport_stat a ON ps.origin = a.origin""", O.Q3_CTES))
+def join_airport_baseline(spark, sf_dir):
+    """The original's shape, pair aggregate joined with airport aggregate."""
+    f = flights(spark, sf_dir)
+    pairs = R.pair_aggregate(f).select("origin", "op_unique_carrier", "ritardo_medio_partenza")
+    return (join_baseline(pairs, R.airport_mean(f), ["origin"])
+            .select(F.col("origin").alias("aeroporto_partenza"),
+                    F.col("op_unique_carrier").alias("compagnia"),
+                    "ritardo_medio_partenza", "ritardo_medio_complessivo"))
+
+
+@register("rank_carriers", W("""
+SELECT aeroporto_partenza, compagnia, ritardo_medio_partenza, classifica FROM q3""", O.Q3_CTES))
+def rank_carriers(spark, sf_dir):
+    pairs = R.pair_aggregate(flights(spark, sf_dir))
+    return (rank_in_group(pairs, ["origin"], "ritardo_medio_partenza", "classifica")
+            .select(F.col("origin").alias("aeroporto_partenza"),
+                    F.col("op_unique_carrier").alias("compagnia"),
+                    "ritardo_medio_partenza", "classifica"))
+
+
+# ------------------------------------------------------------- Q2 pieces
+def _causes_long(spark, sf_dir):
+    return R.causes_long(R.airport_month_aggregate(flights(spark, sf_dir)))
+
+
+@register("unpivot_causes", W("SELECT origin, month, causa, CAST(minuti_totali AS BIGINT) "
+                              "AS minuti_totali FROM cause_sums", O.CAUSE_UNION))
+def unpivot_causes(spark, sf_dir):
+    return _causes_long(spark, sf_dir)
+
+
+@register("rank_causes", W("SELECT origin, month, causa, minuti_totali, ranking "
+                           "FROM cause_ranked", O.CAUSE_UNION))
+def rank_causes(spark, sf_dir):
+    return rank_rows(_causes_long(spark, sf_dir), ["origin", "month"], R.cause_order())
+
+
+@register("topk_causes", W("SELECT origin, month, causa, minuti_totali, ranking "
+                           "FROM cause_ranked WHERE ranking <= 3", O.CAUSE_UNION))
+def topk_causes(spark, sf_dir):
+    return top_k_per_group(_causes_long(spark, sf_dir), ["origin", "month"], R.cause_order(), 3)
+
+
+@register("cause_label", W("SELECT origin, month, ranking, cause_desc "
+                           "FROM cause_ranked WHERE ranking <= 3", O.CAUSE_UNION))
+def cause_label_q(spark, sf_dir):
+    top = top_k_per_group(_causes_long(spark, sf_dir), ["origin", "month"], R.cause_order(), 3)
+    return top.select("origin", "month", "ranking",
+                      cause_label("causa", "minuti_totali").alias("cause_desc"))
+
+
+@register("q2_causes", W("SELECT origin AS aeroporto_partenza, month AS mese, cause_maggiori "
+                         "FROM cause_top", O.CAUSE_UNION))
+def q2_causes(spark, sf_dir):
+    from tarmac.functions.text import list_text
+    top = top_k_per_group(_causes_long(spark, sf_dir), ["origin", "month"], R.cause_order(), 3)
+    return (top.groupBy("origin", "month")
+               .agg(list_text(ordered_list("ranking", cause_label("causa", "minuti_totali")))
+                    .alias("cause_maggiori"))
+               .withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}))
+
+
+# ---------------------------------------------------------- SQL-text path
+_view_ids = itertools.count()
+
+
+def _sql_report(spark, sf_dir, name, args):
+    view = f"tarmac_flights_{next(_view_ids)}"
+    register_table(spark, view, df=flights(spark, sf_dir))
+    return run_sql_file(spark, name, {"flights": view, **args})
+
+
+@register("sql_q1", W(O.Q1))
+def sql_q1(spark, sf_dir):
+    return _sql_report(spark, sf_dir, "q1", {"rate_scale": 2})
+
+
+@register("sql_q2", W(O.Q2, O.CAUSE_UNION))
+def sql_q2(spark, sf_dir):
+    return _sql_report(spark, sf_dir, "q2", {"k": 3})
+
+
+@register("sql_q3", W("SELECT * FROM q3", O.Q3_CTES))
+def sql_q3(spark, sf_dir):
+    return _sql_report(spark, sf_dir, "q3", {"rate_scale": 2})
+
+
+# ------------------------------------------------------------------ top 10
+@register("top10_q1", W(O.Q1 + " ORDER BY codice, aeroporto_partenza, mese LIMIT 10"))
+def top10_q1(spark, sf_dir):
+    return q1_carrier_stats(spark, sf_dir).limit(10)
+
+
+@register("top10_q2", W(O.Q2 + " ORDER BY aeroporto_partenza, mese LIMIT 10", O.CAUSE_UNION))
+def top10_q2(spark, sf_dir):
+    return q2_report(spark, sf_dir).limit(10)
+
+
+@register("top10_q3", W("SELECT * FROM q3 ORDER BY aeroporto_partenza, compagnia, classifica "
+                        "LIMIT 10", O.Q3_CTES))
+def top10_q3(spark, sf_dir):
+    return q3_anomaly_rank(spark, sf_dir).limit(10)
+
+
+# ----------------------------------------------------------------- volumes
+def _sample_sql(percent: float) -> str:
+    key = ("substr(md5(concat_ws('|', CAST(fl_date AS VARCHAR), op_unique_carrier, origin, dest, "
+           "CAST(CAST(coalesce(op_carrier_fl_num, -1.0) AS BIGINT) AS VARCHAR), '42')), 1, 8)")
+    return f"SELECT * FROM flights WHERE {key} < '{volumes.threshold(percent / 100.0)}'"
+
+
+@register("sample_10", W(_sample_sql(10)))
+def sample_10(spark, sf_dir):
+    return volumes.sample_volume(flights(spark, sf_dir), 10)
+
+
+@register("sample_50", W(_sample_sql(50)))
+def sample_50(spark, sf_dir):
+    return volumes.sample_volume(flights(spark, sf_dir), 50)
+
+
+@register("scale_150", W("SELECT * FROM flights UNION ALL " + _sample_sql(50)))
+def scale_150(spark, sf_dir):
+    return volumes.scale_up(flights(spark, sf_dir), 150)
+
+
+# ---------------------------------------------------------- README extras
+@register("x_routes", W("""
+SELECT op_unique_carrier AS codice, count(*) AS numero_tratte,
+       string_agg(route, ',' ORDER BY route) AS tratte
+FROM (SELECT DISTINCT op_unique_carrier, origin || '-' || dest AS route FROM flights)
+GROUP BY op_unique_carrier"""))
+def x_routes(spark, sf_dir):
+    return (R.carrier_routes(flights(spark, sf_dir))
+            .select(F.col("op_unique_carrier").alias("codice"), "numero_tratte",
+                    F.array_join("tratte", ",").alias("tratte")))
+
+
+@register("x_months", W("""
+SELECT op_unique_carrier AS codice, count(*) AS numero_mesi,
+       string_agg(CAST(month AS VARCHAR), ',' ORDER BY month) AS mesi
+FROM (SELECT DISTINCT op_unique_carrier, month FROM flights)
+GROUP BY op_unique_carrier"""))
+def x_months(spark, sf_dir):
+    return (R.operating_months(flights(spark, sf_dir))
+            .select(F.col("op_unique_carrier").alias("codice"), "numero_mesi",
+                    F.array_join(F.col("mesi").cast("array<string>"), ",").alias("mesi")))
+
+
+@register("x_airport_month_means", W(f"""
+SELECT origin AS aeroporto_partenza, month AS mese,
+       {O.rnd("avg(CASE WHEN cancelled = 0 THEN dep_delay END)")} AS ritardo_medio_partenza,
+       {O.rnd("avg(CASE WHEN cancelled = 0 THEN arr_delay END)")} AS ritardo_medio_arrivo
+FROM flights GROUP BY origin, month"""))
+def x_airport_month_means(spark, sf_dir):
+    return (R.airport_month_means(flights(spark, sf_dir))
+            .withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}))
+
+
+@register("x_cancel_causes", W("""
+SELECT origin, month, cancellation_code, numero_cancellazioni, classifica FROM (
+  SELECT origin, month, cancellation_code, count(*) AS numero_cancellazioni,
+         row_number() OVER (PARTITION BY origin, month
+                            ORDER BY count(*) DESC, cancellation_code) AS classifica
+  FROM flights WHERE cancelled = 1 AND cancellation_code IS NOT NULL
+  GROUP BY origin, month, cancellation_code)
+WHERE classifica <= 3"""))
+def x_cancel_causes(spark, sf_dir):
+    return R.cancel_causes(flights(spark, sf_dir))
+
+
+@register("x_anomalous_pairs", W("SELECT * FROM q3 WHERE abs(differenza) >= 10.0", O.Q3_CTES))
+def x_anomalous_pairs(spark, sf_dir):
+    return R.anomalous_pairs(flights(spark, sf_dir), 10.0)
+
+
+# ------------------------------------------------------- run-log analytics
+_RUNLOG_SQL = """runlog AS (
+  SELECT CAST(month AS INTEGER) AS percentuale, op_unique_carrier AS motore, origin AS analisi,
+         CAST(greatest(0.0, coalesce(arr_delay, 0.0)) AS INTEGER) AS tempo_secondi,
+         CAST(cancelled AS INTEGER) AS status
+  FROM flights)"""
+
+
+def _runlog(spark, sf_dir):
+    return RL.runlog_from_flights(flights(spark, sf_dir))
+
+
+@register("report_by_volume", W("""
+SELECT percentuale, motore, analisi, sum(tempo_secondi) AS tempo_secondi,
+       count(tempo_secondi) AS misure, min(tempo_secondi) AS minimo, avg(tempo_secondi) AS media
+FROM runlog GROUP BY percentuale, motore, analisi""", _RUNLOG_SQL))
+def report_by_volume(spark, sf_dir):
+    return RL.cell_times(_runlog(spark, sf_dir))
+
+
+_TOTALS_SQL = ("sum(tempo_secondi) AS tempo_secondi, printf('%02d:%02d:%02d', "
+               "(sum(tempo_secondi) % 86400) // 3600, (sum(tempo_secondi) % 3600) // 60, "
+               "sum(tempo_secondi) % 60) AS tempo")
+
+
+@register("report_totals", W(f"SELECT motore, {_TOTALS_SQL} FROM runlog GROUP BY motore",
+                             _RUNLOG_SQL))
+def report_totals(spark, sf_dir):
+    return RL.engine_totals(_runlog(spark, sf_dir))
+
+
+_COMPARE_SQL = _RUNLOG_SQL + f""",
+tot_a AS (SELECT motore, {_TOTALS_SQL} FROM runlog WHERE percentuale <= 6 GROUP BY motore),
+tot_b AS (SELECT motore, {_TOTALS_SQL} FROM runlog WHERE percentuale > 6 GROUP BY motore),
+cmp AS (
+  SELECT a.motore, a.tempo_secondi AS tempo_secondi_locale, a.tempo AS tempo_x,
+         b.tempo_secondi AS tempo_secondi_cluster, b.tempo AS tempo_y
+  FROM tot_a a JOIN tot_b b ON a.motore = b.motore)"""
+
+
+def _compare(spark, sf_dir):
+    log = _runlog(spark, sf_dir)
+    return RL.compare_runs(log.filter(F.col("percentuale") <= 6),
+                           log.filter(F.col("percentuale") > 6))
+
+
+@register("compare_runs", W("SELECT * FROM cmp", _COMPARE_SQL))
+def compare_runs(spark, sf_dir):
+    """Two 'environments': first and second half of the year."""
+    return _compare(spark, sf_dir)
+
+
+@register("melt_runs", W("""
+SELECT motore, 'Cluster' AS ambiente, tempo_secondi_cluster AS tempo_secondi FROM cmp
+UNION ALL SELECT motore, 'Locale', tempo_secondi_locale FROM cmp""", _COMPARE_SQL))
+def melt_runs(spark, sf_dir):
+    return RL.melt_runs(_compare(spark, sf_dir))
+
+
+@register("map_values", W("SELECT op_unique_carrier AS codice, causa, minuti FROM (" + "\nUNION ALL ".join(
+    f"SELECT op_unique_carrier, '{name}' AS causa, sum({c}) AS minuti FROM flights "
+    f"GROUP BY op_unique_carrier" for c, name in CAUSES.items()) + ")"))
+def map_values_q(spark, sf_dir):
+    """cause columns unpivoted by column name, then renamed by dictionary."""
+    sums = (flights(spark, sf_dir).groupBy("op_unique_carrier")
+            .agg(*[F.sum(c).alias(c) for c in CAUSES]))
+    long = RL.melt(sums, ["op_unique_carrier"], list(CAUSES), "causa", "minuti")
+    return long.select(F.col("op_unique_carrier").alias("codice"),
+                       map_values("causa", CAUSES).alias("causa"), "minuti")
+
+
+@register("fmt_duration", W("""
+SELECT origin AS aeroporto_partenza, s AS secondi,
+       printf('%02d:%02d:%02d', (s % 86400) // 3600, (s % 3600) // 60, s % 60) AS durata
+FROM (SELECT origin, CAST(sum(greatest(0.0, coalesce(arr_delay, 0.0))) AS BIGINT) * 60 AS s
+      FROM flights GROUP BY origin)"""))
+def fmt_duration_q(spark, sf_dir):
+    """total clipped arrival delay per airport, as seconds and HH:MM:SS."""
+    s = (F.sum(F.greatest(F.lit(0.0), F.coalesce(F.col("arr_delay"), F.lit(0.0))))
+         .cast("bigint") * 60)
+    return (flights(spark, sf_dir).groupBy(F.col("origin").alias("aeroporto_partenza"))
+            .agg(s.alias("secondi"))
+            .withColumn("durata", fmt_duration("secondi")))
