@@ -49,8 +49,15 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ok, pk, sk = (F.col(c).cast("bigint") for c in ("l_orderkey", "l_partkey", "l_suppkey"))
     ln = F.col("l_linenumber").cast("bigint")
-    h = ok * 7 + pk * 13 + sk * 17 + ln * 31
-    d = (ok * 17 + pk * 31 + ln * 7) % 220 - 40
+    # The two per-row hashes are produced once by a one-element ``inline``:
+    # filters above the view (cleaning) then test the generated attributes
+    # instead of having the derivation substituted into them many times.
+    hashes = F.inline(F.array(F.struct(
+        (ok * 7 + pk * 13 + sk * 17 + ln * 31).alias("_h"),
+        ((ok * 17 + pk * 31 + ln * 7) % 220 - 40).alias("_d"))))
+    j = j.select("l_shipdate", "p_brand", "origin", "dest", hashes)
+
+    h, d = F.col("_h"), F.col("_d")
     dd = F.when(h % 97 == 0, d + 1500).otherwise(d)
     canc = h % 23 == 0
     dvt = ~canc & (h % 41 == 0)
