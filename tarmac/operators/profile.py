@@ -59,3 +59,9 @@ def outlier_share(df: DataFrame, cond: Column) -> DataFrame:
     """Matching rows, all rows and the share in percent (unrounded)."""
     return df.agg(count_where(cond).alias("outliers"), F.count(F.lit(1)).alias("rows")) \
              .withColumn("percent", F.try_divide(F.col("outliers"), F.col("rows")) * F.lit(100.0))
+
+
+def head_n(df: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
+    """First ``n`` rows in ``keys`` order (a top-n, planned as
+    ``TakeOrderedAndProject``: each task keeps n rows, the driver merges)."""
+    return df.orderBy(*keys).limit(n)

@@ -4,11 +4,11 @@ from tarmac.sources.catalog import register_table, run_sql_file, run_sql_text, u
 from tarmac.sources.flightview import flights_raw, read_table
 from tarmac.sources.io import (
     read_clean, read_raw, read_runlog, require_non_empty, volume_label, write_report,
-    write_volume,
+    write_split, write_volume,
 )
 
 __all__ = [
     "flights_raw", "read_clean", "read_raw", "read_runlog", "read_table", "register_table",
     "require_non_empty", "run_sql_file", "run_sql_text", "use_db", "volume_label",
-    "write_report", "write_volume",
+    "write_report", "write_split", "write_volume",
 ]

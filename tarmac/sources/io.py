@@ -68,3 +68,14 @@ def write_report(df: DataFrame, path: str, single_file: bool = False, sep: str =
     (out.write.mode(mode).option("header", header).option("sep", sep)
         .option("nullValue", null_value).option("emptyValue", "").csv(path))
     return path
+
+
+def write_split(df: DataFrame, path: str, keys: list[str], fmt: str = "csv",
+                mode: str = "overwrite", header: bool = True) -> str:
+    """U4: one output folder per value of ``keys`` (``key=value/``), written
+    by all tasks in parallel through ``partitionBy``."""
+    writer = df.write.mode(mode).partitionBy(*keys)
+    if fmt == "csv":
+        writer = writer.option("header", header)
+    writer.format(fmt).save(path)
+    return path

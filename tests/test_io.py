@@ -80,3 +80,22 @@ def test_external_table_and_sql_file(spark, tmp_dir):
         register_table(spark, "flights", path=path, db="flights_project")
     finally:
         use_db(spark, "default")
+
+
+def test_write_split_one_folder_per_value(spark, tmp_dir):
+    from tarmac.plans import runlog as RL
+    log = RL.runlog_from_flights(C.flights(spark, SF_SMALL))
+    cells = RL.cell_times(log)
+    path = IO.write_split(cells, os.path.join(tmp_dir, "by_volume"), ["percentuale"])
+    folders = {os.path.basename(p) for p in glob.glob(os.path.join(path, "percentuale=*"))}
+    assert folders == {f"percentuale={r.percentuale}"
+                       for r in cells.select("percentuale").distinct().collect()}
+    back = spark.read.option("header", True).csv(path)
+    assert back.count() == cells.count()
+
+
+def test_head_n(spark):
+    from tarmac.operators.profile import head_n
+    df = spark.range(100).selectExpr("id % 7 AS k", "id")
+    got = [tuple(r) for r in head_n(df, ["k", "id"], 3).collect()]
+    assert got == [(0, 0), (0, 7), (0, 14)]
