@@ -173,7 +173,7 @@ def profile_bounds(spark, sf_dir):
 
 
 @register("profile_outliers", W(f"""
-SELECT count_if(NOT ({_DUCK_NOT_OUTLIER})) AS outliers, count(*) AS rows,
+SELECT CAST(count_if(NOT ({_DUCK_NOT_OUTLIER})) AS BIGINT) AS outliers, count(*) AS rows,
        CAST(count_if(NOT ({_DUCK_NOT_OUTLIER})) AS DOUBLE) / count(*) * 100.0 AS percent
 FROM raw_ok"""))
 def profile_outliers(spark, sf_dir):
@@ -193,7 +193,7 @@ def profile_missing_code(spark, sf_dir):
 # ---------------------------------------------------------- metric builders
 @register("agg_by_key", W("""
 SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza, count(*) AS numero_voli,
-       sum(carrier_delay) AS minuti_vettore
+       CAST(sum(carrier_delay) AS BIGINT) AS minuti_vettore
 FROM flights GROUP BY op_unique_carrier, origin"""))
 def agg_by_key(spark, sf_dir):
     return (flights(spark, sf_dir).groupBy("op_unique_carrier", "origin")
@@ -450,14 +450,14 @@ def _runlog(spark, sf_dir):
 
 
 @register("report_by_volume", W("""
-SELECT percentuale, motore, analisi, sum(tempo_secondi) AS tempo_secondi,
+SELECT percentuale, motore, analisi, CAST(sum(tempo_secondi) AS BIGINT) AS tempo_secondi,
        count(tempo_secondi) AS misure, min(tempo_secondi) AS minimo, avg(tempo_secondi) AS media
 FROM runlog GROUP BY percentuale, motore, analisi""", _RUNLOG_SQL))
 def report_by_volume(spark, sf_dir):
     return RL.cell_times(_runlog(spark, sf_dir))
 
 
-_TOTALS_SQL = ("sum(tempo_secondi) AS tempo_secondi, printf('%02d:%02d:%02d', "
+_TOTALS_SQL = ("CAST(sum(tempo_secondi) AS BIGINT) AS tempo_secondi, printf('%02d:%02d:%02d', "
                "(sum(tempo_secondi) % 86400) // 3600, (sum(tempo_secondi) % 3600) // 60, "
                "sum(tempo_secondi) % 60) AS tempo")
 
@@ -497,7 +497,7 @@ def melt_runs(spark, sf_dir):
 
 
 @register("map_values", W("SELECT op_unique_carrier AS codice, causa, minuti FROM (" + "\nUNION ALL ".join(
-    f"SELECT op_unique_carrier, '{name}' AS causa, sum({c}) AS minuti FROM flights "
+    f"SELECT op_unique_carrier, '{name}' AS causa, CAST(sum({c}) AS BIGINT) AS minuti FROM flights "
     f"GROUP BY op_unique_carrier" for c, name in CAUSES.items()) + ")"))
 def map_values_q(spark, sf_dir):
     """cause columns unpivoted by column name, then renamed by dictionary."""
