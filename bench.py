@@ -15,6 +15,7 @@ import re
 import statistics
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -41,7 +42,7 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    clean_path = f"{checkpoint_dir(spark).rstrip('/')}/bench_clean"
+    clean_path = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_bench_clean_{uuid.uuid4().hex}"
     # warm-up of the JVM on the smallest data (not timed)
     run(C.q1_carrier_stats(spark, sf_dir.rsplit("/", 1)[0] + "/sf0.001")
         if os.path.isdir(sf_dir.rsplit("/", 1)[0] + "/sf0.001") else C.flights(spark, sf_dir))

@@ -7,6 +7,7 @@ over the whole table.  Oracle texts are DuckDB SQL (see ``oracle.py``).
 from __future__ import annotations
 
 import itertools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,7 +76,6 @@ def q1_rate_scale_1(spark, sf_dir):
 
 # ------------------------------------------------------- scans and cleaning
 _scan_cache: dict = {}
-_stream_ids = itertools.count()
 
 
 @register("scan_clean", W("SELECT * FROM flights"))
@@ -84,7 +84,7 @@ def scan_clean(spark, sf_dir):
     read back with schema merging."""
     key = (id(spark), sf_dir)
     if key not in _scan_cache:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/clean_{abs(hash(sf_dir))}"
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_clean_{uuid.uuid4().hex}"
         flights(spark, sf_dir).write.mode("overwrite").parquet(path)
         _scan_cache[key] = path
     return read_clean(spark, _scan_cache[key], merge_schema=True)
@@ -529,6 +529,6 @@ def stream_q1_carrier_stats(spark, sf_dir):
     (``availableNow`` trigger), published by ``foreachBatch``."""
     from tarmac.streaming import run_incremental_report
     src = scan_clean(spark, sf_dir).inputFiles()[0].rsplit("/", 1)[0]
-    run = f"{checkpoint_dir(spark).rstrip('/')}/stream_run_{next(_stream_ids)}"
+    run = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_stream_{uuid.uuid4().hex}"
     run_incremental_report(spark, src, f"{run}/out", "q1", f"{run}/ckpt")
     return spark.read.parquet(f"{run}/out")

@@ -11,6 +11,7 @@ lives under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,7 @@ def run_incremental_report(spark: SparkSession, source: str, target: str, report
     Returns the ``StreamingQuery``; with ``available_now`` it has already
     processed every file present at start.
     """
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream_{report}"
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/tarmac_stream_{report}_{uuid.uuid4().hex}"
     agg = REPORTS[report](clean_stream(spark, source, schema))
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
