@@ -112,8 +112,12 @@ def airport_month_report(df: DataFrame, k: int = TOP_CAUSES, sort: bool = True)
     by minutes descending then name; ``[]`` when the airport had no flown
     flight that month.  Causes with 0 minutes still take a place.
     """
+    return airport_month_finish(airport_month_aggregate(df), k, sort)
+
+
+def airport_month_finish(agg: DataFrame, k: int = TOP_CAUSES, sort: bool = True) -> DataFrame:
+    """Q2 from its (origin, month) aggregate: top-k causes and the text."""
     bands = ["numero_ritardi_basso", "numero_ritardi_medio", "numero_ritardi_alto"]
-    agg = airport_month_aggregate(df)
     long = causes_long(agg, keep=bands, keep_empty=True)
     top = top_k_per_group(long, ["origin", "month"], cause_order(), k)
     out = (top.groupBy("origin", "month", *bands)
@@ -146,7 +150,11 @@ def carrier_vs_airport(df: DataFrame, rate_scale: int = 2, sort: bool = True) ->
     ``classifica`` ranks the rounded mean (equal rounded means tie, a null
     mean ranks first).
     """
-    pairs = pair_aggregate(df, rate_scale)
+    return carrier_vs_airport_finish(pair_aggregate(df, rate_scale), sort)
+
+
+def carrier_vs_airport_finish(pairs: DataFrame, sort: bool = True) -> DataFrame:
+    """Q3 from its (origin, carrier) aggregate: airport baseline and rank."""
     based = window_baseline(pairs, ["origin"], "_dep_sum", "_dep_n", "_airport_mean", 2)
     ranked = rank_in_group(based, ["origin"], "ritardo_medio_partenza", "classifica")
     out = ranked.select(

@@ -40,12 +40,17 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     sn = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("origin"))
     cn = nation.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("dest"))
 
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # Dimension chains first (orders-sized and supplier-sized), then the
+    # fact table joins each once: at scale lineitem is shuffled at most once
+    # per big dimension, small sides are broadcast by size.
+    orders_c = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+                      .join(cn, F.col("c_nationkey") == F.col("cn_key"))
+                      .select("o_orderkey", "dest"))
+    supp_n = (supp.join(sn, F.col("s_nationkey") == F.col("sn_key"))
+                  .select("s_suppkey", "origin"))
+    j = (li.join(orders_c, li.l_orderkey == orders_c.o_orderkey)
            .join(part, li.l_partkey == part.p_partkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey)
-           .join(sn, F.col("s_nationkey") == F.col("sn_key"))
-           .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-           .join(cn, F.col("c_nationkey") == F.col("cn_key")))
+           .join(supp_n, li.l_suppkey == supp_n.s_suppkey))
 
     ok, pk, sk = (F.col(c).cast("bigint") for c in ("l_orderkey", "l_partkey", "l_suppkey"))
     ln = F.col("l_linenumber").cast("bigint")

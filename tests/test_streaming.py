@@ -28,3 +28,15 @@ def test_incremental_q1_matches_batch(spark, tmp_dir):
     run_incremental_report(spark, os.path.join(src, "part1"), out, "q1", ckpt)
     got2 = spark.read.parquet(out)
     assert _rows(got2) == _rows(R.carrier_stats(clean, sort=False))
+
+
+def test_incremental_q2_q3_match_batch(spark, tmp_dir):
+    clean = C.flights(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "src")
+    first = volumes.sample_volume(clean, 50)
+    first.write.parquet(src)
+    clean.exceptAll(first).write.mode("append").parquet(src)
+    for report, batch in [("q2", R.airport_month_report), ("q3", R.carrier_vs_airport)]:
+        out = os.path.join(tmp_dir, f"out_{report}")
+        run_incremental_report(spark, src, out, report, os.path.join(tmp_dir, f"ck_{report}"))
+        assert _rows(spark.read.parquet(out)) == _rows(batch(clean, sort=False))
