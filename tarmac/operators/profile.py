@@ -65,3 +65,17 @@ def head_n(df: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
     """First ``n`` rows in ``keys`` order (a top-n, planned as
     ``TakeOrderedAndProject``: each task keeps n rows, the driver merges)."""
     return df.orderBy(*keys).limit(n)
+
+
+def describe_schema(df: DataFrame) -> DataFrame:
+    """One row per column with its Spark type and non-null count
+    (like a frame's ``info()``), from ONE aggregation."""
+    cols = df.columns
+    wide = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols])
+    types = dict(df.dtypes)
+    items = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("k"),
+                               F.lit(types[c]).alias("t"), F.col(f"`{c}`").alias("v"))
+                      for i, c in enumerate(cols)])
+    return (wide.select(F.explode(items).alias("_kv"))
+                .select(F.col("_kv.pos").alias("position"), F.col("_kv.k").alias("column_name"),
+                        F.col("_kv.t").alias("data_type"), F.col("_kv.v").alias("non_null")))

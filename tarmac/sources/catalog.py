@@ -15,12 +15,15 @@ SQL_DIR = Path(__file__).resolve().parent.parent / "plans" / "sql"
 
 def register_table(spark: SparkSession, name: str, path: str | None = None,
                    db: str | None = None, source: str = "parquet",
-                   df: DataFrame | None = None, replace: bool = True) -> str:
+                   df: DataFrame | None = None, replace: bool = True,
+                   schema=None) -> str:
     """Expose a dataset under ``[db.]name``.
 
     With ``path``: an external table over the folder (dropped and created
     again when ``replace``), like an external Hive table over Parquet.
-    With ``df``: a temporary view (no catalog write).
+    With ``df``: a temporary view (no catalog write).  ``schema`` fixes the
+    table's columns and types (like a DDL column list) instead of reading
+    them from the files.
     """
     if df is not None:
         df.createOrReplaceTempView(name)
@@ -30,7 +33,7 @@ def register_table(spark: SparkSession, name: str, path: str | None = None,
     full = f"{db}.{name}" if db else name
     if replace:
         spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": full})
-    spark.catalog.createTable(full, path=path, source=source)
+    spark.catalog.createTable(full, path=path, source=source, schema=schema)
     return full
 
 

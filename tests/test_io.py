@@ -99,3 +99,13 @@ def test_head_n(spark):
     df = spark.range(100).selectExpr("id % 7 AS k", "id")
     got = [tuple(r) for r in head_n(df, ["k", "id"], 3).collect()]
     assert got == [(0, 0), (0, 7), (0, 14)]
+
+
+def test_register_table_with_ddl_schema(spark, tmp_dir):
+    from tarmac.schema import CLEAN_SCHEMA
+    path = os.path.join(tmp_dir, "ddl_tbl")
+    C.flights(spark, SF_SMALL).write.parquet(path)
+    name = register_table(spark, "flights_ddl", path=path, schema=CLEAN_SCHEMA)
+    t = spark.table(name)
+    assert [(f.name, f.dataType) for f in t.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
+    assert t.count() == 5384
