@@ -1,10 +1,17 @@
 """Reproducible sampled and enlarged volumes of the clean table.
 
-The sample is a hash threshold on the row's own columns, not a random
-number: the same rows are chosen for any partitioning, on any engine
-that has ``md5``, and a recomputed partition after an executor loss
-selects exactly the same rows.  Samples are nested (10 % within 50 %).
-Exact duplicate rows are kept or dropped together.
+The sample is a hash threshold, not a random number: the same rows are
+chosen for any partitioning, a recomputed partition after an executor
+loss selects exactly the same rows, and samples are nested (10 % within
+50 %).  Two keys:
+
+* ``by="row"``: md5 of the flight's identifying columns.  Portable (any
+  engine with ``md5`` picks the same rows) but copies of one flight are
+  kept or dropped together.
+* ``by="position"``: md5 of the Parquet file name and row index of each
+  physical row (``_metadata``).  Every copy is drawn on its own, so a hot
+  group of copies (even a third of the table) is split in proportion.
+  Needs a frame read from Parquet files; used by ``build_volumes``.
 """
 
 from __future__ import annotations
@@ -32,46 +39,60 @@ def sample_key(seed: int = SAMPLE_SEED) -> Column:
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, HASH_DIGITS)
 
 
+def position_key(seed: int = SAMPLE_SEED) -> Column:
+    """Leading hex digits of md5 over (file name, row index in file)."""
+    name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
+    return F.substring(F.md5(F.concat_ws("|", name, F.col("_metadata.row_index").cast("string"),
+                                         F.lit(str(seed)))), 1, HASH_DIGITS)
+
+
 def threshold(fraction: float) -> str:
     """Hex threshold such that ``key < threshold`` keeps ``fraction`` of keys."""
     return format(round(fraction * _SPACE), f"0{HASH_DIGITS}x")
 
 
 def sample_volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED,
-                  key: Column | None = None) -> DataFrame:
+                  key: Column | None = None, by: str = "row") -> DataFrame:
     """P10: keep about ``percent`` % of the rows, without replacement."""
     if percent >= 100:
         return df
     if percent <= 0:
         return df.limit(0)
-    k = sample_key(seed) if key is None else key
+    if key is not None:
+        k = key
+    else:
+        k = {"row": sample_key, "position": position_key}[by](seed)
     return df.filter(k < F.lit(threshold(percent / 100.0)))
 
 
-def scale_up(df: DataFrame, percent: float, seed: int = SAMPLE_SEED) -> DataFrame:
+def scale_up(df: DataFrame, percent: float, seed: int = SAMPLE_SEED,
+             by: str = "row") -> DataFrame:
     """More than 100 %: all rows plus a sample of the excess share."""
     if percent <= 100:
-        return sample_volume(df, percent, seed)
+        return sample_volume(df, percent, seed, by=by)
     whole, extra = divmod(percent, 100)
     out = df
     for _ in range(int(whole) - 1):
         out = out.unionByName(df)
     if extra:
-        out = out.unionByName(sample_volume(df, extra, seed))
+        out = out.unionByName(sample_volume(df, extra, seed, by=by))
     return out
 
 
-def volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED) -> DataFrame:
-    return scale_up(df, percent, seed) if percent > 100 else sample_volume(df, percent, seed)
+def volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED, by: str = "row") -> DataFrame:
+    if percent > 100:
+        return scale_up(df, percent, seed, by)
+    return sample_volume(df, percent, seed, by=by)
 
 
 def build_volumes(clean_df: DataFrame, base: str,
                   percents: Iterable[float] = VOLUME_PERCENTS,
-                  seed: int = SAMPLE_SEED) -> dict[int, str]:
+                  seed: int = SAMPLE_SEED, by: str = "position") -> dict[int, str]:
     """Write every volume as ``<base>/dataset_<label>``.
 
-    ``clean_df`` should be a written table (or a checkpoint in the shared
-    checkpoint folder) so that each volume re-reads it instead of
-    recomputing the cleaning.
+    ``clean_df`` should be the written clean table read back from Parquet
+    (files in the shared folder), so that each volume re-reads it instead
+    of recomputing the cleaning, and so that ``by="position"`` can draw
+    every physical row independently.
     """
-    return {int(p): write_volume(volume(clean_df, p, seed), base, int(p)) for p in percents}
+    return {int(p): write_volume(volume(clean_df, p, seed, by), base, int(p)) for p in percents}

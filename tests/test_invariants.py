@@ -89,3 +89,33 @@ def test_q2_single_shuffle(flights):
     plan = R.airport_month_report(flights, sort=False)._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_position_sample_splits_hot_copy_group(spark, tmp_dir):
+    """A third of the table is copies of one flight: the column hash keeps
+    all or none of them, the position hash keeps about the fraction."""
+    import os
+    base = C.flights(spark, SF_SMALL)
+    hot = base.limit(1)
+    n = base.count()
+    copies = hot.select("*", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("_i")) \
+        .drop("_i")
+    path = os.path.join(tmp_dir, "with_copies")
+    base.unionByName(copies).write.parquet(path)
+    df = spark.read.parquet(path)
+    hot_row = hot.first()
+    is_hot = F.lit(True)
+    for c in ("fl_date", "op_unique_carrier", "origin", "dest", "dep_delay", "arr_delay"):
+        is_hot = is_hot & F.col(c).eqNullSafe(F.lit(hot_row[c]))
+    total_hot = df.filter(is_hot).count()
+    by_row = volumes.sample_volume(df, 50, by="row").filter(is_hot).count()
+    by_pos = volumes.sample_volume(df, 50, by="position").filter(is_hot).count()
+    assert by_row in (0, total_hot)
+    assert 0.4 * total_hot < by_pos < 0.6 * total_hot
+    # independent of how the files are split into tasks
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        again = volumes.sample_volume(spark.read.parquet(path), 50, by="position")
+        assert again.filter(is_hot).count() == by_pos
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -40,12 +40,15 @@ def test_quoted_cause_list(spark, tmp_dir):
 
 
 def test_parquet_volumes_and_merge_schema(spark, tmp_dir):
-    clean = C.flights(spark, SF_SMALL)
+    C.flights(spark, SF_SMALL).write.parquet(os.path.join(tmp_dir, "clean"))
+    clean = IO.read_clean(spark, os.path.join(tmp_dir, "clean"))
     paths = volumes.build_volumes(clean, tmp_dir, percents=[10, 150])
     assert set(paths) == {10, 150}
     assert IO.volume_label(paths[150]) == "150"
     v10 = IO.read_clean(spark, paths[10], merge_schema=True)
-    assert v10.count() == volumes.sample_volume(clean, 10).count()
+    assert v10.count() == volumes.sample_volume(clean, 10, by="position").count()
+    assert IO.read_clean(spark, paths[150]).count() == (
+        clean.count() + volumes.sample_volume(clean, 50, by="position").count())
     # a part file with one extra column: merged schema has it
     extra = v10.limit(5).withColumnRenamed("dest", "dest2")
     extra.write.mode("append").parquet(paths[10])
