@@ -53,10 +53,19 @@ def sql_job(spark: SparkSession, input_path: str, sql: str, output: str,
 
 
 def prepare_job(spark: SparkSession, raw_path: str, base: str,
-                percents=VOLUME_PERCENTS, raw_format: str = "csv") -> dict[int, str]:
-    """Raw extract -> clean table (written once) -> every volume."""
+                percents=VOLUME_PERCENTS, raw_format: str = "csv",
+                files: int | None = None) -> dict[int, str]:
+    """Raw extract -> clean table (written once) -> every volume.
+
+    ``files`` spreads the clean table over that many files; only useful
+    when the raw input arrives in fewer pieces than there are cores (a
+    large extract is read and written by many tasks anyway).
+    """
     raw = read_raw(spark, raw_path) if raw_format == "csv" else spark.read.parquet(raw_path)
     clean_path = f"{base.rstrip('/')}/clean"
-    prep.clean(require_non_empty(raw, raw_path)).write.mode("overwrite").parquet(clean_path)
+    clean_df = prep.clean(require_non_empty(raw, raw_path))
+    if files:
+        clean_df = clean_df.repartition(files)
+    clean_df.write.mode("overwrite").parquet(clean_path)
     clean = read_clean(spark, clean_path)
     return volumes.build_volumes(clean, base, percents)

@@ -119,3 +119,20 @@ def test_position_sample_splits_hot_copy_group(spark, tmp_dir):
         assert again.filter(is_hot).count() == by_pos
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_q2_with_means_single_pass(flights):
+    q2 = R.airport_month_report(flights, with_means=True)
+    assert q2.columns[-3:] == ["ritardo_medio_partenza", "ritardo_medio_arrivo", "cause_maggiori"]
+    means = {(r.origin, r.month): (r.ritardo_medio_partenza, r.ritardo_medio_arrivo)
+             for r in R.airport_month_means(flights).collect()}
+    got = {(r.aeroporto_partenza, r.mese): (r.ritardo_medio_partenza, r.ritardo_medio_arrivo)
+           for r in q2.collect()}
+    assert got == means
+    plain = {(r.aeroporto_partenza, r.mese): r.cause_maggiori
+             for r in R.airport_month_report(flights).collect()}
+    assert {k: r.cause_maggiori for k, r in
+            ((( r.aeroporto_partenza, r.mese), r) for r in q2.collect())} == plain
+    plan = R.airport_month_report(flights, sort=False, with_means=True)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
