@@ -21,15 +21,22 @@ def _cols(cs) -> list[Column]:
 
 def unpivot_columns(df: DataFrame, ids: Sequence[str], values: Mapping[str, str],
                     name_col: str = "name", value_col: str = "value",
-                    keep_empty: bool = False) -> DataFrame:
+                    keep_empty: bool = False, only_if: Column | None = None,
+                    value_type: str | None = None) -> DataFrame:
     """One row per (id, value column): ``values`` maps column -> label.
 
-    ``keep_empty`` turns an input row with null ``values`` array into one
-    row with null name and value (``explode_outer``); used when the caller
-    has to keep every group.
+    ``only_if``: input rows where it is not true produce no value rows;
+    with ``keep_empty`` they produce one row with null name and value
+    (``explode_outer``), so that every input row stays represented.
     """
-    items = F.array(*[F.struct(F.lit(label).alias(name_col), F.col(c).alias(value_col))
+    def value(c):
+        v = F.col(c)
+        return v.cast(value_type) if value_type else v
+
+    items = F.array(*[F.struct(F.lit(label).alias(name_col), value(c).alias(value_col))
                       for c, label in values.items()])
+    if only_if is not None:
+        items = F.when(only_if, items)
     gen = F.explode_outer(items) if keep_empty else F.explode(items)
     return (df.select(*ids, gen.alias("_kv"))
               .select(*ids, F.col(f"_kv.{name_col}").alias(name_col),

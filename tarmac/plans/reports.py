@@ -99,15 +99,9 @@ def causes_long(agg: DataFrame, keep: list[str] | None = None,
     aggregates over ``cancelled = 0`` have none); with ``keep_empty`` they
     keep a single row whose cause is null.
     """
-    ids = ["origin", "month", *(keep or [])]
-    src = agg.withColumn("_has", F.col("_flown") > 0)
-    items = F.when(F.col("_has"), F.array(*[
-        F.struct(F.lit(name).alias("causa"), F.col(c).cast("bigint").alias("minuti_totali"))
-        for c, name in CAUSES.items()]))
-    gen = F.explode_outer(items) if keep_empty else F.explode(items)
-    return (src.select(*ids, gen.alias("_kv"))
-               .select(*ids, F.col("_kv.causa").alias("causa"),
-                       F.col("_kv.minuti_totali").alias("minuti_totali")))
+    return unpivot_columns(agg, ["origin", "month", *(keep or [])], CAUSES, "causa",
+                           "minuti_totali", keep_empty=keep_empty,
+                           only_if=F.col("_flown") > 0, value_type="bigint")
 
 
 def cause_order() -> list:

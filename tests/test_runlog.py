@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from tarmac.functions.text import fmt_duration, map_values
 from tarmac.plans import runlog as RL
 from tarmac.sources.io import read_runlog
