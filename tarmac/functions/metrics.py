@@ -69,7 +69,7 @@ def clipped_mean(c: ColumnOrName, low: float = 0.0) -> Column:
 def rate(cond: Column, scale: int | None = 2, percent: bool = True) -> Column:
     """Share of rows where ``cond`` is true, in percent, rounded to ``scale``."""
     hits = F.sum(F.when(F.coalesce(cond, F.lit(False)), F.lit(1.0)).otherwise(F.lit(0.0)))
-    share = hits / F.count(F.lit(1))
+    share = F.try_divide(hits, F.count(F.lit(1)))  # null (not an error) on no rows
     if percent:
         share = share * F.lit(100.0)
     return share if scale is None else stable_round(share, scale)

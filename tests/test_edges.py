@@ -147,3 +147,9 @@ def test_rate_scales(spark):
     df = flight_rows(spark, rows)
     assert R.carrier_stats(df).collect()[0].tasso_cancellazione == 1.69
     assert R.carrier_stats(df, rate_scale=1).collect()[0].tasso_cancellazione == 1.7
+
+
+def test_rate_on_empty_input_is_null(spark):
+    from tarmac.functions.metrics import rate
+    df = flight_rows(spark, [{}]).limit(0)
+    assert df.agg(rate(F.col("cancelled") == 1).alias("r")).first().r is None
