@@ -2,9 +2,9 @@
 
 Each text derives the flight view from the supplied tables and then
 computes a result with plain SQL, written independently of the DataFrame
-plans (for Q2 it keeps the original's structure: five filtered
-aggregates, UNION ALL, row_number, left join).  Rounding goes through
-``decimal(18,6)`` exactly as ``stable_round`` does.
+plans (UNPIVOT for the cause rows, a correlated subquery for the airport
+baseline).  Rounding goes through ``decimal(18,6)`` exactly as
+``stable_round`` does.
 """
 
 from __future__ import annotations
@@ -87,91 +87,94 @@ def with_flights(body: str, ctes: str = "") -> str:
 
 
 def cancel_rate_sql(scale: int | None = 2) -> str:
-    share = ("CAST(sum(CASE WHEN cancelled = 1 THEN 1.0 ELSE 0.0 END) AS DOUBLE)"
-             " / count(*) * 100.0")
+    share = "CAST(count(*) FILTER (WHERE cancelled = 1) AS DOUBLE) / count(*) * 100.0"
     return share if scale is None else rnd(share, scale)
 
 
 Q1 = f"""
-SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza, count(*) AS numero_voli,
-       coalesce(min(CASE WHEN cancelled = 0 AND arr_delay >= 1.0 THEN arr_delay END), 0.0)
+SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza, month AS mese,
+       count(*) AS numero_voli,
+       coalesce(min(arr_delay) FILTER (WHERE cancelled = 0 AND arr_delay >= 1.0), 0.0)
          AS ritardo_minimo,
-       coalesce(max(CASE WHEN cancelled = 0 THEN arr_delay END), 0.0) AS ritardo_massimo,
-       {rnd("avg(greatest(0.0, coalesce(arr_delay, 0.0)))")} AS ritardo_medio,
-       {cancel_rate_sql(2)} AS tasso_cancellazione,
-       month AS mese
+       coalesce(max(arr_delay) FILTER (WHERE cancelled = 0), 0.0) AS ritardo_massimo,
+       {rnd("avg(CASE WHEN arr_delay > 0 THEN arr_delay ELSE 0.0 END)")} AS ritardo_medio,
+       {cancel_rate_sql(2)} AS tasso_cancellazione
 FROM flights
-GROUP BY op_unique_carrier, origin, month
+GROUP BY ALL
 """
 
 BANDS = """
 SELECT origin, month,
-       sum(CASE WHEN cancelled = 0 AND dep_delay < 15.0 THEN 1 ELSE 0 END) AS numero_ritardi_basso,
-       sum(CASE WHEN cancelled = 0 AND dep_delay BETWEEN 15.0 AND 60.0 THEN 1 ELSE 0 END)
+       count(*) FILTER (WHERE cancelled = 0 AND dep_delay < 15.0) AS numero_ritardi_basso,
+       count(*) FILTER (WHERE cancelled = 0 AND dep_delay >= 15.0 AND dep_delay <= 60.0)
          AS numero_ritardi_medio,
-       sum(CASE WHEN cancelled = 0 AND dep_delay > 60.0 THEN 1 ELSE 0 END) AS numero_ritardi_alto
-FROM flights GROUP BY origin, month
+       count(*) FILTER (WHERE cancelled = 0 AND dep_delay > 60.0) AS numero_ritardi_alto
+FROM flights GROUP BY ALL
 """
 
+# Cause rows: one aggregate with a column per cause, turned into rows by
+# UNPIVOT; ranked; the top three joined into the list text.
 CAUSE_UNION = """
+cause_wide AS (
+  SELECT origin, month,
+         sum(carrier_delay) FILTER (WHERE cancelled = 0) AS "Carrier",
+         sum(weather_delay) FILTER (WHERE cancelled = 0) AS "Weather",
+         sum(nas_delay) FILTER (WHERE cancelled = 0) AS "NAS",
+         sum(security_delay) FILTER (WHERE cancelled = 0) AS "Security",
+         sum(late_aircraft_delay) FILTER (WHERE cancelled = 0) AS "Late Aircraft"
+  FROM flights GROUP BY ALL
+  HAVING count(*) FILTER (WHERE cancelled = 0) > 0
+),
 cause_sums AS (
-  SELECT origin, month, 'Carrier' AS causa, sum(carrier_delay) AS minuti_totali
-  FROM flights WHERE cancelled = 0 GROUP BY origin, month
-  UNION ALL
-  SELECT origin, month, 'Weather', sum(weather_delay)
-  FROM flights WHERE cancelled = 0 GROUP BY origin, month
-  UNION ALL
-  SELECT origin, month, 'NAS', sum(nas_delay)
-  FROM flights WHERE cancelled = 0 GROUP BY origin, month
-  UNION ALL
-  SELECT origin, month, 'Security', sum(security_delay)
-  FROM flights WHERE cancelled = 0 GROUP BY origin, month
-  UNION ALL
-  SELECT origin, month, 'Late Aircraft', sum(late_aircraft_delay)
-  FROM flights WHERE cancelled = 0 GROUP BY origin, month
+  SELECT origin, month, causa, CAST(minuti_totali AS BIGINT) AS minuti_totali
+  FROM cause_wide UNPIVOT INCLUDE NULLS (
+         minuti_totali FOR causa IN ("Carrier", "Weather", "NAS", "Security", "Late Aircraft"))
 ),
 cause_ranked AS (
-  SELECT origin, month, causa, CAST(minuti_totali AS BIGINT) AS minuti_totali,
-         causa || ' (' || CAST(CAST(minuti_totali AS BIGINT) AS VARCHAR) || ' min)' AS cause_desc,
+  SELECT *,
+         printf('%s (%d min)', causa, minuti_totali) AS cause_desc,
          row_number() OVER (PARTITION BY origin, month
-                            ORDER BY minuti_totali DESC NULLS LAST, causa ASC) AS ranking
+                            ORDER BY minuti_totali DESC NULLS LAST, causa) AS ranking
   FROM cause_sums
 ),
 cause_top AS (
   SELECT origin, month,
-         '[''' || string_agg(cause_desc, ''', ''' ORDER BY ranking) || ''']' AS cause_maggiori
-  FROM cause_ranked WHERE ranking <= 3
-  GROUP BY origin, month
+         '[' || string_agg(chr(39) || cause_desc || chr(39), ', ' ORDER BY ranking) || ']'
+           AS cause_maggiori
+  FROM cause_ranked WHERE ranking <= 3 AND cause_desc IS NOT NULL
+  GROUP BY ALL
 ),
 bands AS ({bands})""".format(bands=BANDS)
 
 Q2 = """
 SELECT b.origin AS aeroporto_partenza, b.month AS mese,
-       CAST(b.numero_ritardi_basso AS BIGINT) AS numero_ritardi_basso,
-       CAST(b.numero_ritardi_medio AS BIGINT) AS numero_ritardi_medio,
-       CAST(b.numero_ritardi_alto AS BIGINT) AS numero_ritardi_alto,
-       coalesce(t.cause_maggiori, '[]') AS cause_maggiori
-FROM bands b LEFT JOIN cause_top t ON b.origin = t.origin AND b.month = t.month
+       b.numero_ritardi_basso, b.numero_ritardi_medio, b.numero_ritardi_alto,
+       CASE WHEN t.cause_maggiori IS NULL THEN '[]' ELSE t.cause_maggiori END AS cause_maggiori
+FROM bands b LEFT JOIN cause_top t USING (origin, month)
 """
 
+# Q3: the airport baseline is a correlated scalar subquery over the rows.
 Q3_CTES = f"""
 airport_stat AS (
-  SELECT origin, {rnd("avg(CASE WHEN cancelled = 0 THEN dep_delay END)")} AS media_aeroporto
-  FROM flights GROUP BY origin
+  SELECT origin,
+         {rnd("sum(dep_delay) FILTER (WHERE cancelled = 0) / "
+              "count(dep_delay) FILTER (WHERE cancelled = 0)")} AS media_aeroporto
+  FROM flights GROUP BY ALL
 ),
 pair_stat AS (
   SELECT origin, op_unique_carrier, count(*) AS numero_voli,
-         {rnd("avg(CASE WHEN cancelled = 0 THEN dep_delay END)")} AS ritardo_medio_partenza,
-         {rnd("avg(CASE WHEN cancelled = 0 THEN arr_delay END)")} AS ritardo_medio_arrivo,
+         {rnd("avg(dep_delay) FILTER (WHERE cancelled = 0)")} AS ritardo_medio_partenza,
+         {rnd("avg(arr_delay) FILTER (WHERE cancelled = 0)")} AS ritardo_medio_arrivo,
          {cancel_rate_sql(2)} AS tasso_cancellazione
-  FROM flights GROUP BY origin, op_unique_carrier
+  FROM flights GROUP BY ALL
 ),
 q3 AS (
   SELECT ps.origin AS aeroporto_partenza, ps.op_unique_carrier AS compagnia, ps.numero_voli,
          ps.ritardo_medio_partenza, ps.ritardo_medio_arrivo, ps.tasso_cancellazione,
-         {rnd("ps.ritardo_medio_partenza - a.media_aeroporto")} AS differenza,
+         {rnd("ps.ritardo_medio_partenza - (SELECT " + rnd("avg(f.dep_delay)") +
+              " FROM flights f WHERE f.origin = ps.origin AND f.cancelled = 0)")} AS differenza,
          CAST(rank() OVER (PARTITION BY ps.origin
                            ORDER BY ps.ritardo_medio_partenza ASC NULLS FIRST) AS BIGINT)
            AS classifica
-  FROM pair_stat ps JOIN airport_stat a ON ps.origin = a.origin
+  FROM pair_stat ps
 )"""
