@@ -6,6 +6,7 @@ Values and identifiers are bound with Spark's named parameter markers
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,14 +42,39 @@ def use_db(spark: SparkSession, db: str) -> None:
     spark.catalog.setCurrentDatabase(db)
 
 
-def run_sql_text(spark: SparkSession, text: str, args: dict | None = None) -> DataFrame:
-    """Parse and analyse one statement into a lazy DataFrame."""
-    return spark.sql(text.strip().rstrip(";"), args=args or None)
+_VAR_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
-def run_sql_file(spark: SparkSession, path: str | Path, args: dict | None = None) -> DataFrame:
+def run_sql_text(spark: SparkSession, text: str, args: dict | None = None,
+                 variables: dict | None = None) -> DataFrame:
+    """Parse and analyse one statement into a lazy DataFrame.
+
+    ``args`` bind ``:name`` parameter markers.  ``variables`` fill Hive-style
+    ``${name}`` references through Spark's own variable substitution: each
+    is a session setting only while the statement is parsed.  Names are
+    plain identifiers, so they never collide with (dotted) Spark settings.
+    """
+    variables = variables or {}
+    bad = [k for k in variables if not _VAR_NAME.match(k)]
+    if bad:
+        raise ValueError(f"invalid variable names: {bad}")
+    saved = {k: spark.conf.get(k, None) for k in variables}
+    for k, v in variables.items():
+        spark.conf.set(k, str(v))
+    try:
+        return spark.sql(text.strip().rstrip(";"), args=args or None)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def run_sql_file(spark: SparkSession, path: str | Path, args: dict | None = None,
+                 variables: dict | None = None) -> DataFrame:
     """Run a SQL file; a bare name is looked up in the package's ``sql`` folder."""
     p = Path(path)
     if not p.exists():
         p = SQL_DIR / (p.name if p.suffix else f"{p.name}.sql")
-    return run_sql_text(spark, p.read_text(), args)
+    return run_sql_text(spark, p.read_text(), args, variables)

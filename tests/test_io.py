@@ -112,3 +112,18 @@ def test_register_table_with_ddl_schema(spark, tmp_dir):
     t = spark.table(name)
     assert [(f.name, f.dataType) for f in t.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
     assert t.count() == 5384
+
+
+def test_setup_table_ddl_with_path_variable(spark, tmp_dir):
+    from tarmac.schema import CLEAN_SCHEMA
+    path = os.path.join(tmp_dir, "ddl_var")
+    C.flights(spark, SF_SMALL).write.parquet(path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS flights_ddl_db")
+    spark.sql("DROP TABLE IF EXISTS flights_ddl_db.flights")
+    run_sql_file(spark, "setup_table", {"table": "flights_ddl_db.flights"}, {"path": path})
+    t = spark.table("flights_ddl_db.flights")
+    assert [(f.name, f.dataType) for f in t.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
+    assert t.count() == 5384
+    assert spark.conf.get("path", None) is None  # the variable does not linger
+    with pytest.raises(ValueError):
+        run_sql_text(spark, "SELECT 1", variables={"spark.sql.x": "1"})
