@@ -9,11 +9,13 @@ driver collect); the median is reported.  Prints ONE JSON line.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 import uuid
 
@@ -33,11 +35,16 @@ def main() -> None:
     from tarmac.session import checkpoint_dir, get_session
     from tarmac.sources.catalog import register_table, run_sql_file
 
+    event_dir = tempfile.mkdtemp(prefix="tarmac-bench-events-")
     spark = get_session(f"local[{cpus}]", app="tarmac-bench", shuffle_partitions=int(cpus),
-                        conf={"spark.driver.memory": "16g"})
+                        conf={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
+                              "spark.eventLog.dir": event_dir,
+                              "spark.eventLog.rolling.enabled": "false",
+                              "spark.eventLog.compress": "false"})
     startup = time.perf_counter() - t0
 
-    def run(df) -> float:
+    def run(df, label: str = "other") -> float:
+        spark.sparkContext.setJobDescription(label)
         t = time.perf_counter()
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
@@ -64,10 +71,12 @@ def main() -> None:
         "sql_q3": lambda: run_sql_file(spark, "q3", {"flights": "bench_flights", "rate_scale": 2}),
         "q2_from_tables": lambda: C.q2_report(spark, sf_dir),
     }
-    run(plans["q1_carrier_stats"]())  # warm-up: JIT, file listing cache
+    for name, build in plans.items():  # one untimed round: JIT, file listing cache
+        run(build(), f"{name}#warm")
     times = {}
     for name, build in plans.items():
-        times[name] = round(statistics.median(run(build()) for _ in range(reps)), 3)
+        times[name] = round(statistics.median(run(build(), f"{name}#{i}")
+                                              for i in range(reps)), 3)
     times["prep_clean"] = round(prep, 3)
     headline = ["q1_carrier_stats", "q2_report", "q3_anomaly_rank"]
     out = {
@@ -82,8 +91,38 @@ def main() -> None:
         "reps": reps,
     }
     spark.stop()
+    out["plan_stats"] = stage_stats(event_dir, headline)
     print(json.dumps(out))
 
 
+def stage_stats(event_dir: str, names: list[str]) -> dict:
+    """Per query (first repetition), from Spark's event log: stages run,
+    rows read from files and bytes written to shuffle files."""
+    jobs, stages = {}, {}
+    for path in glob.glob(os.path.join(event_dir, "**", "*"), recursive=True):
+        if not os.path.isfile(path):
+            continue
+        with open(path, errors="replace") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description", "")
+                    jobs.setdefault(desc, []).extend(ev.get("Stage IDs", []))
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    acc = {a.get("Name"): a.get("Value") for a in info.get("Accumulables", [])}
+                    stages[info["Stage ID"]] = acc
+    out = {}
+    for name in names:
+        ids = [i for i in jobs.get(f"{name}#0", []) if i in stages]
+        total = lambda key: int(sum(float(stages[i].get(key, 0) or 0) for i in ids))
+        out[name] = {"stages": len(ids),
+                     "input_rows": total("internal.metrics.input.recordsRead"),
+                     "shuffle_write_bytes": total("internal.metrics.shuffle.write.bytesWritten"),
+                     "shuffle_records": total("internal.metrics.shuffle.write.recordsWritten")}
+    return out
+
+
 if __name__ == "__main__":
     main()
