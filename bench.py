@@ -50,9 +50,11 @@ def main() -> None:
         return time.perf_counter() - t
 
     clean_path = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_bench_clean_{uuid.uuid4().hex}"
-    # warm-up of the JVM on the smallest data (not timed)
-    run(C.q1_carrier_stats(spark, sf_dir.rsplit("/", 1)[0] + "/sf0.001")
-        if os.path.isdir(sf_dir.rsplit("/", 1)[0] + "/sf0.001") else C.flights(spark, sf_dir))
+    # untimed warm-up of the JVM and of the generated code on the smallest data
+    small = sf_dir.rsplit("/", 1)[0] + "/sf0.001"
+    if os.path.isdir(small):
+        run(C.flights(spark, small).repartition(int(cpus)), "warm")
+        run(C.q1_carrier_stats(spark, small), "warm")
     # The supplied lineitem is a single Parquet row group, so the derived
     # table comes out of one task; it is written as BENCH_CPUS files, the
     # way a table written by a cluster job is spread over many files.
