@@ -136,3 +136,21 @@ def test_q2_with_means_single_pass(flights):
     plan = R.airport_month_report(flights, sort=False, with_means=True)._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_exact_sample_size_nested_and_layout_free(spark, tmp_dir):
+    import os
+    path = os.path.join(tmp_dir, "exact")
+    C.flights(spark, SF_SMALL).repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    n = df.count()
+    s10 = volumes.sample_exact(df, 10)
+    s50 = volumes.sample_exact(df, 50)
+    assert s10.count() == round(n * 0.10) and s50.count() == round(n * 0.50)
+    assert s10.exceptAll(s50).count() == 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        again = volumes.sample_exact(spark.read.parquet(path), 10)
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, s10.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
