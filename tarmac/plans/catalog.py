@@ -12,8 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.metrics import clipped_mean, rate, stable_round
-from tarmac.functions.text import cause_label, fmt_duration, map_values
+from tarmac.functions.metrics import clipped_mean, max_where, min_where, rate, stable_round
+from tarmac.functions.text import cause_label, fmt_duration, list_text, map_values
 from tarmac.operators import prep, profile, volumes
 from tarmac.operators.baseline import join_baseline, rank_in_group
 from tarmac.operators.profile import head_n
@@ -26,6 +26,7 @@ from tarmac.session import checkpoint_dir
 from tarmac.sources.catalog import register_table, run_sql_file
 from tarmac.sources.flightview import flights_raw
 from tarmac.sources.io import read_clean
+from tarmac.streaming import run_incremental_report
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -118,9 +119,6 @@ def clean_parse_date(spark, sf_dir):
     return prep.parse_date(flights_raw(spark, sf_dir), "fl_date")
 
 
-_CAUSE_LIST = ", ".join(CAUSES)
-
-
 @register("clean_coerce", W(
     "SELECT origin, month, " + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in CAUSES)
     + " FROM flights_raw"))
@@ -239,7 +237,6 @@ SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza,
        coalesce(max(CASE WHEN cancelled = 0 THEN arr_delay END), 0.0) AS ritardo_massimo
 FROM flights GROUP BY op_unique_carrier, origin"""))
 def cond_agg(spark, sf_dir):
-    from tarmac.functions.metrics import max_where, min_where
     arr = F.col("arr_delay")
     return (flights(spark, sf_dir).groupBy("op_unique_carrier", "origin")
             .agg(min_where(arr, R.flown() & (arr >= 1.0), 0.0).alias("ritardo_minimo"),
@@ -344,7 +341,6 @@ def cause_label_q(spark, sf_dir):
 @register("q2_causes", W("SELECT origin AS aeroporto_partenza, month AS mese, cause_maggiori "
                          "FROM cause_top", O.CAUSE_UNION))
 def q2_causes(spark, sf_dir):
-    from tarmac.functions.text import list_text
     top = top_k_per_group(_causes_long(spark, sf_dir), ["origin", "month"], R.cause_order(), 3)
     return (top.groupBy("origin", "month")
                .agg(list_text(ordered_list("ranking", cause_label("causa", "minuti_totali")))
@@ -560,7 +556,6 @@ def fmt_duration_q(spark, sf_dir):
 
 # --------------------------------------------------------------- streaming
 def _stream(spark, sf_dir, report):
-    from tarmac.streaming import run_incremental_report
     src = scan_clean(spark, sf_dir).inputFiles()[0].rsplit("/", 1)[0]
     run = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_stream_{uuid.uuid4().hex}"
     run_incremental_report(spark, src, f"{run}/out", report, f"{run}/ckpt")
