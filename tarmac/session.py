@@ -28,6 +28,27 @@ _DEFAULTS = {
 }
 
 
+# Suggested settings for a large cluster (pass as ``conf=CLUSTER_CONF``).
+# The reports shuffle partial aggregates only, so the shuffle settings
+# mostly matter for the preparation jobs and joins of derived inputs.
+CLUSTER_CONF = {
+    # 100 TB in 256 MiB splits is ~400k scan tasks: enough parallelism,
+    # bounded task-scheduling overhead.
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # Start shuffles wide; AQE merges small partitions to the advisory size
+    # and splits skewed ones (skew join).
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    # Executors can go away (spot / preemption): move their shuffle and
+    # cached blocks off before they leave; deterministic tasks recompute
+    # whatever is still lost.
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app: str = "tarmac",
                 shuffle_partitions: int | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
