@@ -27,7 +27,6 @@ from tarmac.operators.topk import ordered_list, top_k_per_group, unpivot_columns
 from tarmac.schema import BAND_HIGH_ABOVE, BAND_LOW_BELOW, CAUSES, TOP_CAUSES
 
 
-
 def flown():
     """Row is a flown (not cancelled) flight."""
     return F.col("cancelled") == 0
@@ -124,15 +123,17 @@ def airport_month_report(df: DataFrame, k: int = TOP_CAUSES, sort: bool = True,
 
 def airport_month_finish(agg: DataFrame, k: int = TOP_CAUSES, sort: bool = True) -> DataFrame:
     """Q2 from its (origin, month) aggregate: top-k causes and the text."""
-    bands = ["numero_ritardi_basso", "numero_ritardi_medio", "numero_ritardi_alto"]
-    bands += [c for c in MEAN_COLUMNS if c in agg.columns]
-    long = causes_long(agg, keep=bands, keep_empty=True)
+    # per-group values carried through the cause rows (constant per group;
+    # regrouping on them needs no exchange: the partitioning is on the keys)
+    carry = ["numero_ritardi_basso", "numero_ritardi_medio", "numero_ritardi_alto"]
+    carry += [c for c in MEAN_COLUMNS if c in agg.columns]
+    long = causes_long(agg, keep=carry, keep_empty=True)
     top = top_k_per_group(long, ["origin", "month"], cause_order(), k)
-    out = (top.groupBy("origin", "month", *bands)
+    out = (top.groupBy("origin", "month", *carry)
               .agg(ordered_list("ranking", cause_label("causa", "minuti_totali"))
                    .alias("_causes"))
               .select(F.col("origin").alias("aeroporto_partenza"), F.col("month").alias("mese"),
-                      *bands, list_text("_causes").alias("cause_maggiori")))
+                      *carry, list_text("_causes").alias("cause_maggiori")))
     return out.orderBy("aeroporto_partenza", "mese") if sort else out
 
 
