@@ -6,7 +6,8 @@ SELECT op_unique_carrier AS codice,
        coalesce(min(arr_delay) FILTER (WHERE cancelled = 0 AND arr_delay >= 1.0), 0.0)
          AS ritardo_minimo,
        coalesce(max(arr_delay) FILTER (WHERE cancelled = 0), 0.0) AS ritardo_massimo,
-       CAST(round(CAST(avg(greatest(0.0, coalesce(arr_delay, 0.0))) AS DECIMAL(18, 6)), 2)
+       -- late minutes averaged over ALL flights: early, cancelled, diverted count 0
+       CAST(round(CAST(avg(if(arr_delay > 0, arr_delay, 0.0)) AS DECIMAL(18, 6)), 2)
             AS DOUBLE) AS ritardo_medio,
        CAST(round(CAST(count_if(cancelled = 1) / count(*) * 100.0 AS DECIMAL(18, 6)),
                   :rate_scale) AS DOUBLE) AS tasso_cancellazione,
