@@ -154,3 +154,21 @@ def test_exact_sample_size_nested_and_layout_free(spark, tmp_dir):
         assert sorted(map(tuple, again.collect())) == sorted(map(tuple, s10.collect()))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """fl_date is a timestamp without time zone: cleaning, month keys and
+    the hash sample are the same under any session time zone."""
+    def snapshot():
+        f = C.flights(spark, SF_SMALL)
+        return (_rows(f.select("fl_date", "month", "origin")),
+                _rows(volumes.sample_volume(f, 10).select("fl_date", "origin")),
+                _rows(R.carrier_stats(f)))
+    base = snapshot()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert snapshot() == base
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
