@@ -10,16 +10,44 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from tarmac.schema import RAW_SCHEMA, RUNLOG_SCHEMA
+from tarmac.schema import CAUSE_COLUMNS, RAW_SCHEMA, RUNLOG_SCHEMA
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
-             header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
-    """CSV with header and an explicit schema (no inference job)."""
-    return (spark.read.schema(schema).option("header", header).option("mode", mode)
-            .csv(path))
+             header: bool = True, mode: str = "PERMISSIVE", by_name: bool = True,
+             lenient: tuple[str, ...] = CAUSE_COLUMNS) -> DataFrame:
+    """CSV with a header, typed by ``schema`` (no inference pass).
+
+    ``by_name``: columns are matched to the schema by header name (any
+    order, extra columns ignored, case-insensitive; a missing column is
+    null).  The header gives untyped text columns; only the selected ones
+    are parsed (CSV column pruning) and cast JVM-side.  ``lenient`` columns
+    use ``try_cast`` (text that is not a number becomes null, to be imputed
+    later); the others fail on malformed values under ANSI mode.
+    Without ``by_name`` the schema is applied by position.
+    """
+    if not (by_name and header):
+        return (spark.read.schema(schema).option("header", header).option("mode", mode)
+                .csv(path))
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    present = {c.lower(): c for c in text.columns}
+    cols = []
+    for f in schema:
+        src = present.get(f.name.lower())
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c = F.col(f"`{src}`")
+        if f.name in lenient and not isinstance(f.dataType, StringType):
+            # through double so that "12.0" is accepted like an integral "12"
+            c = c.try_cast("double").try_cast(f.dataType)
+        else:
+            c = c.cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return text.select(*cols)
 
 
 def read_runlog(spark: SparkSession, path: str) -> DataFrame:

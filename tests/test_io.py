@@ -127,3 +127,22 @@ def test_setup_table_ddl_with_path_variable(spark, tmp_dir):
     assert spark.conf.get("path", None) is None  # the variable does not linger
     with pytest.raises(ValueError):
         run_sql_text(spark, "SELECT 1", variables={"spark.sql.x": "1"})
+
+
+def test_read_raw_by_header_name(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "raw_odd.csv")
+    with open(path, "w") as fh:
+        fh.write("DEST,EXTRA,ORIGIN,FL_DATE,Month,OP_UNIQUE_CARRIER,CANCELLED,DIVERTED,"
+                 "ARR_DELAY,DEP_DELAY,CARRIER_DELAY\n")
+        fh.write("ATL,zz,ABE,2024-01-05,1,9E,0,0,12.0,3.0,12.0\n")
+        fh.write("BOS,zz,ABE,2024-01-06,1,9E,0,0,-4.0,1.0,x\n")
+    raw = IO.read_raw(spark, path)
+    assert [(f.name, f.dataType) for f in raw.schema] == \
+        [(f.name, f.dataType) for f in __import__("tarmac.schema").schema.RAW_SCHEMA]
+    rows = sorted(raw.collect(), key=lambda r: r.dest)
+    assert (rows[0].origin, rows[0].dest, rows[0].month, rows[0].arr_delay) == ("ABE", "ATL", 1, 12.0)
+    assert rows[0].carrier_delay == 12 and rows[1].carrier_delay is None
+    assert rows[0].year is None and rows[0].weather_delay is None
+    from tarmac.operators import prep
+    clean = prep.clean(raw).collect()
+    assert sorted(r.carrier_delay for r in clean) == [0, 12]
