@@ -39,6 +39,17 @@ def sample_key(seed: int = SAMPLE_SEED) -> Column:
     return F.substring(F.md5(F.concat_ws("|", *parts)), 1, HASH_DIGITS)
 
 
+def require_file_backed(df: DataFrame) -> DataFrame:
+    """Fail clearly when ``df`` has no file-position metadata (it was not
+    read from Parquet files).  Analysis only, no job."""
+    try:
+        df.select(F.col("_metadata.row_index"))
+    except Exception as e:  # noqa: BLE001 - AnalysisException
+        raise ValueError("position-based sampling needs a frame read from Parquet files "
+                         "(write the table, read it back)") from e
+    return df
+
+
 def position_key(seed: int = SAMPLE_SEED) -> Column:
     """Leading hex digits of md5 over (file name, row index in file)."""
     name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
@@ -66,6 +77,8 @@ def sample_volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED,
     if key is not None:
         k = key
     else:
+        if by == "position":
+            require_file_backed(df)
         k = {"row": sample_key, "position": position_key}[by](seed)
     return df.filter(k < F.lit(threshold(percent / 100.0)))
 
@@ -81,6 +94,7 @@ def sample_exact(df: DataFrame, percent: float, seed: int = SAMPLE_SEED) -> Data
     ordered by their full hash.  Needs a frame read from Parquet files;
     costs three extra passes, so it is for modest volumes.
     """
+    require_file_backed(df)
     full = F.md5(F.concat_ws("|", F.substring_index(F.col("_metadata.file_path"), "/", -1),
                              F.col("_metadata.row_index").cast("string"), F.lit(str(seed))))
     keyed = df.withColumn("_k", full)

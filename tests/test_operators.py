@@ -86,3 +86,12 @@ def test_unpivot_columns_keep_empty(spark):
                           only_if=F.col("ok"))
     assert sorted(tuple(r) for r in out.collect()) == [("a", "P", 1), ("a", "Q", 2),
                                                       ("b", None, None)]
+
+
+def test_position_sampling_needs_files(spark):
+    from tarmac.operators import volumes
+    df = flight_rows(spark, [{}, {}])
+    with pytest.raises(ValueError, match="read from Parquet"):
+        volumes.sample_volume(df, 50, by="position")
+    with pytest.raises(ValueError, match="read from Parquet"):
+        volumes.sample_exact(df, 50)
