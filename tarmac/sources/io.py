@@ -32,7 +32,8 @@ def read_raw(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
     if not (by_name and header):
         return (spark.read.schema(schema).option("header", header).option("mode", mode)
                 .csv(path))
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    text = (spark.read.option("header", True).option("inferSchema", False)
+            .option("mode", mode).csv(path))
     present = {c.lower(): c for c in text.columns}
     cols = []
     for f in schema:
