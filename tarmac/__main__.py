@@ -1,4 +1,4 @@
-"""Command line: ``python -m tarmac <report|sql|prepare> ...``.
+"""Command line: ``python -m tarmac [--cluster] [--conf K=V] <report|sql|prepare> ...``.
 
   report q1|q2|q3|routes|months|airport_month_means|cancel_causes INPUT OUTPUT [--rate-scale N]
   sql    q1|q2|q3|PATH.sql INPUT OUTPUT [--sep S]
@@ -11,11 +11,15 @@ import argparse
 import sys
 
 from tarmac.plans import jobs
-from tarmac.session import get_session
+from tarmac.session import CLUSTER_CONF, get_session
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tarmac")
+    ap.add_argument("--cluster", action="store_true",
+                    help="apply tarmac.session.CLUSTER_CONF")
+    ap.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE",
+                    help="extra Spark setting (repeatable)")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("report")
     r.add_argument("name", choices=sorted(jobs.REPORTS))
@@ -32,7 +36,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("base")
     a = ap.parse_args(argv)
 
-    spark = get_session(app=f"tarmac-{a.cmd}")
+    conf = dict(CLUSTER_CONF) if a.cluster else {}
+    for item in a.conf:
+        key, sep, value = item.partition("=")
+        if not sep:
+            ap.error(f"--conf needs KEY=VALUE, got {item!r}")
+        conf[key] = value
+    spark = get_session(app=f"tarmac-{a.cmd}", conf=conf)
     try:
         if a.cmd == "report":
             out = jobs.report_job(spark, a.input, a.name, a.output, a.rate_scale)
