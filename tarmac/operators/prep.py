@@ -13,9 +13,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarmac.functions.metrics import nan_to_null
-from tarmac.schema import CAUSE_COLUMNS, OUTLIER_HIGH, OUTLIER_LOW, TARGET_COLUMNS
+from tarmac.schema import CAUSE_COLUMNS, CLEAN_SCHEMA, OUTLIER_HIGH, OUTLIER_LOW, TARGET_COLUMNS
 
 
 def _false_if_null(cond: Column) -> Column:
@@ -92,6 +93,14 @@ def drop_outliers(df: DataFrame, low: float = OUTLIER_LOW, high: float = OUTLIER
     return df.filter(~outlier_condition(low, high))
 
 
+def conform(df: DataFrame, schema: StructType = CLEAN_SCHEMA) -> DataFrame:
+    """Cast the columns present to the declared types of ``schema`` (as the
+    table DDL fixes them); a no-op when the types already match."""
+    types = {f.name: f.dataType for f in schema}
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types and
+                       df.schema[c].dataType != types[c] else F.col(c) for c in df.columns])
+
+
 def clean(df: DataFrame) -> DataFrame:
     """The whole chain in the original order.
 
@@ -104,4 +113,5 @@ def clean(df: DataFrame) -> DataFrame:
               .transform(parse_date, "fl_date")
               .transform(select_existing, TARGET_COLUMNS)
               .transform(impute_causes)
-              .transform(drop_outliers))
+              .transform(drop_outliers)
+              .transform(conform))

@@ -153,3 +153,17 @@ def test_rate_on_empty_input_is_null(spark):
     from tarmac.functions.metrics import rate
     df = flight_rows(spark, [{}]).limit(0)
     assert df.agg(rate(F.col("cancelled") == 1).alias("r")).first().r is None
+
+
+def test_clean_conforms_types_of_a_loose_raw_frame(spark):
+    """A raw frame with pandas-like types (numbers as doubles) cleans to
+    the declared clean schema."""
+    from tarmac.schema import CLEAN_SCHEMA
+    raw = _raw(spark, [{}, {"cancelled": 1, "dep_delay": None, "arr_delay": None}])
+    loose = raw.withColumns({"month": F.col("month").cast("double"),
+                             "cancelled": F.col("cancelled").cast("double"),
+                             "carrier_delay": F.col("carrier_delay").cast("string")})
+    out = prep.clean(loose)
+    assert [(f.name, f.dataType) for f in out.schema] == \
+        [(f.name, f.dataType) for f in CLEAN_SCHEMA]
+    assert out.count() == 2
