@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import bpe
+from tarmac.llm import bpe, minhash
 from tarmac.llm.common import read_table
 
 QUERIES: dict = {}
@@ -23,3 +23,33 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read_table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@_query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: 4-word shingles, similarity 0.8."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+ORACLE["op2_minhash"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 3], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -74,6 +74,10 @@ class Words:
         end = self.end if prefix is None else np.minimum(self.end, self.start + prefix)
         return mix((self.sums[end] - self.sums[self.start]) * _POWERS.down[self.start])
 
+    def range_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of any byte ranges (lines, phrases) of the same texts."""
+        return mix((self.sums[end] - self.sums[start]) * _POWERS.down[start])
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
@@ -134,15 +138,12 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     within each text, and texts + 1 offsets.
     """
     h, counts = words.hashes(), words.counts()
-    step = np.uint64(0xD6E8FEB86659FD93)
+    step = 0xD6E8FEB86659FD93
     total = len(h)
     n_texts = len(counts)
     rolled = np.zeros(total, np.uint64)
-    weight = np.uint64(1)
-    for j in range(size):
-        if j < total:
-            rolled[: total - j] += h[j:] * weight
-        weight = weight * step
+    for j in range(min(size, total)):
+        rolled[: total - j] += h[j:] * np.uint64(pow(step, j, 1 << 64))
     rolled = mix(rolled)
     out, offsets = [], np.zeros(n_texts + 1, np.int64)
     for i in range(n_texts):
@@ -150,9 +151,9 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
         if c >= size:
             got = np.unique(rolled[a: a + c - size + 1])
         elif c:
-            short = np.uint64(c)
-            for j in range(c):
-                short = short * step + h[a + j]
+            short = c
+            for value in h[a: a + c].tolist():
+                short = (short * step + value) & _MASK
             got = mix(np.array([short], np.uint64))
         else:
             got = rolled[:0]
