@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, minhash
-from tarmac.llm.common import read_table
+from tarmac.llm import bpe, minhash, toxicity
+from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -53,3 +54,13 @@ comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; a third of the labels is held out."""
+    docs, held = read_table(spark, sf_dir, "documents"), id_fold("doc_id", 3) == 1
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").filter(~held))
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
