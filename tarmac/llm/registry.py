@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, minhash, toxicity
+from tarmac.llm import bpe, minhash, quality, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -64,3 +64,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", held.alias("held_out"), "score",
         (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+@_query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a fifth of the labels is held out."""
+    docs, held = read_table(spark, sf_dir, "documents"), id_fold("doc_id", 5) == 0
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels").filter(~held))
+    return quality.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
