@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, minhash, quality, toxicity
+from tarmac.llm import bpe, minhash, mixing, quality, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -74,3 +74,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", held.alias("held_out"), "score",
         (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+@_query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is taken when no source repeats more than 1.5 times."""
+    docs = read_table(spark, sf_dir, "documents")
+    sources = mixing.plan(docs, max_repetition=1.5)
+    return mixing.decide(docs, sources).select(
+        "doc_id", "source", mixing.n_tokens().alias("n_tokens"), F.col("_weight").alias("weight"),
+        F.col("_repetition").alias("repetition"), F.col("_block").alias("block"), F.col("_copies").alias("copies"))
