@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, minhash, mixing, quality, toxicity
+from tarmac.llm import bpe, licenses, minhash, mixing, quality, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -84,3 +84,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decide(docs, sources).select(
         "doc_id", "source", mixing.n_tokens().alias("n_tokens"), F.col("_weight").alias("weight"),
         F.col("_repetition").alias("repetition"), F.col("_block").alias("block"), F.col("_copies").alias("copies"))
+
+
+@_query
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents")))
