@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, licenses, minhash, mixing, quality, toxicity
+from tarmac.llm import bpe, licenses, minhash, mixing, parsing, quality, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -90,3 +90,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and labels of every document."""
     return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents")))
+
+
+@_query
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return parsing.edited_fingerprints(read_table(spark, sf_dir, "documents"))
