@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, licenses, minhash, mixing, parsing, quality, toxicity
+from tarmac.llm import bpe, licenses, minhash, mixing, parsing, quality, suffixtree, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -96,3 +96,12 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return parsing.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document; a seventh of the documents is held out."""
+    docs, held = read_table(spark, sf_dir, "documents"), id_fold("doc_id", 7) == 2
+    model, vocabulary = suffixtree.fit(docs.filter(~held))
+    return suffixtree.score(docs, model, vocabulary).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
