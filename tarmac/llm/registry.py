@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, licenses, minhash, mixing, parsing, quality, suffixtree, toxicity
+from tarmac.llm import bpe, licenses, minhash, mixing, parsing, quality, sitetree, suffixtree, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -105,3 +105,9 @@ def op8_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, vocabulary = suffixtree.fit(docs.filter(~held))
     return suffixtree.score(docs, model, vocabulary).select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query
+def op4_sitetree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return sitetree.extract(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
