@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, licenses, minhash, mixing, parsing, quality, sitetree, suffixtree, toxicity
+from tarmac.llm import bpe, hashing, licenses, minhash, mixing, parsing, quality, sitetree, suffixtree, toxicity
 from tarmac.llm.common import id_fold, read_table
 
 QUERIES: dict = {}
@@ -111,3 +111,9 @@ def op8_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sitetree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return sitetree.extract(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return hashing.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
