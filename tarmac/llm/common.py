@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +13,21 @@ from pyspark.sql import functions as F
 from tarmac.session import checkpoint_dir
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Tasks import it; a session started elsewhere need not have it on its
+    Python path.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tarmac_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="tarmac-"), os.path.basename(package))
+    context.addPyFile(shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package)))
+    context._tarmac_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

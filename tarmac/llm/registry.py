@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import bpe, hashing, licenses, minhash, mixing, parsing, quality, sitetree, suffixtree, toxicity
-from tarmac.llm.common import id_fold, read_table
+from tarmac.llm.common import id_fold, read_table, ship
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
 def _query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @_query
