@@ -75,21 +75,21 @@ class TokenAutomaton:
         self.left: dict[int, tuple[tuple[int, int], ...]] = {}
         self.right: dict[int, tuple[tuple[int, int], ...]] = {}
         self.cells: dict[tuple[int, int], bool] = {}
-        made = {u + v for u, v in merges}
+        made = {u + v: time for time, (u, v) in reversed([*enumerate(merges)])}
+        if len(made) < len(merges):
+            raise ValueError("two merges make one token")
         for token, i in vocab.items():
             if token not in made:
                 self.left[i] = self.right[i] = ((i, _FOREVER),)
+        if any(made.get(part, -1) >= time for time, merge in enumerate(merges) for part in merge):
+            raise ValueError("a merge uses a token that a later merge makes")
         for time, (u, v) in enumerate(merges):
             self._gadget(time, vocab[u], vocab[v], vocab[u + v])
         self.longest = max((len(t) for t in vocab), default=1)
 
     def _gadget(self, time: int, u: int, v: int, w: int) -> None:
-        if u not in self.left or v not in self.left:
-            raise ValueError("a merge uses a token that no earlier merge makes")
-        if w in self.parts:
-            raise ValueError("two merges make one token")
-        if self._blocked(u, v, time):
-            return  # no path reads u v any more: the merge never applies
+        if u not in self.left or v not in self.left or self._blocked(u, v, time):
+            return  # no path reads u v at this time: the merge never applies
         self.cut[u, v] = time
         self.parts[w] = (u, v)
         self.left[w] = ((w, _FOREVER), *((z, min(k, time)) for z, k in self.left[u]))
@@ -276,10 +276,10 @@ def _batch(like: pa.RecordBatch, names: list, ids: list, decoded: list) -> pa.Re
         names=[like.schema.names[0], "ids", "decoded"])
 
 
-def digests(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``n_tokens`` and the two hashes of the result of ``encode_decode``."""
+def digests(encoded: DataFrame, *columns: str) -> DataFrame:
+    """``n_tokens`` and the two hashes of the result of ``encode_decode``, after the columns named."""
     return encoded.select(
-        id_col,
+        *columns,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2(F.col("ids"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

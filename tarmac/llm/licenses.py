@@ -104,7 +104,7 @@ NAMES = [
 # Statements in normal form.  label, keyword, pattern, priority, confidence
 STATEMENTS = [
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy", 3, 0.95),
-    ("isc", "hereby", r"permission to use copy modify and or distribute this software for any purpose", 3, 0.95),
+    ("isc", "distribute", r"permission to use copy modify and or distribute this software for any purpose", 3, 0.95),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification", 3, 0.95),
     ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public licen[cs]e", 3, 0.95),
     ("zlib", "altered", r"altered source versions must be plainly marked as such", 3, 0.9),

@@ -151,14 +151,14 @@ def _with_sources(rows: DataFrame, sources: DataFrame, on: str) -> DataFrame:
 
 def decide(docs: DataFrame, sources: DataFrame, seed: int = SEED, id_col: str = "doc_id",
            source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_weight``, ``_repetition``, ``_block`` and ``_copies`` (how often the row is taken)."""
-    table = sources.select(*[F.col(c).alias(f"_{c}") for c in sources.columns])
-    key = _key(id_col, text_col, seed)
-    keyed = docs.withColumns({"_src": _source(source_col), "_key": key})
-    joined = _with_sources(keyed, table, "_src").withColumn("_block", F.pmod("_key", "_blocks"))
-    more = (F.col("_block") < F.col("_cut_block")) | (
-        (F.col("_block") == F.col("_cut_block")) & (F.col("_key") <= F.col("_cut_key")))
-    return joined.withColumn("_copies", F.col("_epochs") + F.coalesce(more, F.lit(False)).cast("long"))
+    """``row`` (all columns of ``docs``), ``src, weight, repetition, block, copies`` of every row."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         _source(source_col).alias("src"), _key(id_col, text_col, seed).alias("key"))
+    joined = _with_sources(packed, sources, "src").withColumn("block", F.pmod("key", "blocks"))
+    more = (F.col("block") < F.col("cut_block")) | (
+        (F.col("block") == F.col("cut_block")) & (F.col("key") <= F.col("cut_key")))
+    copies = F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")
+    return joined.select("row", "src", "weight", "repetition", "block", copies.alias("copies"))
 
 
 def mixture(docs: DataFrame, sources: DataFrame, **columns) -> DataFrame:
@@ -166,6 +166,5 @@ def mixture(docs: DataFrame, sources: DataFrame, **columns) -> DataFrame:
 
     Rows that are equal in id, text and source are decided alike.
     """
-    decided = decide(docs, sources, **columns)
-    return decided.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.greatest("_copies", F.lit(1))))).filter(
-        "_copies > 0").select(*docs.columns)
+    taken = decide(docs, sources, **columns).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

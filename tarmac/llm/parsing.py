@@ -109,16 +109,14 @@ def fingerprints(offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
     symbols, bounds = raw, offsets
     levels = []
     for level in range(1, LEVELS + 1):
+        above = np.diff(bounds) > (level > 1)  # a text that is one phrase already has no further names
         symbols, bounds = parse_level(symbols, bounds, level)
-        levels.append((symbols, bounds))
-        if level >= FIRST_LEVEL and np.diff(bounds).max(initial=0) <= 1:
-            break
-    high = sum(np.diff(b) for _, b in levels[FIRST_LEVEL - 1:])
-    few = high < FEW
+        levels.append((symbols, bounds, above))
+    few = sum(np.diff(b) * above for _, b, above in levels[FIRST_LEVEL - 1:]) < FEW
     owners, names = [], []
-    for level, (found, b) in enumerate(levels, start=1):
+    for level, (found, b, above) in enumerate(levels, start=1):
         owner = np.repeat(np.arange(n), np.diff(b))
-        wanted = few[owner] if level < FIRST_LEVEL else slice(None)
+        wanted = (above & few if level < FIRST_LEVEL else above)[owner]
         owners.append(owner[wanted])
         names.append(found[wanted])
     owners, names = np.concatenate(owners), np.concatenate(names)
@@ -199,8 +197,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keyed = keyed.withColumns({"k": F.coalesce("id", F.lit(_LOWEST)), "h": F.xxhash64("text")})
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("k"))
-    bounds = sorted(r[0] for r in ids.repartitionByRange(parts, "k").groupBy(F.spark_partition_id()).agg(
-        F.min("k")).collect())  # one number per partition
+    bounds = sorted(r["low"] for r in ids.repartitionByRange(parts, "k").groupBy(F.spark_partition_id()).agg(
+        F.min("k").alias("low")).collect())  # one number per partition
     if not bounds:
         return spark.createDataFrame([], _SCHEMA).withColumnRenamed("id", id_col)
     cuts = bounds[1:]

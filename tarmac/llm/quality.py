@@ -217,6 +217,20 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = SAMPLE_POSITIVE, un
     return train(*sides)
 
 
+def scorer(docs: DataFrame, model: Model):
+    """Column function: score of a text column, kept at 0.3 and above; null reads as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def good(texts: pa.Array) -> pa.Array:
+        offsets, raw = W.buffers(texts)
+        got = [shared.value.score(features(offsets[lo: hi + 1] - offsets[lo], raw[offsets[lo]: offsets[hi]]))
+               for lo, hi in W.chunks(offsets, CHUNK_BYTES)]
+        return pa.array(np.concatenate([np.zeros(0), *got]), pa.float64())
+
+    return good
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` of every row; a text is kept at 0.3 and above.
 
@@ -224,16 +238,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     may repeat or lack an id; each gives one row.  Labels, ``lang``,
     ``source`` and ids are not read, other columns are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets, raw = W.buffers(batch.column(1))
-            got = [shared.value.score(features(offsets[lo: hi + 1] - offsets[lo], raw[offsets[lo]: offsets[hi]]))
-                   for lo, hi in W.chunks(offsets, CHUNK_BYTES)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())],
-                names=["id", "score"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return docs.select(id_col, scorer(docs, model)(F.col(text_col)).alias("score"))

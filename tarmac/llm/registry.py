@@ -30,7 +30,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = read_table(spark, sf_dir, "documents")
-    return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")), "doc_id")
 
 
 @_query
@@ -86,11 +86,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each document is taken when no source repeats more than 1.5 times."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sources = mixing.plan(docs, max_repetition=1.5)
     return mixing.decide(docs, sources).select(
-        "doc_id", "source", mixing.n_tokens().alias("n_tokens"), F.col("_weight").alias("weight"),
-        F.col("_repetition").alias("repetition"), F.col("_block").alias("block"), F.col("_copies").alias("copies"))
+        "row.doc_id", "row.source", mixing.n_tokens("row.text").alias("n_tokens"), "weight", "repetition", "block",
+        "copies")
 
 
 @_query

@@ -71,6 +71,7 @@ _TAG = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_STEP = re.compile(r"[A-Za-z]+(?:\d{1,2}(?!\d))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -102,7 +103,7 @@ def _describe(tag: str, attributes: str, main: bool) -> tuple[str, bool]:
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
                 found = [w.lower() for w in _WORD.findall(value)]
-                words += found
+                words += [w.lower() for w in _STEP.findall(value)]
                 if tag not in ("html", "body", *MAIN_TAGS) or "comment" in found:
                     hits = NOISE_WORDS.intersection(found)
                     noise = noise or bool(hits - {"header"} if main else hits)
@@ -136,7 +137,7 @@ def parse(source: str) -> Page:
         page.styles.append((done.path, tuple(done.children)))
 
     def close_to(index: int) -> None:
-        if any(e.tag in BLOCK for e in stack[index:]):
+        if any(e.tag in BLOCK or e.dropped for e in stack[index:]):
             flush()
         while len(stack) > index:
             pop()
@@ -193,6 +194,8 @@ def parse(source: str) -> Page:
             continue
         attributes = m[3] if m[2] else m[6]
         step, noise = _describe(tag, attributes or "", top.main)
+        if noise:
+            flush()
         top.children.append(step)
         path = f"{top.path}/{step}" if top.depth < MAX_DEPTH else top.path
         stack.append(Element(tag, path, noise, top.main or tag in MAIN_TAGS, top.depth + 1))
