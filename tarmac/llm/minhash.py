@@ -13,14 +13,23 @@ Links are found in steps, each a Spark job over a written table:
 1. Documents with equal sets are one *class* (map-side combined minimum),
    so copies are never paired.
 2. Class representatives that agree on all ``ROWS`` coordinates of a band
-   share a bucket.  In every bucket each member is paired with a pivot,
-   the smallest id: as many pairs as members, not their square.
-3. Pairs are confirmed on the full sets and joined to components.
-4. A bucket whose members are all in one component can add nothing.  In
-   the others further pivots are tried (the smallest id of every component
-   there), and then members of different components are paired directly,
-   until every pair that shares a bucket is confirmed, refuted or joined
-   already.
+   share a bucket.  A bucket's pivot is the member that shares buckets with
+   most others, such as the base of a group of copies; a document's home is
+   the strongest pivot of its buckets.  Each document is confirmed against
+   its home on the full sets, and against the pivots of those buckets that
+   hold several homes: at most as many pairs as members, not their square.
+   Linked ones are joined to components.
+3. Two members x, y of different components around a pivot p can still be
+   linked.  Let a be the number of shingles a member has beyond p and r the
+   number it lacks.  If x and y share none of the former, their distance is
+   at least (a_x + a_y + |r_x - r_y|) / (|p| + a_x + a_y - min(r_x, r_y)).
+   So a linked pair shares a shingle that p lacks, or its two (a, r)
+   profiles pass this bound.  Profiles are joined first, members only for
+   profiles that pass.  Else x must share at least t = 0.8 a_x - 0.2 |x & p|
+   such shingles with y, so one of the a_x - t + 1 that are rarest around p
+   (prefix filter); those make new, smaller buckets.
+4. What passes is confirmed directly, pairs with one home only there; so
+   no candidate is left out.
 
 Two documents at similarity 0.8 share no bucket with probability
 (1 - 0.8**6)**42 = 3e-6, above 0.85 below 2e-9.
@@ -33,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm import words as W
@@ -44,8 +53,11 @@ COORDINATES = 252
 ROWS = 6
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 54) - 1)
-#: Text bytes sketched at once in a task.
-CHUNK_BYTES = 2 << 20
+#: Text bytes sketched at once in a task, and pairs confirmed at once.
+CHUNK_BYTES = 1 << 20
+PAIRS_AT_ONCE = 500
+#: Sets of ids up to so many are broadcast (8 MB), larger ones are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def sketches(hashes: np.ndarray, offsets: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
@@ -114,15 +126,20 @@ def shingle_sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_c
         run, f"id {kind}, n_shingles long, set_key binary, bands array<long>")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``a, b, linked`` for every pair: 100 * intersection >= percent * union of the full sets."""
+def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int, difference: bool = False) -> DataFrame:
+    """``a, b, linked`` for every pair: 100 * intersection >= percent * union of the full sets.
+
+    With ``difference`` also ``more``, the shingles of a that b lacks, and
+    the counts ``lacks`` (of b in a) and ``size`` of b.
+    """
     kind = pairs.schema["a"].dataType.simpleString()
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    extra = ", more array<long>, lacks long, size long" if difference else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, PAIRS_AT_ONCE) for b in batches for i in range(0, b.num_rows, PAIRS_AT_ONCE)):
             sides = []
             for column in (2, 3):
                 offsets, raw = W.buffers(batch.column(column))
@@ -132,14 +149,21 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                         offsets[lo: hi + 1] - offsets[lo], raw[offsets[lo]: offsets[hi]]), words)
                     got += [sets[p:q] for p, q in zip(bounds[:-1], bounds[1:])]
                 sides.append(got)
-            linked = []
+            linked, more, lacks, size = [], [], [], []
             for x, y in zip(*sides):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(bool(common) and 100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+                if difference:
+                    more.append(np.setdiff1d(x, y, assume_unique=True).view(np.int64))
+                    lacks.append(len(y) - common)
+                    size.append(len(y))
+            columns = {"a": batch.column(0), "b": batch.column(1), "linked": pa.array(linked, pa.bool_())}
+            if difference:
+                columns |= {"more": pa.array(more, pa.list_(pa.int64())), "lacks": pa.array(lacks, pa.int64()),
+                            "size": pa.array(size, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return both.mapInArrow(run, f"a {kind}, b {kind}, linked boolean")
+    return both.mapInArrow(run, f"a {kind}, b {kind}, linked boolean{extra}")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -159,22 +183,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = sets.groupBy("set_key").agg(F.min("id").alias("rep"))
     members = sets.select("id", "set_key", "n_shingles").join(classes, "set_key")
     reps = sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    entries = reps.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    pivots = entries.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
-    shared = pivots.filter("pivot < last").select("key", "pivot")
-    buckets = materialise(spark, entries.join(shared, "key"), "buckets")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-
-    first = buckets.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    tested = _confirmed(spark, first, texts, words, percent)
-    roots = components(tested.filter("linked"), "a", "b")
-    for step in (_pivot_pairs, _cross_pairs):
-        pairs = _untested(step(_open(buckets, roots), percent), tested)
-        more = _confirmed(spark, pairs, texts, words, percent)
-        if more.isEmpty():
-            continue
-        tested = tested.unionByName(more)
-        roots = components(tested.filter("linked"), "a", "b")
+    links = _links(spark, reps.select("id", F.explode("bands").alias("key")), texts, words, percent)
+    roots = components(links, "a", "b")
 
     of_rep = members.join(roots, F.col("rep") == F.col("node"), "left").select(
         "id", "set_key", F.coalesce("root", "rep").alias("component_id")).distinct()
@@ -184,40 +195,133 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def _confirmed(spark, pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Confirmed pairs, as a table."""
+def _links(spark, entries: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Linked pairs ``a, b`` that join all documents linked through buckets ``key, id``."""
+    keys = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
+    buckets = materialise(spark, entries.join(keys.filter("low < high").select("key", "n"), "key"), "buckets")
+    degree = buckets.groupBy("id").agg(F.sum("n").alias("degree"))
+    top = buckets.join(degree, "id").groupBy("key").agg(
+        F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("top"))
+    around = materialise(spark, buckets.select("key", "id").join(top, "key"), "pivots")
+    homes = materialise(spark, around.groupBy("id").agg(F.max("top").alias("home")).select(
+        "id", (-F.col("home.minus")).alias("home")), "homes")
+    at_home = homes.select(F.col("id").alias("a"), F.col("home").alias("b"))
+    several = around.select("key", "id", (-F.col("top.minus")).alias("pivot")).join(homes, "id")
+    mixed = several.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low < high")
+    beside = several.join(mixed.select("key"), "key", "left_semi").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    pairs = at_home.unionByName(beside).filter("a <> b").distinct()
+    tested = _confirmed(spark, pairs, texts, words, percent, difference=True)
+    links = tested.filter("linked").select("a", "b")
+    groups = _groups(spark, tested, components(links, "a", "b"), homes)
+    shingles = materialise(spark, _shared_shingles(groups, percent), "shingles")
+    pairs = _profile_pairs(groups, percent).unionByName(_shingle_pairs(shingles, percent)).distinct()
+    more = _confirmed(spark, pairs, texts, words, percent)
+    return links.unionByName(more.filter("linked").select("a", "b"))
+
+
+def _confirmed(spark, pairs: DataFrame, texts: DataFrame, words: int, percent: int,
+               difference: bool = False) -> DataFrame:
+    """Confirmed pairs, as a table; an id that repeats with several texts is linked if one of them is."""
     pairs = materialise(spark, pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    some = texts.join(wanted, "id", "left_semi")
-    found = confirm(pairs, some, words, percent).groupBy("a", "b").agg(F.max("linked").alias("linked"))
-    return materialise(spark, found, "confirmed")
-
-
-def _open(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, with their component, of buckets that hold more than one component."""
-    placed = buckets.join(roots, F.col("id") == F.col("node"), "left").select(
-        "key", "id", "n", F.coalesce("root", "id").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-    return placed.join(mixed.select("key"), "key", "left_semi")
-
-
-def _pivot_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Every member with the smallest id of each other component of its bucket."""
-    heads = members.groupBy("key", "comp").agg(F.min_by(F.struct("id", "n"), "id").alias("head"))
-    return _pairs(members.alias("x"), heads.select("key", "comp", "head.id", "head.n").alias("y"), percent)
-
-
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    return _pairs(members.alias("x"), members.alias("y"), percent)
-
-
-def _pairs(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components whose set sizes allow a link."""
-    fits = ((F.col("x.comp") != F.col("y.comp"))
-            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & fits).select(
+    some = texts.join(_small(wanted), "id", "left_semi")
+    return materialise(spark, confirm(pairs, some, words, percent, difference), "confirmed")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    """The ids, marked for a broadcast while their number is within the limit."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
+def _groups(spark, tested: DataFrame, roots: DataFrame, homes: DataFrame) -> DataFrame:
+    """Members of pivots (``tested`` with components) around which several components meet."""
+    root_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    root_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    home = homes.select(F.col("id").alias("a"), "home")
+    placed = tested.join(root_a, "a", "left").join(root_b, "b", "left").join(home, "a").select(
+        "a", "b", F.coalesce("root_a", "a").alias("comp"), F.coalesce("root_b", "b").alias("pivot_comp"), "home",
+        F.size("more").cast("long").alias("has"), "lacks", "size", "more")
+    strays = placed.filter("comp <> pivot_comp").select("b").distinct()
+    return materialise(spark, placed.join(strays, "b", "left_semi"), "groups")
+
+
+def _shared_shingles(groups: DataFrame, percent: int) -> DataFrame:
+    """Buckets by shingles that the pivot lacks: the rarest ones of each member, by the prefix filter."""
+    shared = groups.select("a", "b", "comp", "home", "has", "lacks", "size", F.explode("more").alias("shingle"))
+    shared = shared.select(F.xxhash64("b", "shingle").alias("key"), F.col("a").alias("id"), "b", "comp", "home",
+                           "has", "lacks", "size")
+    common = shared.groupBy("key").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    own = Window.partitionBy("id", "b")
+    need = F.greatest(F.lit(1), F.ceil(
+        (percent * F.col("has") - (100 - percent) * (F.col("size") - F.col("lacks"))) / 100))
+    prefix = shared.join(common, "key").withColumns({
+        "place": F.row_number().over(own.orderBy("often", "key")), "all": F.count(F.lit(1)).over(own)}).filter(
+        F.col("place") <= F.col("all") - need + 1)
+    mixed = prefix.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("home").alias("home_low"),
+        F.max("home").alias("home_high"), F.min("b").alias("pivot")).filter(
+        "low < high and (home_low < home_high or home_low = pivot)")
+    return prefix.drop("place", "all", "often").join(mixed.select("key"), "key", "left_semi")
+
+
+def _shingle_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket whose counts allow a link when all shingles beyond the pivot are shared."""
+    has, least = F.col("x.has") + F.col("y.has"), F.least("x.has", "y.has")
+    apart = has + F.abs(F.col("x.lacks") - F.col("y.lacks"))
+    union = F.col("x.size") + has - F.least("x.lacks", "y.lacks")
+    allows = 100 * apart - (100 - percent) * union <= (100 + percent) * least
+    return _pairs(buckets.alias("x"), buckets.alias("y"), "key", "b", also=allows)
+
+
+def _profile_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs around one pivot whose counts allow a link without a shared shingle beyond the pivot."""
+    member = groups.select("a", "b", "comp", "has", "lacks", "size", "home",
+                           (F.col("comp") == F.col("pivot_comp")).alias("near"))
+    profile = member.select("b", "has", "lacks", "size", "near").distinct()
+    x, y = profile.alias("x"), profile.alias("y")
+    has = F.col("x.has") + F.col("y.has")
+    apart = has + F.abs(F.col("x.lacks") - F.col("y.lacks"))
+    union = F.col("x.size") + has - F.least("x.lacks", "y.lacks")
+    passing = x.join(y, (F.col("x.b") == F.col("y.b")) & ~(F.col("x.near") & F.col("y.near"))
+                     & (100 * apart <= (100 - percent) * union)).select(
+        F.col("x.b").alias("b"), F.col("x.has").alias("has"), F.col("x.lacks").alias("lacks"),
+        F.col("x.near").alias("near"), F.col("y.has").alias("has2"), F.col("y.lacks").alias("lacks2"),
+        F.col("y.near").alias("near2"))
+    left = member.join(passing, ["b", "has", "lacks", "near"]).select(
+        "b", "has2", "lacks2", "near2", F.col("a").alias("id"), "comp", "home").alias("x")
+    right = member.select("b", F.col("has").alias("has2"), F.col("lacks").alias("lacks2"),
+                          F.col("near").alias("near2"), F.col("a").alias("id"), "comp", "home").alias("y")
+    return _pairs(left, right, "b", "has2", "lacks2", "near2")
+
+
+def _pairs(x: DataFrame, y: DataFrame, *keys: str, also: Column | None = None) -> DataFrame:
+    """Pairs with equal keys in different components; pairs with one home only around that home."""
+    match = (F.col("x.comp") != F.col("y.comp")) & (
+        (F.col("x.home") != F.col("y.home")) | (F.col("x.home") == F.col("x.b")))
+    if also is not None:
+        match = match & also
+    for key in keys:
+        match = match & (F.col(f"x.{key}") == F.col(f"y.{key}"))
+    return x.join(y, match).select(
         F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
 
 
-def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each class of ``near_duplicates``, the one of the smallest id.
+
+    Of rows that repeat an id and its text one stays.  Rows without an id
+    or without words stay.  All columns are kept as they are.
+    """
+    spark = docs.sparkSession
+    found = materialise(spark, near_duplicates(docs, words, percent, id_col, text_col), "classes")
+    gone = found.filter(~F.col("kept")).select(F.col(id_col).alias("gone")).distinct()
+    gone = _small(gone)
+    left = docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
+    again = found.filter(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().filter(
+        "count > 1").select(F.col(id_col).alias("again"))
+    if again.isEmpty():
+        return left
+    once = left.join(again, left[id_col] == again["again"], "left_anti")
+    return once.unionByName(left.join(again, left[id_col] == again["again"], "left_semi").dropDuplicates(
+        [id_col, text_col]))
