@@ -1,8 +1,9 @@
 """Command line: ``python -m tarmac [--cluster] [--conf K=V] <report|sql|prepare> ...``.
 
-  report q1|q2|q3|routes|months|airport_month_means|cancel_causes INPUT OUTPUT [--rate-scale N]
-  sql    q1|q2|q3|PATH.sql INPUT OUTPUT [--sep S]
+  report q1|q2|q3|routes|months|airport_month_means|cancel_causes INPUT OUTPUT [--rate-scale N] [--single-file]
+  sql    q1|q2|q3|PATH.sql INPUT OUTPUT [--sep S] [--db NAME]
   prepare RAW_CSV BASE_DIR
+  runlog LOCAL_CSV CLUSTER_CSV OUTPUT
 """
 
 from __future__ import annotations
@@ -26,14 +27,21 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("input")
     r.add_argument("output")
     r.add_argument("--rate-scale", type=int, default=2)
+    r.add_argument("--single-file", action="store_true",
+                   help="join the finished part files of the report into one")
     s = sub.add_parser("sql")
     s.add_argument("name")
     s.add_argument("input")
     s.add_argument("output")
     s.add_argument("--sep", default=",")
+    s.add_argument("--db", help="database that holds the table and is current")
     p = sub.add_parser("prepare")
     p.add_argument("raw")
     p.add_argument("base")
+    g = sub.add_parser("runlog")
+    g.add_argument("local")
+    g.add_argument("cluster_log")
+    g.add_argument("output")
     a = ap.parse_args(argv)
 
     conf = dict(CLUSTER_CONF) if a.cluster else {}
@@ -45,9 +53,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(app=f"tarmac-{a.cmd}", conf=conf)
     try:
         if a.cmd == "report":
-            out = jobs.report_job(spark, a.input, a.name, a.output, a.rate_scale)
+            out = jobs.report_job(spark, a.input, a.name, a.output, a.rate_scale,
+                                  single_file=a.single_file)
         elif a.cmd == "sql":
-            out = jobs.sql_job(spark, a.input, a.name, a.output, sep=a.sep)
+            out = jobs.sql_job(spark, a.input, a.name, a.output, sep=a.sep, db=a.db)
+        elif a.cmd == "runlog":
+            out = jobs.runlog_job(spark, a.local, a.cluster_log, a.output)
         else:
             out = jobs.prepare_job(spark, a.raw, a.base)
         print(f"written: {out}")

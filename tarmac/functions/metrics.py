@@ -19,14 +19,14 @@ def _col(c: ColumnOrName) -> Column:
 
 
 def stable_round(c: ColumnOrName, scale: int) -> Column:
-    """Round half-up to ``scale`` decimals through an exact decimal.
+    """Round half-up once to ``scale`` decimals.  Result type: double.
 
-    Rounding a binary double directly gives engine-dependent results on
-    near-ties (69/120 is 0.57499.. in binary).  Going through
-    ``decimal(18, 6)`` first rounds the decimal value that the double
-    prints as, the same way in every engine.  Result type: double.
+    Spark's ``round`` works on the shortest decimal that prints as the
+    double, so a quotient that is a tie in decimals (69/120 = 0.575) is
+    rounded up although its binary value lies below, and one that merely
+    lies near a tie (1.2349995) is not rounded twice.
     """
-    return F.round(_col(c).cast("decimal(18,6)"), scale).cast("double")
+    return F.round(_col(c).cast("double"), scale)
 
 
 def nan_to_null(c: ColumnOrName) -> Column:
@@ -69,9 +69,9 @@ def clipped_mean(c: ColumnOrName, low: float = 0.0) -> Column:
 def rate(cond: Column, scale: int | None = 2, percent: bool = True) -> Column:
     """Share of rows where ``cond`` is true, in percent, rounded to ``scale``."""
     hits = F.sum(F.when(F.coalesce(cond, F.lit(False)), F.lit(1.0)).otherwise(F.lit(0.0)))
-    share = F.try_divide(hits, F.count(F.lit(1)))  # null (not an error) on no rows
     if percent:
-        share = share * F.lit(100.0)
+        hits = hits * F.lit(100.0)  # before the one division, so that ties stay ties
+    share = F.try_divide(hits, F.count(F.lit(1)))  # null (not an error) on no rows
     return share if scale is None else stable_round(share, scale)
 
 

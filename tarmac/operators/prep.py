@@ -1,8 +1,8 @@
 """Cleaning of the raw flight extract as one narrow Spark pass.
 
 Every step is ``DataFrame -> DataFrame`` (use with ``df.transform``) and
-is a filter or projection: the whole chain runs in one whole-stage-codegen
-span per scan partition, with no shuffle.  Negated predicates are wrapped
+is a filter or projection, so the whole chain is one stage per scan
+partition, with no shuffle.  Negated predicates are wrapped
 in ``coalesce(cond, false)`` so that SQL's third truth value behaves like
 the two-valued comparisons of the original (null compares false).
 """
@@ -24,17 +24,20 @@ def _false_if_null(cond: Column) -> Column:
 
 
 def corrupt_condition() -> Column:
-    """Regular flight (not cancelled, not diverted) with a missing delay."""
-    return ((F.col("cancelled") == 0) & (F.col("diverted") == 0)
-            & (F.col("arr_delay").isNull() | F.col("dep_delay").isNull()))
+    """Regular flight (not cancelled, not diverted) with a missing (null or NaN) delay."""
+    def missing(c: str) -> Column:
+        return F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+
+    return (F.col("cancelled") == 0) & (F.col("diverted") == 0) & (missing("arr_delay") | missing("dep_delay"))
 
 
 def outlier_condition(low: float = OUTLIER_LOW, high: float = OUTLIER_HIGH,
                       cols: Iterable[str] = ("dep_delay", "arr_delay")) -> Column:
-    """Any delay strictly outside ``[low, high]``; null delays never match."""
+    """Any delay strictly outside ``[low, high]``; null and NaN delays never match."""
     cond = F.lit(False)
     for c in cols:
-        cond = cond | _false_if_null((F.col(c) < low) | (F.col(c) > high))
+        delay = nan_to_null(F.col(c).cast("double"))
+        cond = cond | _false_if_null((delay < low) | (delay > high))
     return cond
 
 
@@ -77,9 +80,11 @@ def coerce_numeric(df: DataFrame, cols: Iterable[str], to: str = "double") -> Da
 
 
 def fill_zero(df: DataFrame, cols: Iterable[str], to: str = "bigint") -> DataFrame:
-    """Null becomes 0, result cast to ``to``."""
+    """Null and NaN become 0, result cast to ``to``."""
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast(to) for c in present})
+    floating = {c for c, t in df.dtypes if t in ("double", "float")}
+    return df.withColumns({c: F.coalesce(nan_to_null(c) if c in floating else F.col(c), F.lit(0)).cast(to)
+                           for c in present})
 
 
 def impute_causes(df: DataFrame, cols: Iterable[str] = CAUSE_COLUMNS) -> DataFrame:

@@ -1,17 +1,13 @@
 """Reproducible sampled and enlarged volumes of the clean table.
 
-The sample is a hash threshold, not a random number: the same rows are
-chosen for any partitioning, a recomputed partition after an executor
-loss selects exactly the same rows, and samples are nested (10 % within
-50 %).  Two keys:
-
-* ``by="row"``: md5 of the flight's identifying columns.  Portable (any
-  engine with ``md5`` picks the same rows) but copies of one flight are
-  kept or dropped together.
-* ``by="position"``: md5 of the Parquet file name and row index of each
-  physical row (``_metadata``).  Every copy is drawn on its own, so a hot
-  group of copies (even a third of the table) is split in proportion.
-  Needs a frame read from Parquet files; used by ``build_volumes``.
+The draw is a function of the rows' content and the seed alone, so the same
+rows come out of any file layout, partitioning or retry.  Equal rows are
+counted first (map-side sums).  Of ``m`` equal rows a share ``f`` keeps
+``floor(m * f)`` and possibly one more, so a hot group of copies is cut in
+proportion and never moved whole.  The rows that get one more are those
+with the smallest ``hash / fraction``; with ``exact`` (the default) as many
+as make the volume ``round(n * f)`` rows, else those whose hash lies below
+their fraction.
 """
 
 from __future__ import annotations
@@ -24,138 +20,126 @@ from pyspark.sql import functions as F
 from tarmac.schema import SAMPLE_SEED, VOLUME_PERCENTS
 from tarmac.sources.io import write_volume
 
-HASH_DIGITS = 8
-_SPACE = 16 ** HASH_DIGITS
+#: Shares are counted in units of 1 / PARTS.
+PARTS = 10_000
+#: Copies of one row that a task writes at most.
+CHUNK = 1 << 16
+_RANGE = 1 << 16
 
 
-def sample_key(seed: int = SAMPLE_SEED) -> Column:
-    """Leading hex digits of md5 over a flight's identifying columns."""
-    parts = [
-        F.col("fl_date").cast("string"), F.col("op_unique_carrier"), F.col("origin"),
-        F.col("dest"),
-        F.coalesce(F.col("op_carrier_fl_num"), F.lit(-1.0)).cast("bigint").cast("string"),
-        F.lit(str(seed)),
-    ]
-    return F.substring(F.md5(F.concat_ws("|", *parts)), 1, HASH_DIGITS)
+def row_key(columns: Iterable[str], seed: int = SAMPLE_SEED) -> Column:
+    """md5 over the text of all columns; null has a text of its own."""
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def require_file_backed(df: DataFrame) -> DataFrame:
-    """Fail clearly when ``df`` has no file-position metadata (it was not
-    read from Parquet files).  Analysis only, no job."""
-    try:
-        df.select(F.col("_metadata.row_index"))
-    except Exception as e:  # noqa: BLE001 - AnalysisException
-        raise ValueError("position-based sampling needs a frame read from Parquet files "
-                         "(write the table, read it back)") from e
-    return df
+def counted(df: DataFrame, seed: int = SAMPLE_SEED) -> DataFrame:
+    """Distinct rows with ``_m``, how often each occurs, and ``_key``."""
+    same = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_m"))
+    return same.withColumn("_key", row_key(df.columns, seed))
 
 
-def position_key(seed: int = SAMPLE_SEED) -> Column:
-    """Leading hex digits of md5 over (file name, row index in file)."""
-    name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
-    return F.substring(F.md5(F.concat_ws("|", name, F.col("_metadata.row_index").cast("string"),
-                                         F.lit(str(seed)))), 1, HASH_DIGITS)
+def _scored(rows: DataFrame, parts: int) -> DataFrame:
+    """``_base`` copies for certain, ``_part`` of one more, and its ``_score`` (48 bits)."""
+    share = F.col("_m") * F.lit(parts)
+    hashed = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double")
+    rows = rows.withColumns({"_base": F.floor(share / PARTS), "_part": share % PARTS})
+    return rows.withColumn("_score", F.when(F.col("_part") > 0, F.floor(
+        hashed / F.col("_part").cast("double") * float(_RANGE))))
 
 
-def threshold(fraction: float) -> str:
-    """Hex threshold such that ``key < threshold`` keeps ``fraction`` of keys."""
-    return format(round(fraction * _SPACE), f"0{HASH_DIGITS}x")
+def _cut(counts: dict[int, int], wanted: int) -> tuple[int, int]:
+    """First class at which ``wanted`` rows are reached, and the rows before it."""
+    before = 0
+    for value in sorted(counts):
+        if before + counts[value] >= wanted:
+            return value, before
+        before += counts[value]
+    raise AssertionError("fewer rows than wanted")
 
 
-def sample_volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED,
-                  key: Column | None = None, by: str = "row",
-                  exact: bool = False) -> DataFrame:
-    """P10: keep about ``percent`` % of the rows, without replacement
-    (exactly ``round(n * percent / 100)`` with ``exact``; see
-    ``sample_exact``)."""
-    if percent >= 100:
-        return df
-    if percent <= 0:
-        return df.limit(0)
+def _histogram(rows: DataFrame, value: Column) -> dict[int, int]:
+    return {r["v"]: r["n"] for r in rows.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _chosen(rows: DataFrame, parts: int, exact: bool) -> DataFrame:
+    """Scored rows with ``_copies`` to write."""
+    more = F.coalesce(F.col("_score") < float(_RANGE) * float(1 << 32) / PARTS, F.lit(False))
     if exact:
-        return sample_exact(df, percent, seed)
-    if key is not None:
-        k = key
-    else:
-        if by == "position":
-            require_file_backed(df)
-        k = {"row": sample_key, "position": position_key}[by](seed)
-    return df.filter(k < F.lit(threshold(percent / 100.0)))
-
-
-def sample_exact(df: DataFrame, percent: float, seed: int = SAMPLE_SEED) -> DataFrame:
-    """P10 with an exact size: the ``round(n * percent / 100)`` rows with the
-    smallest position hash (as pandas' ``frac`` keeps an exact count).
-
-    Position hashes are unique per physical row, so the cut is exact.  The
-    cut point is found with two 65,536-bucket histograms (first, then next
-    four hex digits); only those bounded histograms reach the driver.  Rows
-    in the single 8-digit bucket at the cut (about n / 2**32 rows) are
-    ordered by their full hash.  Needs a frame read from Parquet files;
-    costs three extra passes, so it is for modest volumes.
+        n, base = rows.agg(F.sum("_m"), F.sum("_base")).first()
+        wanted = (2 * (n or 0) * parts + PARTS) // (2 * PARTS) - (base or 0)  # round half up
+        scored = rows.filter("_score is not null")
+        more = F.lit(False)
+        if wanted > 0:  # three histograms of at most 65,536 classes find the last score taken
+            high, before = _cut(_histogram(scored, F.shiftright("_score", 32)), wanted)
+            inside = scored.filter(F.shiftright("_score", 32) == high)
+            wanted -= before
+            middle, before = _cut(_histogram(inside, F.shiftright("_score", 16).bitwiseAND(0xFFFF)), wanted)
+            inside = inside.filter(F.shiftright("_score", 16).bitwiseAND(0xFFFF) == middle)
+            wanted -= before
+            low, before = _cut(_histogram(inside, F.col("_score").bitwiseAND(0xFFFF)), wanted)
+            edge = (high << 32) + (middle << 16) + low
+            last = scored.filter(F.col("_score") == edge).orderBy("_key").select("_key").limit(
+                wanted - before).agg(F.max("_key")).first()[0]
+            more = F.coalesce((F.col("_score") < edge) | ((F.col("_score") == edge) & (F.col("_key") <= last)),
+                              F.lit(False))
+    return rows.withColumn("_copies", F.col("_base") + more.cast("bigint"))
+
+
+def _written_out(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Every row ``_copies`` times; rows with many copies are dealt to many tasks in chunks."""
+    few = rows.filter(F.col("_copies").between(1, CHUNK))
+    many = rows.filter(F.col("_copies") > CHUNK)
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / CHUNK))).alias("_chunk")
+    many = many.select(*columns, "_key", "_copies", chunk)
+    many = many.repartition("_key", "_chunk").withColumn(
+        "_copies", F.least(F.lit(CHUNK), F.col("_copies") - F.col("_chunk") * CHUNK))
+    both = few.select(*columns, "_copies").unionByName(many.select(*columns, "_copies"))
+    return both.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+
+
+def sample_volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED, exact: bool = True,
+                  rows: DataFrame | None = None) -> DataFrame:
+    """P10: ``percent`` % of the rows, without replacement.
+
+    ``exact``: ``round(n * percent / 100)`` rows (halves up); this counts
+    scores in a few small jobs when called.  Otherwise the size is a sum of
+    independent draws and nothing runs before the result is used.  ``rows``
+    may give the result of ``counted(df, seed)`` as a written table, so that
+    several volumes group the table once.
     """
-    require_file_backed(df)
-    full = F.md5(F.concat_ws("|", F.substring_index(F.col("_metadata.file_path"), "/", -1),
-                             F.col("_metadata.row_index").cast("string"), F.lit(str(seed))))
-    keyed = df.withColumn("_k", full)
-    hist1 = {r.b: r.n for r in keyed.groupBy(F.substring("_k", 1, 4).alias("b"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()}
-    n = sum(hist1.values())
-    k = int(round(n * percent / 100.0))
-    if k >= n:
+    if percent >= 100:
         return df
-    if k <= 0:
+    parts = round(percent * PARTS / 100)
+    if parts <= 0:
         return df.limit(0)
+    scored = _scored(counted(df, seed) if rows is None else rows, parts)
+    return _written_out(_chosen(scored, parts, exact), df.columns)
+
 
-    def cut(hist: dict, target: int) -> tuple[str, int]:
-        before = 0
-        for b in sorted(hist):
-            if before + hist[b] >= target:
-                return b, before
-            before += hist[b]
-        raise AssertionError("target beyond histogram")
-
-    b1, before1 = cut(hist1, k)
-    hist2 = {r.b: r.n for r in keyed.filter(F.substring("_k", 1, 4) == b1)
-             .groupBy(F.substring("_k", 5, 4).alias("b"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()}
-    b2, before2 = cut(hist2, k - before1)
-    edge = b1 + b2
-    rest = k - before1 - before2
-    prefix = F.substring("_k", 1, 8)
-    below = keyed.filter(prefix < edge)
-    at_edge = keyed.filter(prefix == edge).orderBy("_k").limit(rest)
-    return below.unionByName(at_edge).drop("_k")
-
-
-def scale_up(df: DataFrame, percent: float, seed: int = SAMPLE_SEED,
-             by: str = "row") -> DataFrame:
+def scale_up(df: DataFrame, percent: float, seed: int = SAMPLE_SEED, exact: bool = True,
+             rows: DataFrame | None = None) -> DataFrame:
     """More than 100 %: all rows plus a sample of the excess share."""
     if percent <= 100:
-        return sample_volume(df, percent, seed, by=by)
+        return sample_volume(df, percent, seed, exact, rows)
     whole, extra = divmod(percent, 100)
     out = df
     for _ in range(int(whole) - 1):
         out = out.unionByName(df)
     if extra:
-        out = out.unionByName(sample_volume(df, extra, seed, by=by))
+        out = out.unionByName(sample_volume(df, extra, seed, exact, rows))
     return out
 
 
-def volume(df: DataFrame, percent: float, seed: int = SAMPLE_SEED, by: str = "row") -> DataFrame:
-    if percent > 100:
-        return scale_up(df, percent, seed, by)
-    return sample_volume(df, percent, seed, by=by)
-
-
-def build_volumes(clean_df: DataFrame, base: str,
-                  percents: Iterable[float] = VOLUME_PERCENTS,
-                  seed: int = SAMPLE_SEED, by: str = "position") -> dict[int, str]:
+def build_volumes(clean_df: DataFrame, base: str, percents: Iterable[float] = VOLUME_PERCENTS,
+                  seed: int = SAMPLE_SEED, exact: bool = True) -> dict[int, str]:
     """Write every volume as ``<base>/dataset_<label>``.
 
-    ``clean_df`` should be the written clean table read back from Parquet
-    (files in the shared folder), so that each volume re-reads it instead
-    of recomputing the cleaning, and so that ``by="position"`` can draw
-    every physical row independently.
+    ``clean_df`` should be a written table.  Its distinct rows and counts
+    are written beside the volumes first (``<base>/counted``), so the table
+    is grouped once for all of them.
     """
-    return {int(p): write_volume(volume(clean_df, p, seed, by), base, int(p)) for p in percents}
+    path = f"{base.rstrip('/')}/counted"
+    counted(clean_df, seed).write.mode("overwrite").parquet(path)
+    rows = clean_df.sparkSession.read.parquet(path)
+    return {int(p): write_volume(scale_up(clean_df, p, seed, exact, rows), base, int(p)) for p in percents}

@@ -21,12 +21,12 @@ from tarmac.operators.topk import ordered_list, rank_rows, top_k_per_group
 from tarmac.plans import oracle as O
 from tarmac.plans import reports as R
 from tarmac.plans import runlog as RL
-from tarmac.schema import CAUSES, CLEAN_SCHEMA, TARGET_COLUMNS
+from tarmac.schema import CAUSES, CLEAN_DDL, TARGET_COLUMNS
 from tarmac.session import checkpoint_dir
-from tarmac.sources.catalog import register_table, run_sql_file
+from tarmac.sources.catalog import register_table, run_sql_file, use_db
 from tarmac.sources.flightview import flights_raw
-from tarmac.sources.io import read_clean
-from tarmac.streaming import run_incremental_report
+from tarmac.sources.io import read_clean, read_raw, read_runlog, write_report, write_split, write_volume
+from tarmac.streaming import read_published, run_incremental_report
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -46,6 +46,17 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.clean(flights_raw(spark, sf_dir))
 
 
+def _written_path(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write ``df`` as Parquet under a new path of the shared folder."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_{name}_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    return spark.read.schema(df.schema).parquet(_written_path(spark, df, name))
+
+
 W = O.with_flights
 RAW_COLS = ("year, month, fl_date, op_unique_carrier, op_carrier_fl_num, origin, dest, "
             "dep_delay, arr_delay, cancelled, diverted, cancellation_code, carrier_delay, "
@@ -64,11 +75,7 @@ def q2_report(spark, sf_dir):
     return R.airport_month_report(flights(spark, sf_dir))
 
 
-_MEANS_CTE = f"""means AS (
-  SELECT origin, month,
-         {O.rnd("avg(CASE WHEN cancelled = 0 THEN dep_delay END)")} AS ritardo_medio_partenza,
-         {O.rnd("avg(CASE WHEN cancelled = 0 THEN arr_delay END)")} AS ritardo_medio_arrivo
-  FROM flights GROUP BY origin, month)"""
+_MEANS_CTE = f"means AS (SELECT origin, month, {O.MEANS} FROM facts GROUP BY ALL)"
 
 
 @register("q2_report_with_means", W("""
@@ -85,26 +92,18 @@ def q3_anomaly_rank(spark, sf_dir):
     return R.carrier_vs_airport(flights(spark, sf_dir))
 
 
-@register("q1_rate_scale_1", W(O.Q1.replace(O.cancel_rate_sql(2), O.cancel_rate_sql(1))))
+@register("q1_rate_scale_1", W(O.q1(rate_scale=1)))
 def q1_rate_scale_1(spark, sf_dir):
     """Q1 with the SQL form's one-decimal cancellation rate."""
     return R.carrier_stats(flights(spark, sf_dir), rate_scale=1)
 
 
 # ------------------------------------------------------- scans and cleaning
-_scan_cache: dict = {}
-
-
 @register("scan_clean", W("SELECT * FROM flights"))
 def scan_clean(spark, sf_dir):
     """S8 + S2: the clean table written as Parquet to the checkpoint folder,
     read back with schema merging."""
-    key = (id(spark), sf_dir)
-    if key not in _scan_cache:
-        path = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_clean_{uuid.uuid4().hex}"
-        flights(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _scan_cache[key] = path
-    return read_clean(spark, _scan_cache[key], merge_schema=True)
+    return read_clean(spark, _written_path(spark, flights(spark, sf_dir), "clean"), merge_schema=True)
 
 
 @register("clean_drop_corrupt", W(f"SELECT {RAW_COLS} FROM raw_ok"))
@@ -120,10 +119,13 @@ def clean_parse_date(spark, sf_dir):
 
 
 @register("clean_coerce", W(
-    "SELECT origin, month, " + ", ".join(f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in CAUSES)
+    "SELECT origin, month, " + ", ".join(f"CASE WHEN month % 4 <> 3 THEN CAST({c} AS DOUBLE) END AS {c}" for c in CAUSES)
     + " FROM flights_raw"))
 def clean_coerce(spark, sf_dir):
-    raw = flights_raw(spark, sf_dir).select("origin", "month", *CAUSES)
+    """P5 on text; a quarter of the months holds text that is no number."""
+    unit = F.when(F.col("month") % 4 == 3, F.lit(" min")).otherwise(F.lit(""))
+    raw = flights_raw(spark, sf_dir).select("origin", "month", *[F.concat(F.col(c).cast("string"), unit).alias(c)
+                                                               for c in CAUSES])
     return prep.coerce_numeric(raw, list(CAUSES))
 
 
@@ -197,19 +199,20 @@ def profile_outliers(spark, sf_dir):
 
 @register("profile_missing_code", W(
     "SELECT * FROM (" + _null_sql("missing", TARGET_COLUMNS) + ")",
-    "missing AS (SELECT * FROM flights WHERE cancellation_code IS NULL AND cancelled = 1)"))
+    "missing AS (SELECT * REPLACE (CAST(NULL AS VARCHAR) AS cancellation_code) FROM flights "
+    "WHERE month IN (2, 5) AND cancelled = 1)"))
 def profile_missing_code(spark, sf_dir):
-    f = flights(spark, sf_dir)
+    """D8 over the table with the codes of two months taken away."""
+    f = flights(spark, sf_dir).withColumn("cancellation_code", F.when(
+        ~F.col("month").isin(2, 5), F.col("cancellation_code")))
     missing = f.filter(F.col("cancellation_code").isNull() & (F.col("cancelled") == 1))
     return profile.null_counts(missing, TARGET_COLUMNS)
 
 
-_CLEAN_TYPES = {c.name: c.dataType.simpleString() for c in CLEAN_SCHEMA}
-
-
 @register("profile_schema", W("\nUNION ALL ".join(
-    f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, "
-    f"'{_CLEAN_TYPES[c]}' AS data_type, count({c}) AS non_null FROM flights"
+    f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, CASE any_value(typeof({c})) "
+    "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'VARCHAR' THEN 'string' ELSE lower(any_value(typeof("
+    f"{c}))) END AS data_type, count({c}) AS non_null FROM flights"
     for i, c in enumerate(TARGET_COLUMNS))))
 def profile_schema(spark, sf_dir):
     """The clean table's columns, Spark types (the table DDL) and
@@ -230,12 +233,9 @@ def agg_by_key(spark, sf_dir):
                                  "origin": "aeroporto_partenza"}))
 
 
-@register("cond_agg", W("""
-SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza,
-       coalesce(min(CASE WHEN cancelled = 0 AND arr_delay >= 1.0 THEN arr_delay END), 0.0)
-         AS ritardo_minimo,
-       coalesce(max(CASE WHEN cancelled = 0 THEN arr_delay END), 0.0) AS ritardo_massimo
-FROM flights GROUP BY op_unique_carrier, origin"""))
+@register("cond_agg", W(f"""
+SELECT carrier AS codice, origin AS aeroporto_partenza, {O.LATE_BOUNDS}
+FROM facts GROUP BY ALL"""))
 def cond_agg(spark, sf_dir):
     arr = F.col("arr_delay")
     return (flights(spark, sf_dir).groupBy("op_unique_carrier", "origin")
@@ -246,18 +246,16 @@ def cond_agg(spark, sf_dir):
 
 
 @register("clipped_mean", W(f"""
-SELECT op_unique_carrier AS codice,
-       {O.rnd("avg(greatest(0.0, coalesce(arr_delay, 0.0)))")} AS ritardo_medio
-FROM flights GROUP BY op_unique_carrier"""))
+SELECT carrier AS codice, {O.LATE_MEAN} AS ritardo_medio FROM facts GROUP BY ALL"""))
 def clipped_mean_q(spark, sf_dir):
     return (flights(spark, sf_dir).groupBy(F.col("op_unique_carrier").alias("codice"))
             .agg(stable_round(clipped_mean("arr_delay"), 2).alias("ritardo_medio")))
 
 
 @register("cancel_rate", W(f"""
-SELECT origin AS aeroporto_partenza, {O.cancel_rate_sql(2)} AS tasso_cancellazione,
-       {O.cancel_rate_sql(1)} AS tasso_cancellazione_1
-FROM flights GROUP BY origin"""))
+SELECT origin AS aeroporto_partenza, {O.rate(2)} AS tasso_cancellazione,
+       {O.rate(1)} AS tasso_cancellazione_1
+FROM facts GROUP BY ALL"""))
 def cancel_rate(spark, sf_dir):
     return (flights(spark, sf_dir).groupBy(F.col("origin").alias("aeroporto_partenza"))
             .agg(rate(R.cancelled(), 2).alias("tasso_cancellazione"),
@@ -275,7 +273,7 @@ def delay_buckets(spark, sf_dir):
             .withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}))
 
 
-@register("airport_mean", W("SELECT origin AS aeroporto_partenza, media_aeroporto "
+@register("airport_mean", W(f"SELECT origin AS aeroporto_partenza, {O.as_number('units')} "
                             "AS ritardo_medio_complessivo FROM airport_stat", O.Q3_CTES))
 def airport_mean_q(spark, sf_dir):
     return R.airport_mean(flights(spark, sf_dir)).withColumnRenamed("origin",
@@ -283,15 +281,19 @@ def airport_mean_q(spark, sf_dir):
 
 
 # ------------------------------------------------------------- Q3 pieces
-@register("join_airport_baseline", W("""
-SELECT ps.origin AS aeroporto_partenza, ps.op_unique_carrier AS compagnia,
-       ps.ritardo_medio_partenza, a.media_aeroporto AS ritardo_medio_complessivo
-FROM pair_stat ps JOIN airport_stat a ON ps.origin = a.origin""", O.Q3_CTES))
+@register("join_airport_baseline", W(f"""
+SELECT p.origin AS aeroporto_partenza, p.carrier AS compagnia,
+       {O.as_number("p.dep_units")} AS ritardo_medio_partenza,
+       {O.as_number("a.units")} AS ritardo_medio_complessivo
+FROM pair_stat p JOIN airport_stat a USING (origin)""", O.Q3_CTES))
 def join_airport_baseline(spark, sf_dir):
-    """The original's shape, pair aggregate joined with airport aggregate."""
-    f = flights(spark, sf_dir)
-    pairs = R.pair_aggregate(f).select("origin", "op_unique_carrier", "ritardo_medio_partenza")
-    return (join_baseline(pairs, R.airport_mean(f), ["origin"])
+    """The original's shape, pair aggregate joined with airport aggregate.
+
+    The flight table is read once: the airport sums are sums of the pair
+    sums, and the pair aggregate is written to the shared folder first."""
+    pairs = _written(spark, R.pair_aggregate(flights(spark, sf_dir)), "pairs")
+    return (join_baseline(pairs.select("origin", "op_unique_carrier", "ritardo_medio_partenza"),
+                          R.airport_mean_of_pairs(pairs), ["origin"])
             .select(F.col("origin").alias("aeroporto_partenza"),
                     F.col("op_unique_carrier").alias("compagnia"),
                     "ritardo_medio_partenza", "ritardo_medio_complessivo"))
@@ -391,32 +393,67 @@ def top10_q3(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- volumes
-def _sample_sql(percent: float) -> str:
-    key = ("substr(md5(concat_ws('|', CAST(fl_date AS VARCHAR), op_unique_carrier, origin, dest, "
-           "CAST(CAST(coalesce(op_carrier_fl_num, -1.0) AS BIGINT) AS VARCHAR), '42')), 1, 8)")
-    return f"SELECT * FROM flights WHERE {key} < '{volumes.threshold(percent / 100.0)}'"
-
-
-@register("sample_10", W(_sample_sql(10)))
+def _sample_ctes(percent: int, name: str = "taken") -> str:
+    """Copies of every distinct row: floor(m * f), and one more for those of the
+    smallest hash / fraction until the volume has round(n * f) rows."""
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(92) || 'N')" for c in TARGET_COLUMNS)
+    parts = percent * 100
+    return f"""{name}_rows AS (
+  SELECT {", ".join(TARGET_COLUMNS)}, count(*) AS m, md5(concat_ws('|', {text}, '42')) AS k
+  FROM flights GROUP BY ALL),
+{name}_parts AS (
+  SELECT *, m * {parts} // 10000 AS base, m * {parts} % 10000 AS part,
+         CAST(CAST('0x' || substr(k, 1, 8) AS BIGINT) AS DOUBLE) AS h FROM {name}_rows),
+{name}_ranked AS (
+  SELECT *, CASE WHEN part > 0 THEN row_number() OVER (
+              ORDER BY CASE WHEN part > 0 THEN floor(h / CAST(part AS DOUBLE) * 65536.0) END NULLS LAST, k) END AS place
+  FROM {name}_parts),
+{name}_size AS (SELECT (2 * sum(m) * {parts} + 10000) // 20000 - sum(base) AS more FROM {name}_parts),
+{name} AS (
+  SELECT {", ".join(TARGET_COLUMNS)}, unnest(range(CAST(base + CASE WHEN place <= more THEN 1 ELSE 0 END AS BIGINT))) AS copy
+  FROM {name}_ranked, {name}_size)"""
+
+
+_TAKEN = f"SELECT {', '.join(TARGET_COLUMNS)} FROM taken"
+
+
+@register("sample_10", W(_TAKEN, _sample_ctes(10)))
 def sample_10(spark, sf_dir):
-    return volumes.sample_volume(flights(spark, sf_dir), 10)
+    return volumes.sample_volume(_written(spark, flights(spark, sf_dir), "clean"), 10)
 
 
-@register("sample_50", W(_sample_sql(50)))
+@register("sample_50", W(_TAKEN, _sample_ctes(50)))
 def sample_50(spark, sf_dir):
-    return volumes.sample_volume(flights(spark, sf_dir), 50)
+    return volumes.sample_volume(_written(spark, flights(spark, sf_dir), "clean"), 50)
 
 
-@register("sample_exact_10")
+@register("sample_exact_10", W("SELECT copies, count(*) AS rows FROM (SELECT count(*) AS copies FROM "
+                               f"taken GROUP BY {', '.join(TARGET_COLUMNS)}) GROUP BY ALL", _sample_ctes(10)))
 def sample_exact_10(spark, sf_dir):
-    """P10 with pandas' exact size over the written clean table (file
-    positions are not visible to SQL: checked against brute force in tests)."""
-    return volumes.sample_volume(scan_clean(spark, sf_dir), 10, exact=True)
+    """How often equal rows occur in a volume of exactly ``round(n / 10)`` rows."""
+    taken = volumes.sample_volume(_written(spark, flights(spark, sf_dir), "clean"), 10, exact=True)
+    return (taken.groupBy(*taken.columns).agg(F.count(F.lit(1)).alias("copies"))
+            .groupBy("copies").agg(F.count(F.lit(1)).alias("rows")))
 
 
-@register("scale_150", W("SELECT * FROM flights UNION ALL " + _sample_sql(50)))
+@register("scale_150", W("SELECT * FROM flights UNION ALL " + _TAKEN, _sample_ctes(50)))
 def scale_150(spark, sf_dir):
-    return volumes.scale_up(flights(spark, sf_dir), 150)
+    return volumes.scale_up(_written(spark, flights(spark, sf_dir), "clean"), 150)
+
+
+@register("build_volumes", W(
+    "SELECT 10 AS volume, CAST(count(*) AS BIGINT) AS rows, CAST(sum(arr_delay) AS BIGINT) AS minutes FROM taken "
+    "UNION ALL SELECT 150, (SELECT count(*) FROM flights) + (SELECT count(*) FROM half), "
+    "CAST((SELECT sum(arr_delay) FROM flights) + (SELECT sum(arr_delay) FROM half) AS BIGINT)",
+    _sample_ctes(10) + ",\n" + _sample_ctes(50, "half")))
+def build_volumes_q(spark, sf_dir):
+    """Volumes written through the volume sink and read back, with their sizes."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_volumes_{uuid.uuid4().hex}"
+    paths = volumes.build_volumes(_written(spark, flights(spark, sf_dir), "clean"), base, [10, 150])
+    one = [read_clean(spark, path).agg(F.lit(p).alias("volume"), F.count(F.lit(1)).alias("rows"),
+                                       F.sum("arr_delay").cast("bigint").alias("minutes"))
+           for p, path in paths.items()]
+    return one[0].unionByName(one[1])
 
 
 # ---------------------------------------------------------- README extras
@@ -443,10 +480,7 @@ def x_months(spark, sf_dir):
 
 
 @register("x_airport_month_means", W(f"""
-SELECT origin AS aeroporto_partenza, month AS mese,
-       {O.rnd("avg(CASE WHEN cancelled = 0 THEN dep_delay END)")} AS ritardo_medio_partenza,
-       {O.rnd("avg(CASE WHEN cancelled = 0 THEN arr_delay END)")} AS ritardo_medio_arrivo
-FROM flights GROUP BY origin, month"""))
+SELECT origin AS aeroporto_partenza, month AS mese, {O.MEANS} FROM facts GROUP BY ALL"""))
 def x_airport_month_means(spark, sf_dir):
     return (R.airport_month_means(flights(spark, sf_dir))
             .withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}))
@@ -510,9 +544,7 @@ cmp AS (
 
 
 def _compare(spark, sf_dir):
-    log = _runlog(spark, sf_dir)
-    return RL.compare_runs(log.filter(F.col("percentuale") <= 6),
-                           log.filter(F.col("percentuale") > 6))
+    return RL.compare_parts(_runlog(spark, sf_dir), F.col("percentuale") <= 6)
 
 
 @register("compare_runs", W("SELECT * FROM cmp", _COMPARE_SQL))
@@ -528,9 +560,9 @@ def melt_runs(spark, sf_dir):
     return RL.melt_runs(_compare(spark, sf_dir))
 
 
-@register("map_values", W("SELECT op_unique_carrier AS codice, causa, minuti FROM (" + "\nUNION ALL ".join(
-    f"SELECT op_unique_carrier, '{name}' AS causa, CAST(sum({c}) AS BIGINT) AS minuti FROM flights "
-    f"GROUP BY op_unique_carrier" for c, name in CAUSES.items()) + ")"))
+@register("map_values", W("SELECT codice, causa, minuti FROM (SELECT op_unique_carrier AS codice, " + ", ".join(
+    f'CAST(sum({c}) AS BIGINT) AS "{name}"' for c, name in CAUSES.items()) + " FROM flights GROUP BY ALL) "
+    + "UNPIVOT INCLUDE NULLS (minuti FOR causa IN (" + ", ".join(f'"{n}"' for n in CAUSES.values()) + "))"))
 def map_values_q(spark, sf_dir):
     """cause columns unpivoted by column name, then renamed by dictionary."""
     sums = (flights(spark, sf_dir).groupBy("op_unique_carrier")
@@ -554,12 +586,80 @@ def fmt_duration_q(spark, sf_dir):
             .withColumn("durata", fmt_duration("secondi")))
 
 
+# ------------------------------------------------- sinks and tables, read back
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/tarmac_{name}_{uuid.uuid4().hex}"
+
+
+@register("csv_roundtrip", W("SELECT * FROM flights"))
+def csv_roundtrip(spark, sf_dir):
+    """S9 + S1: the raw table written as CSV with a header, read by name, cleaned."""
+    return prep.clean(read_raw(spark, write_report(flights_raw(spark, sf_dir), _scratch(spark, "raw_csv"))))
+
+
+@register("csv_report", W(O.Q2, O.CAUSE_UNION))
+def csv_report(spark, sf_dir):
+    """Q2 as one CSV file, its cause lists quoted by the writer."""
+    report = q2_report(spark, sf_dir)
+    path = write_report(report, _scratch(spark, "report"), single_file=True)
+    return spark.read.schema(report.schema).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
+@register("tab_report", W("SELECT * FROM q3", O.Q3_CTES))
+def tab_report(spark, sf_dir):
+    """Q3 as tab-separated text."""
+    report = q3_anomaly_rank(spark, sf_dir)
+    path = write_report(report, _scratch(spark, "tab"), sep="\t")
+    return spark.read.schema(report.schema).option("header", True).option("sep", "\t").csv(path)
+
+
+@register("volume_sink", W("SELECT * FROM flights"))
+def volume_sink(spark, sf_dir):
+    """A volume in folders by month, read back with schema merging."""
+    path = write_volume(flights(spark, sf_dir), _scratch(spark, "volume"), 100, partition_by=["month"])
+    return prep.conform(read_clean(spark, path, merge_schema=True)).select(*TARGET_COLUMNS)
+
+
+@register("split_sink", W(O.Q1))
+def split_sink(spark, sf_dir):
+    """U4: Q1 split into one folder per month, read back whole."""
+    report = q1_carrier_stats(spark, sf_dir)
+    path = write_split(report, _scratch(spark, "split"), ["mese"])
+    back = spark.read.schema(report.schema).option("header", True).csv(path)
+    return back.select(*[F.col(f.name).cast(f.dataType) for f in report.schema])
+
+
+@register("external_table", W("SELECT * FROM q3", O.Q3_CTES))
+def external_table(spark, sf_dir):
+    """Database, external table by DDL with variables, a SQL file against the current database."""
+    db, path = f"tarmac_{uuid.uuid4().hex}", _written_path(spark, flights(spark, sf_dir), "clean")
+    spark.sql("CREATE DATABASE IDENTIFIER(:db)", args={"db": db})
+    run_sql_file(spark, "setup_table", {"table": f"{db}.voli"}, {"columns": CLEAN_DDL, "path": path})
+    before = spark.catalog.currentDatabase()
+    use_db(spark, db)
+    try:
+        return run_sql_file(spark, "q3", {"flights": "voli", "rate_scale": 2})
+    finally:
+        use_db(spark, before)
+
+
+@register("runlog_csv", W("""
+SELECT motore, 'Cluster' AS ambiente, tempo_secondi_cluster AS tempo_secondi FROM cmp
+UNION ALL SELECT motore, 'Locale', tempo_secondi_locale FROM cmp""", _COMPARE_SQL))
+def runlog_csv(spark, sf_dir):
+    """Two run logs written as CSV, read back, joined and made long."""
+    log = _written(spark, _runlog(spark, sf_dir), "log")
+    first = F.col("percentuale") <= 6
+    a, b = (read_runlog(spark, write_report(log.filter(c), _scratch(spark, "log_csv"))) for c in (first, ~first))
+    return RL.melt_runs(RL.compare_runs(a, b))
+
+
 # --------------------------------------------------------------- streaming
 def _stream(spark, sf_dir, report):
-    src = scan_clean(spark, sf_dir).inputFiles()[0].rsplit("/", 1)[0]
+    src = _written_path(spark, flights(spark, sf_dir), "clean")
     run = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_stream_{uuid.uuid4().hex}"
     run_incremental_report(spark, src, f"{run}/out", report, f"{run}/ckpt")
-    return spark.read.parquet(f"{run}/out")
+    return read_published(spark, f"{run}/out")
 
 
 @register("stream_q1_carrier_stats", W(O.Q1))

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators import prep, volumes
 from tarmac.plans import reports as R
+from tarmac.plans import runlog as RL
 from tarmac.schema import VOLUME_PERCENTS
-from tarmac.sources.catalog import register_table, run_sql_file
-from tarmac.sources.io import read_clean, read_raw, require_non_empty, write_report
+from tarmac.sources.catalog import register_table, run_sql_file, use_db
+from tarmac.sources.io import read_clean, read_raw, read_runlog, require_non_empty, write_report
 
 REPORTS = {
     "q1": lambda df, rate_scale: R.carrier_stats(df, rate_scale),
@@ -33,7 +34,7 @@ def _flatten_arrays(df: DataFrame) -> DataFrame:
 
 
 def report_job(spark: SparkSession, input_path: str, report: str, output: str,
-               rate_scale: int = 2, single_file: bool = True,
+               rate_scale: int = 2, single_file: bool = False,
                merge_schema: bool = True) -> str:
     """Clean Parquet volume -> one report as CSV with a header."""
     df = require_non_empty(read_clean(spark, input_path, merge_schema), input_path)
@@ -42,14 +43,32 @@ def report_job(spark: SparkSession, input_path: str, report: str, output: str,
 
 
 def sql_job(spark: SparkSession, input_path: str, sql: str, output: str,
-            args: dict | None = None, table: str = "flights", single_file: bool = True,
-            sep: str = ",") -> str:
-    """Clean Parquet volume registered as ``table`` -> SQL file -> CSV."""
+            args: dict | None = None, table: str = "flights", sep: str = ",",
+            db: str | None = None) -> str:
+    """Clean Parquet volume registered as ``table`` -> SQL file -> CSV.
+
+    With ``db`` the volume is an external table of that database, which is
+    made current before the file runs; else a temporary view.  The result of
+    the file's last statement is written by all tasks, since a file may hold
+    any query.
+    """
     df = require_non_empty(read_clean(spark, input_path, merge_schema=True), input_path)
-    register_table(spark, table, df=df)
+    if db:
+        register_table(spark, table, path=input_path, db=db, schema=df.schema)
+        use_db(spark, db)
+    else:
+        register_table(spark, table, df=df)
     params = {"flights": table, **SQL_DEFAULTS.get(sql, {}), **(args or {})}
-    result = run_sql_file(spark, sql, params)
-    return write_report(result, output, single_file=single_file, sep=sep)
+    return write_report(run_sql_file(spark, sql, params), output, sep=sep)
+
+
+def runlog_job(spark: SparkSession, local_csv: str, cluster_csv: str, output: str) -> dict[str, str]:
+    """Two run logs (CSV) -> cells of both, totals side by side, and their long form, as CSV."""
+    logs = {"locale": read_runlog(spark, local_csv), "cluster": read_runlog(spark, cluster_csv)}
+    wide = RL.compare_runs(logs["locale"], logs["cluster"])
+    tables = {f"cells_{k}": RL.cell_times(log) for k, log in logs.items()}
+    tables |= {"compare": wide, "long": RL.melt_runs(wide)}
+    return {name: write_report(t, f"{output.rstrip('/')}/{name}") for name, t in tables.items()}
 
 
 def prepare_job(spark: SparkSession, raw_path: str, base: str,
@@ -61,7 +80,7 @@ def prepare_job(spark: SparkSession, raw_path: str, base: str,
     when the raw input arrives in fewer pieces than there are cores (a
     large extract is read and written by many tasks anyway).
     """
-    raw = read_raw(spark, raw_path) if raw_format == "csv" else spark.read.parquet(raw_path)
+    raw = read_raw(spark, raw_path) if raw_format == "csv" else read_clean(spark, raw_path)
     clean_path = f"{base.rstrip('/')}/clean"
     clean_df = prep.clean(require_non_empty(raw, raw_path))
     if files:

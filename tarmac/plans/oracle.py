@@ -1,10 +1,12 @@
 """Oracle SQL (DuckDB dialect) for the correctness check.
 
-Each text derives the flight view from the supplied tables and then
-computes a result with plain SQL, written independently of the DataFrame
-plans (UNPIVOT for the cause rows, a correlated subquery for the airport
-baseline).  Rounding goes through ``decimal(18,6)`` exactly as
-``stable_round`` does.
+Each text derives the flight view from the supplied tables.  All metrics
+come from one definition: ``hist`` counts equal (carrier, origin, month,
+flown, delays) rows with delays as whole minutes, ``facts`` holds integer
+sums, counts and bounds of it per carrier, origin and month, and every
+result rolls ``facts`` up.  Means, rates and differences are integers too:
+hundredths, rounded half-up once by integer division.  So nothing here
+averages or rounds floating numbers, as the Spark plans do.
 """
 
 from __future__ import annotations
@@ -77,41 +79,78 @@ flights AS (
 )"""
 
 
-def rnd(expr: str, scale: int = 2) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(18,6)), {scale}) AS DOUBLE)"
+def half_up(num: str, den: str, scale: int = 2) -> str:
+    """``num / den`` in units of 10**-scale, rounded half away from zero; null for den = 0."""
+    unit = 10 ** scale
+    return (f"(CASE WHEN ({den}) > 0 THEN sign({num}) * "
+            f"((2 * {unit} * abs({num}) + ({den})) // (2 * ({den}))) END)")
+
+
+def as_number(units: str, scale: int = 2) -> str:
+    return f"(CAST({units} AS DOUBLE) / {10 ** scale})"
+
+
+def mean(kind: str, scale: int = 2) -> str:
+    """Rolled-up mean delay of flown flights (``dep``, ``arr``) as a number."""
+    return as_number(half_up(f"sum({kind}_sum)", f"sum({kind}_n)", scale), scale)
+
+
+def rate(scale: int = 2) -> str:
+    return as_number(half_up("100 * sum(gone)", "sum(voli)", scale), scale)
+
+
+LATE_MEAN = as_number(half_up("sum(late_sum)", "sum(voli)"))
+
+FACTS = """
+hist AS (
+  SELECT op_unique_carrier AS carrier, origin, month, cancelled = 0 AS flown,
+         CAST(dep_delay AS BIGINT) AS dep, CAST(arr_delay AS BIGINT) AS arr, count(*) AS n
+  FROM flights GROUP BY ALL
+),
+facts AS (
+  SELECT carrier, origin, month, CAST(sum(n) AS BIGINT) AS voli,
+         coalesce(sum(n) FILTER (NOT flown), 0) AS gone,
+         coalesce(sum(dep * n) FILTER (flown), 0) AS dep_sum,
+         coalesce(sum(n) FILTER (flown AND dep IS NOT NULL), 0) AS dep_n,
+         coalesce(sum(arr * n) FILTER (flown), 0) AS arr_sum,
+         coalesce(sum(n) FILTER (flown AND arr IS NOT NULL), 0) AS arr_n,
+         coalesce(sum(arr * n) FILTER (arr > 0), 0) AS late_sum,
+         min(arr) FILTER (flown AND arr > 0) AS first_late, max(arr) FILTER (flown) AS last_arr,
+         coalesce(sum(n) FILTER (flown AND dep <= 14), 0) AS basso,
+         coalesce(sum(n) FILTER (flown AND dep > 14 AND dep <= 60), 0) AS medio,
+         coalesce(sum(n) FILTER (flown AND dep > 60), 0) AS alto
+  FROM hist GROUP BY ALL
+)"""
 
 
 def with_flights(body: str, ctes: str = "") -> str:
     extra = f",\n{ctes}" if ctes else ""
-    return f"WITH {FLIGHT_VIEW.strip()}{extra}\n{body}"
+    return f"WITH {FLIGHT_VIEW.strip()},{FACTS}{extra}\n{body}"
 
 
-def cancel_rate_sql(scale: int | None = 2) -> str:
-    share = "CAST(count(*) FILTER (WHERE cancelled = 1) AS DOUBLE) / count(*) * 100.0"
-    return share if scale is None else rnd(share, scale)
+LATE_BOUNDS = """CAST(coalesce(min(first_late), 0) AS DOUBLE) AS ritardo_minimo,
+       CAST(coalesce(max(last_arr), 0) AS DOUBLE) AS ritardo_massimo"""
 
 
-Q1 = f"""
-SELECT op_unique_carrier AS codice, origin AS aeroporto_partenza, month AS mese,
-       count(*) AS numero_voli,
-       coalesce(min(arr_delay) FILTER (WHERE cancelled = 0 AND arr_delay >= 1.0), 0.0)
-         AS ritardo_minimo,
-       coalesce(max(arr_delay) FILTER (WHERE cancelled = 0), 0.0) AS ritardo_massimo,
-       {rnd("avg(CASE WHEN arr_delay > 0 THEN arr_delay ELSE 0.0 END)")} AS ritardo_medio,
-       {cancel_rate_sql(2)} AS tasso_cancellazione
-FROM flights
-GROUP BY ALL
+def q1(rate_scale: int = 2) -> str:
+    return f"""
+SELECT carrier AS codice, origin AS aeroporto_partenza, month AS mese,
+       CAST(sum(voli) AS BIGINT) AS numero_voli, {LATE_BOUNDS},
+       {LATE_MEAN} AS ritardo_medio, {rate(rate_scale)} AS tasso_cancellazione
+FROM facts GROUP BY ALL
 """
 
+
+Q1 = q1()
+
 BANDS = """
-SELECT origin, month,
-       count(*) FILTER (WHERE cancelled = 0 AND dep_delay < 15.0) AS numero_ritardi_basso,
-       count(*) FILTER (WHERE cancelled = 0 AND dep_delay >= 15.0 AND dep_delay <= 60.0)
-         AS numero_ritardi_medio,
-       count(*) FILTER (WHERE cancelled = 0 AND dep_delay > 60.0) AS numero_ritardi_alto
-FROM flights GROUP BY ALL
+SELECT origin, month, CAST(sum(basso) AS BIGINT) AS numero_ritardi_basso,
+       CAST(sum(medio) AS BIGINT) AS numero_ritardi_medio, CAST(sum(alto) AS BIGINT) AS numero_ritardi_alto
+FROM facts GROUP BY ALL
 """
 
+MEANS = f"""{mean("dep")} AS ritardo_medio_partenza, {mean("arr")} AS ritardo_medio_arrivo"""
+
 # Cause rows: one aggregate with a column per cause, turned into rows by
 # UNPIVOT; ranked; the top three joined into the list text.
 CAUSE_UNION = """
@@ -153,28 +192,23 @@ SELECT b.origin AS aeroporto_partenza, b.month AS mese,
 FROM bands b LEFT JOIN cause_top t USING (origin, month)
 """
 
-# Q3: the airport baseline is a correlated scalar subquery over the rows.
+# Q3: pairs and airports are two roll-ups of the facts; their means stay integer hundredths.
 Q3_CTES = f"""
 airport_stat AS (
-  SELECT origin,
-         {rnd("sum(dep_delay) FILTER (WHERE cancelled = 0) / "
-              "count(dep_delay) FILTER (WHERE cancelled = 0)")} AS media_aeroporto
-  FROM flights GROUP BY ALL
+  SELECT origin, {half_up("sum(dep_sum)", "sum(dep_n)")} AS units FROM facts GROUP BY ALL
 ),
 pair_stat AS (
-  SELECT origin, op_unique_carrier, count(*) AS numero_voli,
-         {rnd("avg(dep_delay) FILTER (WHERE cancelled = 0)")} AS ritardo_medio_partenza,
-         {rnd("avg(arr_delay) FILTER (WHERE cancelled = 0)")} AS ritardo_medio_arrivo,
-         {cancel_rate_sql(2)} AS tasso_cancellazione
-  FROM flights GROUP BY ALL
+  SELECT origin, carrier, CAST(sum(voli) AS BIGINT) AS numero_voli,
+         {half_up("sum(dep_sum)", "sum(dep_n)")} AS dep_units, {half_up("sum(arr_sum)", "sum(arr_n)")} AS arr_units,
+         {rate()} AS tasso_cancellazione
+  FROM facts GROUP BY ALL
 ),
 q3 AS (
-  SELECT ps.origin AS aeroporto_partenza, ps.op_unique_carrier AS compagnia, ps.numero_voli,
-         ps.ritardo_medio_partenza, ps.ritardo_medio_arrivo, ps.tasso_cancellazione,
-         {rnd("ps.ritardo_medio_partenza - (SELECT " + rnd("avg(f.dep_delay)") +
-              " FROM flights f WHERE f.origin = ps.origin AND f.cancelled = 0)")} AS differenza,
-         CAST(rank() OVER (PARTITION BY ps.origin
-                           ORDER BY ps.ritardo_medio_partenza ASC NULLS FIRST) AS BIGINT)
-           AS classifica
-  FROM pair_stat ps
+  SELECT p.origin AS aeroporto_partenza, p.carrier AS compagnia, p.numero_voli,
+         {as_number("p.dep_units")} AS ritardo_medio_partenza,
+         {as_number("p.arr_units")} AS ritardo_medio_arrivo, p.tasso_cancellazione,
+         {as_number("p.dep_units - a.units")} AS differenza,
+         1 + (SELECT count(*) FROM pair_stat o WHERE o.origin = p.origin
+              AND coalesce(o.dep_units, -1e18) < coalesce(p.dep_units, -1e18)) AS classifica
+  FROM pair_stat p JOIN airport_stat a USING (origin)
 )"""

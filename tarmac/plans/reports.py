@@ -182,6 +182,12 @@ def airport_mean(df: DataFrame) -> DataFrame:
                    .alias("ritardo_medio_complessivo")))
 
 
+def airport_mean_of_pairs(pairs: DataFrame) -> DataFrame:
+    """A4 from the pair aggregate: its unrounded sums added per airport."""
+    return pairs.groupBy("origin").agg(stable_round(
+        F.try_divide(F.sum("_dep_sum"), F.sum("_dep_n")), 2).alias("ritardo_medio_complessivo"))
+
+
 # ------------------------------------------------------- README extras X1-X5
 def carrier_routes(df: DataFrame) -> DataFrame:
     """Distinct routes per carrier and their sorted list.

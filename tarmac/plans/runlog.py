@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.text import fmt_duration, map_values
@@ -62,6 +62,20 @@ def compare_runs(log_a: DataFrame, log_b: DataFrame, key: str = "motore",
     return compare(ta, tb, key)
 
 
+def compare_parts(log: DataFrame, first: Column, key: str = "motore", value: str = "tempo_secondi",
+                  names: tuple[str, str] = ("locale", "cluster")) -> DataFrame:
+    """R3 for two environments kept in one log: ``first`` says which rows
+    belong to the first one.  One scan and one aggregate; engines that lack
+    rows of either environment are left out, as by the join."""
+    a, b = (f"{value}_{n}" for n in names)
+    first = F.coalesce(first, F.lit(False))
+    sums = log.groupBy(key).agg(
+        F.sum(F.when(first, F.col(value))).alias(a), F.sum(F.when(~first, F.col(value))).alias(b),
+        F.count_if(first).alias("_n_a"), F.count_if(~first).alias("_n_b"))
+    return sums.filter("_n_a > 0 and _n_b > 0").select(
+        key, a, fmt_duration(a).alias("tempo_x"), b, fmt_duration(b).alias("tempo_y"))
+
+
 def melt_runs(wide: DataFrame, key: str = "motore", value: str = "tempo_secondi",
               names: tuple[str, str] = ("locale", "cluster"),
               labels: Mapping[str, str] = ENVIRONMENT_NAMES) -> DataFrame:

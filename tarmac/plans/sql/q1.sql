@@ -7,10 +7,8 @@ SELECT op_unique_carrier AS codice,
          AS ritardo_minimo,
        coalesce(max(arr_delay) FILTER (WHERE cancelled = 0), 0.0) AS ritardo_massimo,
        -- late minutes averaged over ALL flights: early, cancelled, diverted count 0
-       CAST(round(CAST(avg(if(arr_delay > 0, arr_delay, 0.0)) AS DECIMAL(18, 6)), 2)
-            AS DOUBLE) AS ritardo_medio,
-       CAST(round(CAST(count_if(cancelled = 1) / count(*) * 100.0 AS DECIMAL(18, 6)),
-                  :rate_scale) AS DOUBLE) AS tasso_cancellazione,
+       round(avg(greatest(0.0, coalesce(arr_delay, 0.0))), 2) AS ritardo_medio,
+       round(count_if(cancelled = 1) * 100.0D / count(*), :rate_scale) AS tasso_cancellazione,
        month AS mese
 FROM IDENTIFIER(:flights)
 GROUP BY op_unique_carrier, origin, month

@@ -1,5 +1,5 @@
 -- Q2: departure-delay bands and the top-3 causes per origin airport and month.
--- One aggregate for bands and cause sums; causes exploded, ranked, regrouped.
+-- One aggregate for bands and cause sums; causes exploded with the bands, ranked, regrouped.
 -- Parameters: :flights (table name), :k (causes listed).
 WITH per_month AS (
   SELECT origin, month,
@@ -16,36 +16,31 @@ WITH per_month AS (
   GROUP BY origin, month
 ),
 causes AS (
-  SELECT p.origin, p.month, c.causa, c.minuti
-  FROM per_month p
-  LATERAL VIEW explode(array(
+  -- months without flown flights keep one row without a cause, so the bands need no second read
+  SELECT origin, month, numero_ritardi_basso, numero_ritardi_medio, numero_ritardi_alto,
+         c.causa, c.minuti
+  FROM per_month
+  LATERAL VIEW OUTER explode(if(flown > 0, array(
       named_struct('causa', 'Carrier', 'minuti', c_carrier),
       named_struct('causa', 'Weather', 'minuti', c_weather),
       named_struct('causa', 'NAS', 'minuti', c_nas),
       named_struct('causa', 'Security', 'minuti', c_security),
-      named_struct('causa', 'Late Aircraft', 'minuti', c_late))) x AS c
-  WHERE p.flown > 0
+      named_struct('causa', 'Late Aircraft', 'minuti', c_late)), NULL)) x AS c
 ),
 ranked AS (
-  SELECT origin, month, causa, minuti,
+  SELECT *,
          row_number() OVER (PARTITION BY origin, month
                             ORDER BY minuti DESC NULLS LAST, causa) AS ranking
   FROM causes
-),
-top_causes AS (
-  SELECT origin, month,
-         concat('[''',
-                array_join(transform(array_sort(collect_list(named_struct(
-                    'r', ranking, 'l', concat(causa, ' (', CAST(minuti AS STRING), ' min)')))),
-                    e -> e.l), ''', '''),
-                ''']') AS cause_maggiori
-  FROM ranked
-  WHERE ranking <= :k
-  GROUP BY origin, month
 )
-SELECT p.origin AS aeroporto_partenza, p.month AS mese,
-       p.numero_ritardi_basso, p.numero_ritardi_medio, p.numero_ritardi_alto,
-       coalesce(t.cause_maggiori, '[]') AS cause_maggiori
-FROM per_month p
-LEFT JOIN top_causes t ON p.origin = t.origin AND p.month = t.month
+SELECT origin AS aeroporto_partenza, month AS mese,
+       numero_ritardi_basso, numero_ritardi_medio, numero_ritardi_alto,
+       -- a cause without minutes has no text; concat leaves it null and the list drops it
+       CASE WHEN count(causa || minuti) = 0 THEN '[]' ELSE concat('[\'',
+         array_join(transform(array_sort(collect_list(named_struct(
+             'r', ranking, 'l', concat(causa, ' (', CAST(minuti AS STRING), ' min)')))),
+             e -> e.l), '\', \''), '\']') END AS cause_maggiori
+FROM ranked
+WHERE ranking <= :k
+GROUP BY origin, month, numero_ritardi_basso, numero_ritardi_medio, numero_ritardi_alto
 ORDER BY aeroporto_partenza, mese

@@ -7,27 +7,22 @@ WITH pairs AS (
          count(*) AS numero_voli,
          sum(dep_delay) FILTER (WHERE cancelled = 0) AS dep_sum,
          count(dep_delay) FILTER (WHERE cancelled = 0) AS dep_n,
-         CAST(round(CAST(avg(dep_delay) FILTER (WHERE cancelled = 0) AS DECIMAL(18, 6)), 2)
-              AS DOUBLE) AS ritardo_medio_partenza,
-         CAST(round(CAST(avg(arr_delay) FILTER (WHERE cancelled = 0) AS DECIMAL(18, 6)), 2)
-              AS DOUBLE) AS ritardo_medio_arrivo,
-         CAST(round(CAST(count_if(cancelled = 1) / count(*) * 100.0 AS DECIMAL(18, 6)),
-                    :rate_scale) AS DOUBLE) AS tasso_cancellazione
+         round(avg(dep_delay) FILTER (WHERE cancelled = 0), 2) AS ritardo_medio_partenza,
+         round(avg(arr_delay) FILTER (WHERE cancelled = 0), 2) AS ritardo_medio_arrivo,
+         round(count_if(cancelled = 1) * 100.0D / count(*), :rate_scale) AS tasso_cancellazione
   FROM IDENTIFIER(:flights)
   GROUP BY origin, op_unique_carrier
 ),
 with_airport AS (
   SELECT *,
-         CAST(round(CAST(try_divide(sum(dep_sum) OVER (PARTITION BY origin),
-                                    sum(dep_n) OVER (PARTITION BY origin)) AS DECIMAL(18, 6)), 2)
-              AS DOUBLE) AS media_aeroporto
+         round(try_divide(sum(dep_sum) OVER (PARTITION BY origin),
+                          sum(dep_n) OVER (PARTITION BY origin)), 2) AS media_aeroporto
   FROM pairs
 )
 SELECT origin AS aeroporto_partenza,
        op_unique_carrier AS compagnia,
        numero_voli, ritardo_medio_partenza, ritardo_medio_arrivo, tasso_cancellazione,
-       CAST(round(CAST(ritardo_medio_partenza - media_aeroporto AS DECIMAL(18, 6)), 2) AS DOUBLE)
-         AS differenza,
+       round(ritardo_medio_partenza - media_aeroporto, 2) AS differenza,
        CAST(rank() OVER (PARTITION BY origin ORDER BY ritardo_medio_partenza ASC NULLS FIRST)
             AS BIGINT) AS classifica
 FROM with_airport

@@ -1,22 +1,7 @@
 -- External table over a folder of clean Parquet files, with the clean
 -- schema declared (not read from the files).
--- Parameters: :table (name, may be db.name); variable ${path} (the folder).
-CREATE TABLE IF NOT EXISTS IDENTIFIER(:table) (
-    month BIGINT,
-    fl_date TIMESTAMP_NTZ,
-    op_unique_carrier STRING,
-    op_carrier_fl_num DOUBLE,
-    origin STRING,
-    dest STRING,
-    dep_delay DOUBLE,
-    arr_delay DOUBLE,
-    cancelled BIGINT,
-    cancellation_code STRING,
-    carrier_delay BIGINT,
-    weather_delay BIGINT,
-    nas_delay BIGINT,
-    security_delay BIGINT,
-    late_aircraft_delay BIGINT
-)
+-- Parameters: :table (name, may be db.name); variables ${columns} (the
+-- column list, see tarmac.schema.CLEAN_DDL) and ${path} (the folder).
+CREATE TABLE IF NOT EXISTS IDENTIFIER(:table) (${columns})
 USING parquet
 LOCATION '${path}'

@@ -80,6 +80,9 @@ CLEAN_SCHEMA = T.StructType([
     *[T.StructField(c, T.LongType()) for c in CAUSE_COLUMNS],
 ])
 
+# Column list of a table DDL.
+CLEAN_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CLEAN_SCHEMA)
+
 RUNLOG_SCHEMA = T.StructType([
     T.StructField("percentuale", T.IntegerType()),
     T.StructField("motore", T.StringType()),

@@ -1,7 +1,8 @@
 """Catalog tables and SQL-text execution.
 
 Values and identifiers are bound with Spark's named parameter markers
-(``:name``, ``IDENTIFIER(:name)``): no string splicing of user values.
+(``:name``, ``IDENTIFIER(:name)``).  Only ``${name}`` variables, for paths
+in DDL where markers are not allowed, are put into the text, after a check.
 """
 
 from __future__ import annotations
@@ -42,39 +43,50 @@ def use_db(spark: SparkSession, db: str) -> None:
     spark.catalog.setCurrentDatabase(db)
 
 
-_VAR_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+_VARIABLE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)\}")
+
+
+def split_statements(text: str) -> list[str]:
+    """Statements of a SQL text: cut at semicolons outside of quotes and comments."""
+    token = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;", re.S)
+    cuts = [m.start() for m in token.finditer(text) if m[0] == ";"]
+    parts = [text[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(text)])]
+    blank = re.compile(r"(?:\s|--[^\n]*(?:\n|$)|/\*.*?\*/)*", re.S)
+    return [p.strip() for p in parts if not blank.fullmatch(p)]
 
 
 def run_sql_text(spark: SparkSession, text: str, args: dict | None = None,
                  variables: dict | None = None) -> DataFrame:
-    """Parse and analyse one statement into a lazy DataFrame.
+    """Run the statements of a text; returns the last one's (lazy) result.
 
-    ``args`` bind ``:name`` parameter markers.  ``variables`` fill Hive-style
-    ``${name}`` references through Spark's own variable substitution: each
-    is a session setting only while the statement is parsed.  Names are
-    plain identifiers, so they never collide with (dotted) Spark settings.
+    ``args`` bind ``:name`` parameter markers.  ``variables`` replace
+    Hive-style ``${name}`` references, for what markers cannot hold: a path
+    or a column list in DDL.  Their values may hold no quote, backslash,
+    semicolon or line break, and a reference without a value is an error.  No session
+    setting changes, so threads may share a session.
     """
-    variables = variables or {}
-    bad = [k for k in variables if not _VAR_NAME.match(k)]
+    variables = {k: str(v) for k, v in (variables or {}).items()}
+    bad = [k for k, v in variables.items() if re.search(r"['\"`\\\n;]", v)]
     if bad:
-        raise ValueError(f"invalid variable names: {bad}")
-    saved = {k: spark.conf.get(k, None) for k in variables}
-    for k, v in variables.items():
-        spark.conf.set(k, str(v))
-    try:
-        return spark.sql(text.strip().rstrip(";"), args=args or None)
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+        raise ValueError(f"variables with quotes or line breaks: {bad}")
+    missing = set(_VARIABLE.findall(text)) - set(variables)
+    if missing:
+        raise ValueError(f"no value for variables: {sorted(missing)}")
+    statements = split_statements(_VARIABLE.sub(lambda m: variables[m[1]], text))
+    if not statements:
+        raise ValueError("no statement")
+    for statement in statements[:-1]:
+        spark.sql(statement, args=args or None)
+    return spark.sql(statements[-1], args=args or None)
 
 
 def run_sql_file(spark: SparkSession, path: str | Path, args: dict | None = None,
                  variables: dict | None = None) -> DataFrame:
-    """Run a SQL file; a bare name is looked up in the package's ``sql`` folder."""
+    """Run a SQL file.  A bare name without suffix is a file of the package;
+    anything else must exist."""
     p = Path(path)
-    if not p.exists():
-        p = SQL_DIR / (p.name if p.suffix else f"{p.name}.sql")
+    if not p.suffix and p.name == str(path):
+        p = SQL_DIR / f"{p.name}.sql"
+    if not p.is_file():
+        raise FileNotFoundError(f"no SQL file {path}")
     return run_sql_text(spark, p.read_text(), args, variables)

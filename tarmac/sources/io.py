@@ -7,33 +7,45 @@ Sinks never route data through the driver.
 
 from __future__ import annotations
 
+import functools
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType, StringType, StructType
 
+from tarmac.functions.metrics import nan_to_null
 from tarmac.schema import CAUSE_COLUMNS, RAW_SCHEMA, RUNLOG_SCHEMA
+from tarmac.session import checkpoint_dir
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
-             header: bool = True, mode: str = "PERMISSIVE", by_name: bool = True,
+             header: bool = True, mode: str = "STRICT", by_name: bool = True,
              lenient: tuple[str, ...] = CAUSE_COLUMNS) -> DataFrame:
     """CSV with a header, typed by ``schema`` (no inference pass).
 
     ``by_name``: columns are matched to the schema by header name (any
     order, extra columns ignored, case-insensitive; a missing column is
-    null).  The header gives untyped text columns; only the selected ones
-    are parsed (CSV column pruning) and cast JVM-side.  ``lenient`` columns
-    use ``try_cast`` (text that is not a number becomes null, to be imputed
-    later); the others fail on malformed values under ANSI mode.
+    null).  The header gives untyped text columns, cast JVM-side.
+    ``lenient`` columns use ``try_cast`` (text that is not a number becomes
+    null, to be imputed later); the others fail on malformed values under
+    ANSI mode.  Integers may be written ``0.0``; a fractional part fails.
+
+    ``STRICT`` (by name): a row with more or fewer fields than the header
+    stops the job, whatever columns the query reads.  The other modes are
+    Spark's.
     Without ``by_name`` the schema is applied by position.
     """
     if not (by_name and header):
-        return (spark.read.schema(schema).option("header", header).option("mode", mode)
-                .csv(path))
-    text = (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", mode).csv(path))
+        return (spark.read.schema(schema).option("header", header)
+                .option("mode", "FAILFAST" if mode == "STRICT" else mode).csv(path))
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    if mode == "STRICT":  # without pruning the parser sees every field of every row
+        reader = reader.option("columnPruning", False).option("mode", "FAILFAST")
+    else:
+        reader = reader.option("mode", mode)
+    text = reader.csv(path)
     present = {c.lower(): c for c in text.columns}
     cols = []
     for f in schema:
@@ -45,6 +57,11 @@ def read_raw(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA,
         if f.name in lenient and not isinstance(f.dataType, StringType):
             # through double so that "12.0" is accepted like an integral "12"
             c = c.try_cast("double").try_cast(f.dataType)
+        elif isinstance(f.dataType, IntegralType):
+            number = c.cast("double")
+            whole_number = F.when(F.floor(number) == number, F.floor(number))
+            c = F.when(c.isNotNull() & whole_number.isNull(), F.raise_error(
+                F.concat(F.lit(f"{f.name} is no integer: "), c)).cast("bigint")).otherwise(whole_number).cast(f.dataType)
         else:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
@@ -57,8 +74,14 @@ def read_runlog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Parquet dataset; ``merge_schema`` unions the schemas of all part files."""
-    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    """Parquet dataset, NaN read as null; ``merge_schema`` unions the schemas of all part files."""
+    return nan_as_null(spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path))
+
+
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """NaN, pandas' missing value, becomes null in every floating column."""
+    floating = [f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))]
+    return df.withColumns({c: nan_to_null(F.col(f"`{c}`")).cast(df.schema[c].dataType) for c in floating})
 
 
 def require_non_empty(df: DataFrame, what: str = "input") -> DataFrame:
@@ -90,11 +113,19 @@ def write_report(df: DataFrame, path: str, single_file: bool = False, sep: str =
                  null_value: str = "", header: bool = True, mode: str = "overwrite") -> str:
     """Delimited text report with a header.
 
-    ``single_file`` coalesces to one part file; use it only for an already
-    aggregated report (it runs the last stage in one task).
+    ``single_file``, for aggregated reports: the report is computed and
+    sorted in parallel and written to the shared folder; only its finished
+    part files are then read, in order, by one task that writes one file.
     """
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode(mode).option("header", header).option("sep", sep)
+    if single_file:
+        spark = df.sparkSession
+        parts = f"{checkpoint_dir(spark).rstrip('/')}/tarmac_report_{uuid.uuid4().hex}"
+        df.write.parquet(parts)
+        finished = spark.read.schema(df.schema)
+        files = sorted(finished.parquet(parts).inputFiles())  # as many as the report's sort has partitions
+        frames = [finished.parquet(f) for f in files] or [finished.parquet(parts)]
+        df = functools.reduce(DataFrame.union, frames).coalesce(1)
+    (df.write.mode(mode).option("header", header).option("sep", sep)
         .option("nullValue", null_value).option("emptyValue", "").csv(path))
     return path
 

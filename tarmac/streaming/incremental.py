@@ -7,8 +7,10 @@ airport-month, per airport-carrier) lives in the streaming state store,
 so each new file is aggregated once.  Every trigger hands the complete
 aggregate to ``foreachBatch``, where the parts that streaming cannot
 express (ranking windows over the aggregate) run as a small batch job,
-and the result overwrites a Parquet folder (idempotent on replay after a
-failure).  The checkpoint lives under the shared ``spark.checkpoint.dir``.
+and the result is written to a new folder ``batch_<id>``.  A folder counts
+once its ``_SUCCESS`` marker is there, so a reader (``read_published``)
+always finds the newest complete report; a replay after a failure writes
+the same folder again.  The checkpoint lives under the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ REPORTS: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame],
     "q1": (lambda df: R.carrier_stats(df, sort=False), _same),
     "q2": (R.airport_month_aggregate, lambda agg: R.airport_month_finish(agg, sort=False)),
     "q3": (R.pair_aggregate, lambda agg: R.carrier_vs_airport_finish(agg, sort=False)),
-    "bands": (lambda df: df.groupBy("origin", "month").agg(*R.band_aggs()), _same),
 }
 
 
@@ -57,8 +58,8 @@ def run_incremental_report(spark: SparkSession, source: str, target: str, report
     aggregate, finish = REPORTS[report]
     agg = aggregate(clean_stream(spark, source, schema))
 
-    def publish(batch: DataFrame, _batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(target)
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        finish(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_{batch_id:012d}")
 
     writer = (agg.writeStream.outputMode("complete").foreachBatch(publish)
                  .option("checkpointLocation", ckpt))
@@ -67,3 +68,15 @@ def run_incremental_report(spark: SparkSession, source: str, target: str, report
     if available_now:
         q.awaitTermination()
     return q
+
+
+def read_published(spark: SparkSession, target: str) -> DataFrame:
+    """The newest complete report under ``target``."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = [str(s.getPath()) for s in fs.listStatus(root)
+            if s.getPath().getName().startswith("batch_") and fs.exists(path_of(s.getPath(), "_SUCCESS"))]
+    if not done:
+        raise ValueError(f"no complete report under {target}")
+    return spark.read.parquet(max(done))

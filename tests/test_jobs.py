@@ -12,7 +12,9 @@ from tests.conftest import ROOT, SF_SMALL
 
 
 def _csv_lines(path):
-    return open(glob.glob(os.path.join(path, "part-*.csv"))[0]).read().splitlines()
+    """Header once, then the rows of all part files in name order."""
+    files = [open(f).read().splitlines() for f in sorted(glob.glob(os.path.join(path, "part-*.csv")))]
+    return files[0][:1] + [line for f in files for line in f[1:]]
 
 
 def test_prepare_and_report_jobs(spark, tmp_dir):
@@ -33,6 +35,51 @@ def test_prepare_and_report_jobs(spark, tmp_dir):
     assert len(_csv_lines(out3)) == 26
 
 
+def test_sql_job_with_a_database_and_runlog_job(spark, tmp_dir):
+    volume = os.path.join(tmp_dir, "volume")
+    C.flights(spark, SF_SMALL).write.parquet(volume)
+    old = spark.catalog.currentDatabase()
+    try:
+        out = jobs.sql_job(spark, volume, "q3", os.path.join(tmp_dir, "q3"), table="voli", db="tarmac_jobs_db")
+        assert spark.catalog.currentDatabase() == "tarmac_jobs_db" and len(_csv_lines(out)) == 251
+    finally:
+        spark.catalog.setCurrentDatabase(old)
+        spark.sql("DROP TABLE IF EXISTS tarmac_jobs_db.voli")
+    for name, seconds in (("l.csv", 100), ("c.csv", 40)):
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write(f"percentuale,motore,analisi,tempo_secondi,status\n10,M,A,{seconds},0\n10,M,A,1,0\n")
+    got = jobs.runlog_job(spark, os.path.join(tmp_dir, "l.csv"), os.path.join(tmp_dir, "c.csv"), os.path.join(tmp_dir, "log"))
+    assert set(got) == {"cells_locale", "cells_cluster", "compare", "long"}
+    assert _csv_lines(got["compare"])[1].split(",")[1:] == ["101", "00:01:41", "41", "00:00:41"]
+
+
+def test_cli_writes_a_report(spark, tmp_dir):
+    volume = os.path.join(tmp_dir, "volume")
+    C.flights(spark, SF_SMALL).write.parquet(volume)
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    out = os.path.join(tmp_dir, "o")
+    r = subprocess.run([sys.executable, "-m", "tarmac", "--conf", "spark.sql.shuffle.partitions=4", "report", "q2",
+                        volume, out, "--single-file"], capture_output=True, text=True, timeout=300, env=env, cwd=tmp_dir)
+    assert r.returncode == 0, r.stderr[-500:]
+    assert len(glob.glob(os.path.join(out, "part-*.csv"))) == 1 and len(_csv_lines(out)) == 121
+
+
+def test_scratch_folder_is_required_on_a_cluster(spark):
+    from tarmac.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})()
+
+    import pytest
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
+
+
 def test_cli_empty_input_fails(tmp_dir):
     empty = os.path.join(tmp_dir, "empty")
     os.makedirs(empty)

@@ -3,13 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from tarmac.plans import catalog as C
 from tests.conftest import SF_SMALL
 from tools.oracle_check import compare, duck
 
-# Results that depend on file positions of a written table: no SQL oracle,
-# checked against brute force in test_exact_sample_brute_force.
-NO_SQL = {"sample_exact_10"}
-KEYS = sorted(set(E.queries()) - NO_SQL)
+KEYS = sorted(C.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -18,26 +16,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries()) - NO_SQL
-
-
-def test_exact_sample_brute_force(spark):
-    """The registered exact sample equals: hash every physical row, sort,
-    keep the first round(n / 10)."""
-    from pyspark.sql import functions as F
-    got = E.queries()["sample_exact_10"](spark, SF_SMALL)
-    src = spark.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0])
-    keyed = src.select("*", F.md5(F.concat_ws(
-        "|", F.substring_index(F.col("_metadata.file_path"), "/", -1),
-        F.col("_metadata.row_index").cast("string"), F.lit("42"))).alias("_k")).collect()
-    keyed.sort(key=lambda r: r["_k"])
-    want = sorted(tuple(r[c] for c in src.columns) for r in keyed[:round(len(keyed) / 10)])
-    assert sorted(map(tuple, got.select(*src.columns).collect())) == want
+    assert set(C.ORACLE) == set(C.QUERIES)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    n, problems = compare(spark, con, key, E.queries()[key], E.oracle_sql()[key], SF_SMALL)
+    n, problems = compare(spark, con, key, C.QUERIES[key], C.ORACLE[key], SF_SMALL)
     assert not problems, problems
     assert n > 0
 
