@@ -29,6 +29,7 @@ def main(argv) -> None:
         "Q1 carrier_stats": R.carrier_stats(f),
         "Q2 airport_month_report": R.airport_month_report(f),
         "Q3 carrier_vs_airport": R.carrier_vs_airport(f),
+        "Q2 SQL form (sql/q2.sql)": run_sql_file(spark, "q2", {"flights": "flights", "k": 3}),
         "Q3 SQL form (sql/q3.sql)": run_sql_file(spark, "q3", {"flights": "flights",
                                                                "rate_scale": 2}),
         "X4 cancel_causes": R.cancel_causes(f),
@@ -44,6 +45,7 @@ def main(argv) -> None:
         schema = re.findall(r"ReadSchema: (\S+)", text)
         pushed = re.findall(r"PushedFilters: (\[[^\]]*\])", text)
         print(f"## {name}\n")
+        print(f"- scans: {text.count('FileScan parquet')}")
         print(f"- hash exchanges: {hashx}; range exchanges (final ORDER BY): {rangex}")
         print(f"- scan ReadSchema: `{schema[0] if schema else '-'}`")
         print(f"- PushedFilters: `{pushed[0] if pushed else '-'}`\n")
