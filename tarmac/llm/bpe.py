@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 WORD_END = "</w>"
 _FOREVER = 1 << 60
 #: Words kept with their ids per Python worker, and cells of the transition table.
-WORD_CACHE = 500_000
+WORD_CACHE = 250_000
 CELL_CACHE = 1_000_000
 #: Longer words are encoded without keeping them.
 KEPT_WORD = 64

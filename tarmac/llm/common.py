@@ -13,12 +13,22 @@ from pyspark.sql import functions as F
 from tarmac.session import checkpoint_dir
 
 
+#: Rows of texts that go to or from a Python worker at once, where the session has Spark's 10,000.
+ARROW_ROWS = "1000"
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application.
+    """Make the session ready for this package's tasks.
 
-    Tasks import it; a session started elsewhere need not have it on its
-    Python path.
+    The package is sent to the executors, once per application: tasks import
+    it, and a session started elsewhere need not have it on its Python path.
+    Arrow batches keep to ``ARROW_ROWS`` unless the session sets a number of
+    its own, since a batch of whole documents is held several times in the
+    JVM and in Python.
     """
+    if spark.conf.get(_ROWS, "10000") == "10000":
+        spark.conf.set(_ROWS, ARROW_ROWS)
     context = spark.sparkContext
     if getattr(context, "_tarmac_shipped", False):
         return
@@ -57,3 +67,16 @@ def materialise(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def smallest(frame: DataFrame, hashed: Column, tie: str, limit: int) -> DataFrame:
+    """The ``limit`` rows with the smallest 64-bit hash (ties: smallest ``tie``).
+
+    On a large table only hashes below a bound, about twice as many rows as
+    wanted, are sorted, so the partial results that meet in the last step
+    do not grow with the number of partitions.
+    """
+    n = frame.count()
+    if n > 4 * limit:
+        frame = frame.filter(hashed < int(2 * limit / n * 2.0 ** 64) - (1 << 63))
+    return frame.orderBy(hashed, tie).limit(limit)

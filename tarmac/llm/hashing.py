@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import materialise
+from tarmac.llm.common import materialise, smallest
 
 BITS = 64
 SUBSTRING = 8
@@ -163,7 +163,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     distinct = materialise(spark, once.groupBy("x").agg(F.sort_array(F.collect_list("id")).alias("ids")), "vectors")
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
     count, largest = distinct.agg(F.count(F.lit(1)), F.max(norm)).first()
-    sample = distinct.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE_ROWS).select("x").toArrow()
+    keyed = distinct.select("x", F.col("ids")[0].alias("first"))
+    sample = smallest(keyed, F.xxhash64("first"), "first", SAMPLE_ROWS).select("x").toArrow()
     n = lengths[0]["n"]
     codes = spark.sparkContext.broadcast(
         learn(sample.column(0).combine_chunks().flatten().to_numpy().reshape(-1, n), float(largest), k))

@@ -6,10 +6,13 @@ unbiased risk
 
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]).
 
-The class prior is estimated first: a network that tells positives from
-unlabelled rows gives positives the mean probability c on rows kept out of
-its training, and the unlabelled rows' mean probability divided by c is
-the share of positives among them.
+The class prior is estimated first.  A network learns to tell positives
+from unlabelled rows; on rows kept out of its training, the share of
+unlabelled rows above a score divided by the share of positives above it
+bounds the prior from above, and comes close where hardly any negatives
+score so high.  The score with the smallest bound, sampling error
+included, is taken, less two standard errors: with too large a prior the
+risk of the negatives is cut at zero before they are told apart.
 
 The inputs are statistics of the whole text: shares and counts of byte
 classes, of repeated neighbours and lines, capitals and word lengths.
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import words as W
+from tarmac.llm.common import smallest
 
 CUT = 0.3
 #: Positives and unlabelled rows that training reads at most.
@@ -174,14 +178,27 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 11, epochs:
         k = positive.shape[1]
         return Model(np.zeros(k), np.ones(k), np.zeros((k, 1)), np.zeros(1), np.zeros(1), 0.0, 1.0)
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(positive))
-    held, rest = positive[order[: len(order) // 4]], positive[order[len(order) // 4:]]
-    first = _network(rest, unlabelled, None, seed, max(1, epochs // 3))
-    c = first.score(held).mean()
-    prior = float(np.clip(first.score(unlabelled).mean() / max(c, 1e-6), 0.05, 0.98))
+    sides = []
+    for rows in (positive, unlabelled):
+        order = rng.permutation(len(rows))
+        sides.append((rows[order[: len(order) // 3]], rows[order[len(order) // 3:]]))
+    (held_p, rest_p), (held_u, rest_u) = sides
+    first = _network(rest_p, rest_u, None, seed, max(1, epochs // 5))
+    prior = float(np.clip(_prior(first.score(held_p), first.score(held_u)), 0.05, 0.98))
     return _network(positive, unlabelled, prior, seed + 1, epochs)
 
 
+def _prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """Smallest ratio of the shares above a score, with its sampling error."""
+    cuts = np.sort(positive)[: max(1, int(0.95 * len(positive)))]
+    above_p = 1 - np.arange(len(cuts)) / len(positive)
+    above_u = 1 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
+    error = np.sqrt(np.log(40) / (2 * len(positive))) + np.sqrt(np.log(40) / (2 * len(unlabelled)))
+    best = np.argmin((above_u + error) / above_p)
+    prior = float(above_u[best] / above_p[best])
+    return prior - 2 * np.sqrt(max(prior * (1 - prior), 0) / len(unlabelled))
+
+
 def _feature_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,11 +221,9 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = SAMPLE_POSITIVE, un
     Both samples are the rows with the smallest hash of their id.
     """
     order = F.xxhash64(F.col(id_col), F.lit(23))
-    trusted = labels.filter(F.col("quality") == 1).select(id_col).dropDuplicates().orderBy(
-        order, id_col).limit(positives)
+    trusted = smallest(labels.filter(F.col("quality") == 1).select(id_col).dropDuplicates(), order, id_col, positives)
     other = F.xxhash64(F.col(id_col), F.lit(29))
-    web = docs.select(id_col).filter(F.col(id_col).isNotNull()).dropDuplicates().orderBy(
-        other, id_col).limit(unlabelled)
+    web = smallest(docs.select(id_col).filter(F.col(id_col).isNotNull()).dropDuplicates(), other, id_col, unlabelled)
     few = F.broadcast(trusted.withColumn("_trusted", F.lit(1)).unionByName(web.withColumn("_trusted", F.lit(0))))
     rows = docs.select(id_col, text_col).join(few, id_col)  # positives + unlabelled rows at most
     got = sorted((r["id"], r["trusted"], r["x"]) for r in _feature_rows(rows, id_col, text_col).toLocalIterator())
@@ -226,7 +241,7 @@ def scorer(docs: DataFrame, model: Model):
         offsets, raw = W.buffers(texts)
         got = [shared.value.score(features(offsets[lo: hi + 1] - offsets[lo], raw[offsets[lo]: offsets[hi]]))
                for lo, hi in W.chunks(offsets, CHUNK_BYTES)]
-        return pa.array(np.concatenate([np.zeros(0), *got]), pa.float64())
+        return pa.array(np.round(np.concatenate([np.zeros(0), *got]), 6), pa.float64())
 
     return good
 
