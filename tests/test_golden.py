@@ -1,5 +1,7 @@
 """Golden format: hand-made inputs that must print exactly the sample
-report lines of the original (header, number format, rounding, quoting)."""
+report lines of the original (header, number format, rounding, quoting).
+
+The expected lines are fixed values: they must equal published output."""
 
 import glob
 import os
