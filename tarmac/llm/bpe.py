@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 WORD_END = "</w>"
 _FOREVER = 1 << 60
 #: Words kept with their ids per Python worker, and cells of the transition table.
-WORD_CACHE = 250_000
-CELL_CACHE = 1_000_000
+WORD_CACHE = 200_000
+CELL_CACHE = 300_000
 #: Longer words are encoded without keeping them.
 KEPT_WORD = 64
 #: Bytes of text that one output batch covers (a longer text is a batch of its own).
@@ -70,17 +70,18 @@ class TokenAutomaton:
         self.vocab = vocab
         self.label = {i: t for t, i in vocab.items()}
         self.cut: dict[tuple[int, int], int] = {}
-        self.born: dict[int, int] = {}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.left: dict[int, tuple[tuple[int, int], ...]] = {}
-        self.right: dict[int, tuple[tuple[int, int], ...]] = {}
+        size = max(vocab.values(), default=0) + 1
+        # per token: time of its merge (-1: a base symbol, -2: never made) and its two parts
+        self.born = [-2] * size
+        self.left = [-1] * size
+        self.right = [-1] * size
         self.cells: dict[tuple[int, int], bool] = {}
         made = {u + v: time for time, (u, v) in reversed([*enumerate(merges)])}
         if len(made) < len(merges):
             raise ValueError("two merges make one token")
         for token, i in vocab.items():
             if token not in made:
-                self.left[i] = self.right[i] = ((i, _FOREVER),)
+                self.born[i] = -1
         if any(made.get(part, -1) >= time for time, merge in enumerate(merges) for part in merge):
             raise ValueError("a merge uses a token that a later merge makes")
         for time, (u, v) in enumerate(merges):
@@ -88,21 +89,27 @@ class TokenAutomaton:
         self.longest = max((len(t) for t in vocab), default=1)
 
     def _gadget(self, time: int, u: int, v: int, w: int) -> None:
-        if u not in self.left or v not in self.left or self._blocked(u, v, time):
+        if self.born[u] == -2 or self.born[v] == -2 or self._blocked(u, v, time):
             return  # no path reads u v at this time: the merge never applies
         self.cut[u, v] = time
-        self.parts[w] = (u, v)
-        self.left[w] = ((w, _FOREVER), *((z, min(k, time)) for z, k in self.left[u]))
-        self.right[w] = ((w, _FOREVER), *((x, min(k, time)) for x, k in self.right[v]))
+        self.born[w], self.left[w], self.right[w] = time, u, v
 
     def _blocked(self, state: int, token: int, time: int = _FOREVER) -> bool:
-        """Whether the state behind ``state`` has no ``token`` arc at ``time``."""
-        cut = self.cut
-        for x, until_x in self.right[state]:
-            for z, until_z in self.left[token]:
+        """Whether the state behind ``state`` has no ``token`` arc at ``time``.
+
+        A label on the right spine of ``state`` counts until the next one up
+        the spine is made, and so on the left spine of ``token``.
+        """
+        cut, born, left, right = self.cut, self.born, self.left, self.right
+        x, until_x = state, _FOREVER
+        while x >= 0:
+            z, until_z = token, _FOREVER
+            while z >= 0:
                 j = cut.get((x, z))
                 if j is not None and j < until_x and j <= until_z and j < time:
                     return True
+                z, until_z = left[z], born[z]
+            x, until_x = right[x], born[x]
         return False
 
     def follows(self, state: int, token: int) -> bool:
@@ -126,13 +133,13 @@ class TokenAutomaton:
         ids: list[int] = []
         ends: list[int] = []
         dead: set[int] = set()
-        vocab, left, follows, longest = self.vocab, self.left, self.follows, self.longest
+        vocab, born, follows, longest = self.vocab, self.born, self.follows, self.longest
         while pos < n:
             for end in range(min(limit, pos + longest), pos, -1):
                 if end in dead:
                     continue
                 token = vocab.get(symbols[pos:end] if end < n else symbols[pos:] + WORD_END)
-                if token is not None and token in left and (not ids or follows(ids[-1], token)):
+                if token is not None and born[token] > -2 and (not ids or follows(ids[-1], token)):
                     ids.append(token)
                     ends.append(end)
                     pos, limit = end, n

@@ -181,18 +181,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     all_rows = materialise(spark, shingle_sketches(docs, words, id_col, text_col), "sketches")
     sets = all_rows.filter("n_shingles > 0 and id is not null")
     classes = sets.groupBy("set_key").agg(F.min("id").alias("rep"))
-    members = sets.select("id", "set_key", "n_shingles").join(classes, "set_key")
     reps = sets.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     links = _links(spark, reps.select("id", F.explode("bands").alias("key")), texts, words, percent)
     roots = components(links, "a", "b")
 
-    of_rep = members.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "id", "set_key", F.coalesce("root", "rep").alias("component_id")).distinct()
-    return all_rows.select("id", "set_key", "n_shingles").join(of_rep, ["id", "set_key"], "left").select(
-        F.col("id").alias(id_col), "n_shingles",
-        F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(True)).alias("kept"))
+    placed = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
+        "set_key", F.coalesce("root", "rep").alias("root"))
+    # one row per set on the right and nothing above it: a set that many rows share is split among tasks
+    component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
+    return all_rows.select("id", "set_key", "n_shingles").join(placed, "set_key", "left").select(
+        F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def _links(spark, entries: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
