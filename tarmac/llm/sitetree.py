@@ -57,10 +57,11 @@ ENDS_ITSELF = {  # a start tag ends an open element of these, inside the given c
 # Elements and class words that mark what is no part of the article.
 NOISE_TAGS = frozenset("head nav footer aside form button menu dialog fieldset".split())
 NOISE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
-    "notification pager pagination popup promo promotion related replies reply respond search share sharing sidebar "
-    "signup skip social sponsor sponsored subscribe toolbar widget".split())
+    "ad ads adsense adv advert adverts advertisement advertising alert announcement banner breadcrumb breadcrumbs comment "
+    "comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
+    "notice notices notification offcanvas overlay pager pagination popup promo promotion recommended recommendations "
+    "related replies reply respond responses search share sharing sidebar sidenav signup skip social sponsor sponsored "
+    "subscribe toolbar topbar widget".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"))
