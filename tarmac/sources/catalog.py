@@ -8,11 +8,12 @@ in DDL where markers are not allowed, are put into the text, after a check.
 from __future__ import annotations
 
 import re
+from importlib import resources
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-SQL_DIR = Path(__file__).resolve().parent.parent / "plans" / "sql"
+SQL_DIR = resources.files("tarmac.plans").joinpath("sql")  # also readable from a zipped package
 
 
 def register_table(spark: SparkSession, name: str, path: str | None = None,
@@ -86,7 +87,7 @@ def run_sql_file(spark: SparkSession, path: str | Path, args: dict | None = None
     anything else must exist."""
     p = Path(path)
     if not p.suffix and p.name == str(path):
-        p = SQL_DIR / f"{p.name}.sql"
+        p = SQL_DIR.joinpath(f"{p.name}.sql")
     if not p.is_file():
         raise FileNotFoundError(f"no SQL file {path}")
     return run_sql_text(spark, p.read_text(), args, variables)
