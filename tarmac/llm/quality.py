@@ -225,7 +225,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = SAMPLE_POSITIVE, un
     other = F.xxhash64(F.col(id_col), F.lit(29))
     web = smallest(docs.select(id_col).filter(F.col(id_col).isNotNull()).dropDuplicates(), other, id_col, unlabelled)
     few = F.broadcast(trusted.withColumn("_trusted", F.lit(1)).unionByName(web.withColumn("_trusted", F.lit(0))))
-    rows = docs.select(id_col, text_col).join(few, id_col)  # positives + unlabelled rows at most
+    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col)).join(few, id_col)
+    rows = rows.groupBy(id_col, "_trusted").agg(F.min(text_col).alias(text_col))  # one text of an id that repeats
     got = sorted((r["id"], r["trusted"], r["x"]) for r in _feature_rows(rows, id_col, text_col).toLocalIterator())
     width = features(np.zeros(2, np.int64), np.zeros(0, np.uint8)).shape[1]
     sides = [np.array([r[2] for r in got if r[1] == t]).reshape(-1, width) for t in (1, 0)]
