@@ -186,9 +186,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     links = _links(spark, reps.select("id", F.explode("bands").alias("key")), texts, words, percent)
     roots = components(links, "a", "b")
 
-    placed = classes.join(roots, F.col("rep") == F.col("node"), "left").select(
-        "set_key", F.coalesce("root", "rep").alias("root"))
-    # one row per set on the right and nothing above it: a set that many rows share is split among tasks
+    placed = materialise(spark, classes.join(roots, F.col("rep") == F.col("node"), "left").select(
+        "set_key", F.coalesce("root", "rep").alias("root")), "placed")
+    # two plain tables and nothing above the join: a set that many rows share is split among tasks
     component = F.when(F.col("id").isNotNull(), F.coalesce("root", "id"))
     return all_rows.select("id", "set_key", "n_shingles").join(placed, "set_key", "left").select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
