@@ -207,11 +207,11 @@ def _feature_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 x = features(offsets[lo: hi + 1] - offsets[lo], raw[offsets[lo]: offsets[hi]])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo),
-                    pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), x.shape[1]).cast(pa.list_(pa.float64())),
+                    pa.array([row.tobytes() for row in x], pa.binary()),
                 ], names=["id", "trusted", "x"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col, "_trusted").mapInArrow(run, f"id {kind}, trusted int, x array<double>")
+    return docs.select(id_col, text_col, "_trusted").mapInArrow(run, f"id {kind}, trusted int, x binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = SAMPLE_POSITIVE, unlabelled: int = SAMPLE_UNLABELLED,
@@ -227,9 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = SAMPLE_POSITIVE, un
     few = F.broadcast(trusted.withColumn("_trusted", F.lit(1)).unionByName(web.withColumn("_trusted", F.lit(0))))
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias(text_col)).join(few, id_col)
     rows = rows.groupBy(id_col, "_trusted").agg(F.min(text_col).alias(text_col))  # one text of an id that repeats
-    got = sorted((r["id"], r["trusted"], r["x"]) for r in _feature_rows(rows, id_col, text_col).toLocalIterator())
+    got = sorted((r["id"], r["trusted"], bytes(r["x"])) for r in _feature_rows(rows, id_col, text_col).toLocalIterator())
     width = features(np.zeros(2, np.int64), np.zeros(0, np.uint8)).shape[1]
-    sides = [np.array([r[2] for r in got if r[1] == t]).reshape(-1, width) for t in (1, 0)]
+    sides = [np.frombuffer(b"".join(r[2] for r in got if r[1] == t)).reshape(-1, width) for t in (1, 0)]
     return train(*sides)
 
 
