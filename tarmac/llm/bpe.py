@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 WORD_END = "</w>"
 _FOREVER = 1 << 60
 #: Words kept with their ids per Python worker, and cells of the transition table.
-WORD_CACHE = 200_000
+WORD_CACHE = 120_000
 CELL_CACHE = 300_000
 #: Longer words are encoded without keeping them.
 KEPT_WORD = 64
 #: Bytes of text that one output batch covers (a longer text is a batch of its own).
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def byte_symbols() -> list[str]:

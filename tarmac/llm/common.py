@@ -14,7 +14,7 @@ from tarmac.session import checkpoint_dir
 
 
 #: Rows of texts that go to or from a Python worker at once, where the session has Spark's 10,000.
-ARROW_ROWS = "1000"
+ARROW_ROWS = "500"
 _ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

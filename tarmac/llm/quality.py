@@ -37,7 +37,7 @@ SAMPLE_POSITIVE = 6000
 SAMPLE_UNLABELLED = 6000
 HIDDEN = 24
 EPOCHS = 150
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SINGLES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _CLASSES = np.zeros(256, np.int64)            # 0: other control bytes
