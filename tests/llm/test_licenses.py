@@ -78,3 +78,26 @@ def test_odd_rows_and_empty_table(spark):
     by_id = {r["doc_id"]: r for r in got}
     assert by_id[None]["base_labels"] == "cc-by" and by_id[2]["n_words"] == 0 and by_id[2]["labels"] == ""
     assert licenses.summary(licenses.scan(empty_docs(spark))).count() == 0
+
+
+def test_every_statement_is_found_alone(spark):
+    alone = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose": "isc",
+        "Redistribution and use in source and binary forms, with or without modification": "bsd",
+        "Altered source versions must be plainly marked as such": "zlib",
+        "This is free and unencumbered software": "", "BSD 3-Clause": "bsd-3-clause", "2-clause BSD": "bsd-2-clause",
+        "CC0 1.0": "cc0", "WTFPL": "wtfpl", "OpenRAIL-M": "openrail", "BigCode OpenRAIL-M": "bigcode-openrail",
+        "Mulan PSL": "mulan", "may not be reproduced without permission": "proprietary",
+        "for non-commercial use only": "non-commercial", "for academic use only": "non-commercial", "Expat License": "mit", "for research use only": "non-commercial",
+    }
+    got = scan(spark, list(alone))
+    for i, (text, label) in enumerate(alone.items()):
+        assert label in got[i]["labels"].split(","), (text, got[i])
+        assert (got[i]["score"] > 0) == bool(label)
+
+
+def test_the_gate_lets_every_rule_through():
+    texts = [p for _, _, p, _, _ in licenses.rules()]
+    assert all("cc by" in p or any(w in p for w in licenses.triggers()) for p in texts)
+    assert not {"cc", "mit", "isc", "public", "common"} & set(licenses.triggers())
