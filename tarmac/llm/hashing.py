@@ -14,7 +14,9 @@ indexes a block: for each substring value a bitmap of the rows whose
 substring lies within r // s bits of it.  A query joins the bitmaps of its
 substrings, keeps the codes within the radius, and ranks those by the
 inner product of the original vectors.  The best of each block meet in a
-window per query.
+window per query.  Queries with fewer than ``ROOM`` codes within the radius
+for each neighbour wanted (they lie apart from most rows) ask again with
+growing radii, until they have so many or all rows are covered.
 
 Equal vectors are indexed once with their smallest ids, as many as can
 appear in a result.
@@ -22,8 +24,9 @@ appear in a result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +41,9 @@ SUBSTRING = 8
 SAMPLE_ROWS = 8000
 SAMPLE_QUERIES = 200
 COVERAGE = 0.985
+#: Codes within the radius that a query has at least, for each neighbour wanted, and by how much radii grow first.
+ROOM = 10
+STEP = 4
 BLOCK_ROWS = 3000
 QUERY_ROWS = 512
 #: Above single-precision rounding of the preselection, relative to the norms.
@@ -115,9 +121,10 @@ class Index:
         rows = np.flatnonzero(np.unpackbits(found, count=len(self.x)))
         return rows[_WEIGHT[self.code[rows] ^ code].sum(axis=1) <= self.codes.radius]
 
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best, without the id ``own``."""
+    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids and scores of the ``k`` best, without the id ``own``, and how many rows lie within the radius."""
         rows = self.candidates(self.codes.of(query[None], query=True)[0])
+        inside = len(rows)
         if len(rows) > k:
             rough = self.single[rows] @ query.astype(np.float32)
             least = np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1]
@@ -131,7 +138,7 @@ class Index:
         other = ids != own
         ids, score = ids[other], score[other]
         best = np.lexsort((ids, -score))[:k]
-        return ids[best], score[best]
+        return ids[best], score[best], inside
 
 
 def _valid(vector: Column) -> Column:
@@ -166,15 +173,33 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     keyed = distinct.select("x", F.col("ids")[0].alias("first"))
     sample = smallest(keyed, F.xxhash64("first"), "first", SAMPLE_ROWS).select("x").toArrow()
     n = lengths[0]["n"]
-    codes = spark.sparkContext.broadcast(
-        learn(sample.column(0).combine_chunks().flatten().to_numpy().reshape(-1, n), float(largest), k))
+    codes = learn(sample.column(0).combine_chunks().flatten().to_numpy().reshape(-1, n), float(largest), k)
+    bits = codes.axes.shape[1]
+    if count <= ROOM * k:
+        codes.radius = bits
     blocks = -(-count // BLOCK_ROWS)
     packed = distinct.groupBy(F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(blocks)).alias("block")).agg(
         F.collect_list(F.struct("x", "ids")).alias("rows"))
     asking = rows.filter("asks").select("id", "x").distinct()
-    batches = -(-asking.count() // QUERY_ROWS)
-    if not batches:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    step, parts = STEP, []
+    while waiting := asking.count():
+        found = materialise(spark, _probe(packed, blocks, asking, -(-waiting // QUERY_ROWS), codes, n, k), "found")
+        room = found.groupBy("query_id").agg(F.sum("inside").alias("inside"))
+        short = room.filter((F.col("inside") < ROOM * k) & F.lit(codes.radius < bits)).select("query_id")
+        parts.append(found.filter("id IS NOT NULL").join(short, "query_id", "left_anti"))
+        asking = materialise(spark, asking.join(short.withColumnRenamed("query_id", "id"), "id", "left_semi"), "asking")
+        codes, step = replace(codes, radius=min(bits, codes.radius + step)), 2 * step
+    if not parts:
         return empty
+    best = functools.reduce(DataFrame.union, parts)
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
+        "query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def _probe(packed: DataFrame, blocks: int, asking: DataFrame, batches: int, codes: Codes, n: int, k: int) -> DataFrame:
+    """``query_id, id, score, inside``: the best of each block, and a row without id for the rows within the radius."""
+    codes = asking.sparkSession.sparkContext.broadcast(codes)
     asked = asking.groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(batches)).alias("batch")).agg(
         F.collect_list(F.struct("id", "x")).alias("asked"))
     visits = asked.select("asked", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
@@ -194,12 +219,14 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
                 names = batch.column(1)[i].values.to_numpy()
                 asked_x = batch.column(2)[i].values.to_numpy().reshape(-1, n)
                 found = [index.search(q, int(name), k) for name, q in zip(names, asked_x)]
+                ids = np.concatenate([f[0] for f in found])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(names, [len(f[0]) for f in found])),
-                    pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found])),
-                ], names=["query_id", "id", "score"])
+                    pa.array(np.repeat(names, [len(f[0]) for f in found])), pa.array(ids),
+                    pa.array(np.concatenate([f[1] for f in found])), pa.array(np.zeros(len(ids), np.int64)),
+                ], names=["query_id", "id", "score", "inside"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(names), pa.nulls(len(names), pa.int64()), pa.nulls(len(names), pa.float64()),
+                    pa.array(np.array([f[2] for f in found], np.int64)),
+                ], names=["query_id", "id", "score", "inside"])
 
-    best = both.mapInArrow(run, "query_id long, id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", F.col("id").alias(id_col), "score")
+    return both.mapInArrow(run, "query_id long, id long, score double, inside long")

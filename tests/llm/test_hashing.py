@@ -82,3 +82,15 @@ def test_pigeonhole_index_returns_every_code_within_the_radius():
         code = codes.of(q[None], query=True)[0]
         within = np.flatnonzero(hashing._WEIGHT[index.code ^ code].sum(axis=1) <= codes.radius)
         assert index.candidates(code).tolist() == within.tolist()
+
+
+def test_a_query_far_from_a_tight_cluster_gets_all_its_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(hashing, "BLOCK_ROWS", 700)
+    rng = np.random.default_rng(2)
+    centre = rng.standard_normal(32) * 3
+    x = np.vstack([centre + 0.05 * rng.standard_normal((1990, 32)), -centre + rng.standard_normal((10, 32))])
+    rows = [(i + (i >= 1990), v) for i, v in enumerate(x.astype(np.float32).tolist())] + [(2020, (-2 * centre).tolist())]
+    got, want = found(spark, rows), brute_force(rows, 20, lambda q: q % 20 == 0)
+    assert got.keys() == want.keys() and 2000 in want
+    assert all(len(got[q]) == 20 for q in want)
+    assert len({i for i, _ in got[2020]} & {i for i, _ in want[2020]}) >= 18
