@@ -13,9 +13,10 @@ are removed from each page.
 
 The tree is a table (host, path), built by two additions with map-side
 sums, so a host with most of the pages is no larger a task than others.
-Elements that HTML or their class names mark as menus, adverts, forms and
-the like are left out whatever their importance; an article or main
-element, where there is one, holds the text.
+Elements that HTML marks as menus, forms and the like are left out whatever
+their importance.  So are those whose class words do, and forms, unless they
+hold the article or most of the page's text, or nothing else is left; an
+article or main element, where there is one, holds the text.
 """
 
 from __future__ import annotations
@@ -55,13 +56,17 @@ ENDS_ITSELF = {  # a start tag ends an open element of these, inside the given c
     "option": ({"option"}, {"select"}),
 }
 # Elements and class words that mark what is no part of the article.
-NOISE_TAGS = frozenset("head nav footer aside form button menu dialog fieldset".split())
+NOISE_TAGS = frozenset("head nav footer aside button menu dialog fieldset".split())
 NOISE_WORDS = frozenset(
     "ad ads adsense adv advert adverts advertisement advertising alert announcement banner breadcrumb breadcrumbs comment "
     "comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
     "notice notices notification offcanvas overlay pager pagination popup promo promotion recommended recommendations "
     "related replies reply respond responses search share sharing sidebar sidenav signup skip social sponsor sponsored "
     "subscribe toolbar topbar widget".split())
+#: Of these, words of what readers wrote, which can be more than the article.
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond responses".split())
+#: The words after these in a class name say how something is laid out, not what it is.
+MODIFIERS = frozenset("with without has have no not hide show".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"))
@@ -83,6 +88,7 @@ class Element:
     dropped: bool
     main: bool
     depth: int
+    marks: tuple[int, ...] = ()
     children: list[str] = field(default_factory=list)
 
 
@@ -95,26 +101,38 @@ class Page:
     noise: list[tuple[str, str]]
 
 
-def _describe(tag: str, attributes: str, main: bool) -> tuple[str, bool]:
-    """Path step of an element, and whether it is marked as no part of the article."""
+def _marking(value: str) -> list[str]:
+    """Words of class names, without those after a modifier."""
+    out: list[str] = []
+    for name in value.split():
+        for word in _WORD.findall(name):
+            if word.lower() in MODIFIERS:
+                break
+            out.append(word.lower())
+    return out
+
+
+def _describe(tag: str, attributes: str, main: bool) -> tuple[str, bool, set[str]]:
+    """Path step of an element, whether it is no part of the article, and the words that mark it as such."""
     words: list[str] = []
+    marks = {"form"} if tag == "form" else set()
     noise = tag in NOISE_TAGS or (tag == "header" and not main)
     if "=" in attributes or "hidden" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
-                found = [w.lower() for w in _WORD.findall(value)]
+                found = _marking(value)
                 words += [w.lower() for w in _STEP.findall(value)]
                 if tag not in ("html", "body", *MAIN_TAGS) or "comment" in found:
                     hits = NOISE_WORDS.intersection(found)
-                    noise = noise or bool(hits - {"header"} if main else hits)
+                    marks |= hits - {"header"} if main else hits
             elif name == "role":
                 noise = noise or value.lower() in NOISE_ROLES
             elif name == "style":
                 noise = noise or bool(_HIDDEN.search(value))
             else:
                 noise = noise or (name == "hidden" and tag != "html") or value.lower() == "true"
-    return ".".join([tag, *words[:4]]), noise
+    return ".".join([tag, *words[:4]]), noise, marks
 
 
 def parse(source: str) -> Page:
@@ -122,6 +140,9 @@ def parse(source: str) -> Page:
     page = Page([], [], [])
     stack = [Element("", "", False, False, 0)]
     pieces: list[str] = []
+    rows: list[tuple[str, str, bool, tuple[int, ...]]] = []  # blocks, and the marked elements around each
+    comments: list[bool] = []  # of each marked element
+    holds: set[int] = set()    # marked elements with an article or main element inside
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
@@ -131,14 +152,14 @@ def parse(source: str) -> Page:
             if any(e.dropped for e in stack):
                 page.noise.append((top.path, text))
             else:
-                page.blocks.append((top.path, text, top.main))
+                rows.append((top.path, text, top.main, stack[-1].marks))
 
     def pop() -> None:
         done = stack.pop()
         page.styles.append((done.path, tuple(done.children)))
 
     def close_to(index: int) -> None:
-        if any(e.tag in BLOCK or e.dropped for e in stack[index:]):
+        if any(e.tag in BLOCK or e.dropped or e.marks != stack[index - 1].marks for e in stack[index:]):
             flush()
         while len(stack) > index:
             pop()
@@ -194,17 +215,43 @@ def parse(source: str) -> Page:
             top.children.append(tag)
             continue
         attributes = m[3] if m[2] else m[6]
-        step, noise = _describe(tag, attributes or "", top.main)
-        if noise:
+        step, noise, words = _describe(tag, attributes or "", top.main)
+        marks = top.marks
+        if words:
+            marks += (len(comments),)
+            comments.append(not words.isdisjoint(COMMENT_WORDS))
+        elif tag in MAIN_TAGS and not noise:
+            holds.update(marks)
+        if noise or words:
             flush()
         top.children.append(step)
         path = f"{top.path}/{step}" if top.depth < MAX_DEPTH else top.path
-        stack.append(Element(tag, path, noise, top.main or tag in MAIN_TAGS, top.depth + 1))
+        stack.append(Element(tag, path, noise, top.main or tag in MAIN_TAGS, top.depth + 1, marks))
     close_to(1)
     flush()
+    _sort_out(page, rows, comments, holds)
     return page
 
 
+def _sort_out(page: Page, rows: list[tuple[str, str, bool, tuple[int, ...]]], comments: list[bool], holds: set[int]) -> None:
+    """Blocks and noise of a page from its rows: which marked elements are no part of the article."""
+    sizes = [0] * len(comments)
+    for _, text, _, marks in rows:
+        for mark in marks:
+            sizes[mark] += len(text)
+    total = sum(len(text) for _, text, _, _ in rows)
+    out = {i for i in range(len(comments)) if comments[i] or (i not in holds and 2 * sizes[i] <= total)}
+    if any(main and not marks for _, _, main, marks in rows):
+        out = set(range(len(comments)))
+    if rows and all(out.intersection(marks) for *_, marks in rows):  # nothing left
+        out = {i for i in out if comments[i]} if any(not any(comments[i] for i in marks) for *_, marks in rows) else set()
+    for path, text, main, marks in rows:
+        if out.intersection(marks):
+            page.noise.append((path, text))
+        else:
+            page.blocks.append((path, text, main))
+
+
 def main_text(page: Page, low: frozenset[str] | set[str]) -> str:
     """Blocks of the article, without the site's low branches, joined by newlines."""
     blocks = page.blocks

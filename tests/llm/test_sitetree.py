@@ -70,3 +70,18 @@ def test_odd_rows_and_empty_table(spark):
     assert sorted((r["page_id"] or 0, r["text"]) for r in got.collect()) == [
         (0, "x"), (1, ""), (2, ""), (2, ""), (3, "outside")]
     assert sitetree.extract(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<body><form id=aspnetForm><div class=menu>m</div><article><p>The story.</p></article></form>", "The story."),
+    ("<form id=aspnetForm><div class=menu>m</div><p>The whole long story.</p></form>", "The whole long story."),
+    ("<div class='content-with-sidebar'><p>x</p></div><p>A longer text beside it.</p>", "x\nA longer text beside it."),
+    ("<div class='has-header no-sidebar'><p>x</p><div class=sidebar>s</div></div><p>y z</p>", "x\ny z"),
+    ("<div class='social-layout'><p>The story.</p><div class=share>s</div></div>", "The story."),
+    ("<div id='page-login-free'><main><p>t</p></main></div><p>A much longer text around the site.</p>", "t"),
+    ("<article><p>x</p></article><div class=related><article><p>Another story, longer.</p></article></div>", "x"),
+    ("<div><p>Short.</p></div><div class=comments><p>A long comment by a reader.</p></div>", "Short."),
+    ("<article><div class='comment-free widget'><p>only</p></div></article>", "only"),
+])
+def test_marked_elements_around_the_article(source, want):
+    assert text_of(source) == want
