@@ -46,6 +46,8 @@ BROADCAST_HOSTS = 20_000
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math canvas object textarea select title".split())
+#: Of these, what swallows the rest of the page when it is never closed.
+RAW_TO_END = frozenset("script style textarea title".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot "
@@ -75,6 +77,9 @@ PLAIN = HEADINGS | frozenset("p li ul ol dl dt dd blockquote pre table thead tbo
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z""", re.S)
+#: Block elements that end svg, math and select, and elements that may hold them there.
+_LEAVES = re.compile(r"<(?:address|article|aside|blockquote|body|center|div|dl|footer|form|h[1-6]|header|main|menu|nav|ol|p|"
+                     r"pre|section|table|ul|(foreignobject|annotation-xml|desc))(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _STEP = re.compile(r"[A-Za-z]+(?:\d{1,2}(?!\d))?")
@@ -164,6 +169,7 @@ def parse(source: str) -> Page:
         while len(stack) > index:
             pop()
 
+    ends: dict[str, re.Match | None] = {}  # next end tag of each raw element
     at, end = 0, len(source)
     while at < end:
         m = _TAG.search(source, at)
@@ -185,9 +191,17 @@ def parse(source: str) -> Page:
                     break
             continue
         if tag in RAW:
-            closing = re.compile(f"</{tag}", re.I).search(source, at)
-            if closing is None:
+            if tag not in ends or (ends[tag] and ends[tag].start() < at):
+                ends[tag] = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(source, at)
+            closing = ends[tag]
+            if closing is None and tag in RAW_TO_END:
                 break
+            if closing is None or (tag in ("svg", "math") and (m[3] or m[6] or "").endswith("/")):
+                continue
+            if tag in ("svg", "math", "select"):
+                leaves = _LEAVES.search(source, at, closing.start())
+                if leaves and not leaves[1]:
+                    continue
             at = closing.start()
             after = source.find(">", at)
             at = end if after < 0 else after + 1

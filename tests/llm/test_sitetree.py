@@ -85,3 +85,15 @@ def test_odd_rows_and_empty_table(spark):
 ])
 def test_marked_elements_around_the_article(source, want):
     assert text_of(source) == want
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<p>a</p><svg class=icon/><p>b</p>", "a\nb"), ("<p>a <math/> b</p>", "a b"),
+    ("<p>a</p><svg/><p>b</p><svg><title>t</title></svg><p>c</p>", "a\nb\nc"),
+    ("<p>a</p><svg class=icon><path d='M0'><p>b</p><svg><text>t</text></svg><p>c</p>", "a\nb\nc"),
+    ("<p>a</p><svg><foreignObject><div>t</div></foreignObject></svg><p>c</p>", "a\nc"),
+    ("<p>a</p><object data=x><p>b</p>", "a\nb"), ("<p>a</p><select><p>b</p>", "a\nb"),
+    ("<p>a</p><script>never closed <p>b</p>", "a"), ("<p>a</p><select><option>o</select><p>b</p>", "a\nb"),
+])
+def test_elements_without_their_end_tag(source, want):
+    assert text_of(source) == want
