@@ -2,7 +2,8 @@
 
 The pages of a host are merged into one tree: a node is an element path
 (tags with their class words), its *styles* are the sequences of children
-seen there, its *contents* the texts of its blocks.  Importance is an
+seen there, its *contents* the texts of its blocks.  Pages of a host with
+equal blocks count once.  Importance is an
 entropy with the number m of occurrences as base: the diversity of a
 node's styles (presentation) and of its texts (content), 1 - sum(c/m *
 log_m c) over the counts c of equal ones.  The importance of a branch
@@ -317,22 +318,28 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter = Counter()
+            seen: dict[tuple[str, int, int], list[dict]] = {}
             for host, source in zip(batch.column(0), batch.column(1)):
                 host, page = host.as_py(), parse(source.as_py())
-                for path, children in page.styles:
-                    seen[host, path, 0, _hash("|".join(children)), len(children)] += 1
-                for path, text in (*((b[0], b[1]) for b in page.blocks), *page.noise):
-                    seen[host, path, 1, _hash(text), 0] += 1
-            keys = list(seen)
+                blocks = [(b[0], b[1]) for b in page.blocks] + page.noise
+                key = (host, _hash("\n".join(f"{path}\t{text}" for path, text in blocks)),
+                       _hash("\n".join(f"{path}\t{'|'.join(c)}" for path, c in page.styles)))
+                if key in seen:
+                    continue
+                counts: Counter = Counter((path, 0, _hash("|".join(c)), len(c)) for path, c in page.styles)
+                counts.update((path, 1, _hash(text), 0) for path, text in blocks)
+                seen[key] = [dict(zip(("path", "kind", "feature", "children", "n"), (*k, n))) for k, n in counts.items()]
             yield pa.RecordBatch.from_arrays([
-                pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                pa.array([k[2] for k in keys], pa.int32()), pa.array([k[3] for k in keys], pa.int64()),
-                pa.array([k[4] for k in keys], pa.int64()), pa.array(list(seen.values()), pa.int64()),
-            ], names=["host", "path", "kind", "feature", "children", "n"])
-
-    rows = pages.select(host_of(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")).mapInArrow(
-        run, "host string, path string, kind int, feature long, children long, n long")
+                pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int64()),
+                pa.array([k[2] for k in seen], pa.int64()), pa.array(list(seen.values()), pa.list_(pa.struct([
+                    ("path", pa.string()), ("kind", pa.int32()), ("feature", pa.int64()), ("children", pa.int64()),
+                    ("n", pa.int64())]))),
+            ], names=["host", "page", "variant", "features"])
+
+    pages = pages.select(host_of(url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html")).mapInArrow(
+        run, "host string, page long, variant long, features array<struct<path:string,kind:int,feature:long,children:long,n:long>>")
+    one = pages.groupBy("host", "page").agg(F.min_by("features", "variant").alias("features"))
+    rows = one.select("host", F.inline("features"))
     once = rows.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("children").alias("children"))
     n = F.col("n")
     nodes = once.groupBy("host", "path", "kind").agg(

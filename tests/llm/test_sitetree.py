@@ -97,3 +97,13 @@ def test_marked_elements_around_the_article(source, want):
 ])
 def test_elements_without_their_end_tag(source, want):
     assert text_of(source) == want
+
+
+def test_copies_do_not_outweigh_the_distinct_pages_of_a_host(spark):
+    ship(spark)
+    pages = site(40)
+    pages += [(100 + i, "https://host.example.org/copy", pages[0][2]) for i in range(360)]
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Story {i} begins here {i * 7}.\nIt goes on {i * 13}." for i in range(40))
+    assert all(got[100 + i] == got[0] for i in range(360))
