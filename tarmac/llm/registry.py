@@ -7,7 +7,9 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, hashing, licenses, minhash, mixing, parsing, quality, sitetree, suffixtree, toxicity
+from tarmac.llm import (
+    bpe, hashing, licenses, merkle, minhash, mixing, parsing, quality, repeats, sitetree, suffixtree, toxicity, transducer,
+)
 from tarmac.llm.common import id_fold, read_table, ship
 
 QUERIES: dict = {}
@@ -124,3 +126,24 @@ def op4_sitetree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth one."""
     return hashing.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@_query
+def op11_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of five filters over the documents of each source."""
+    return transducer.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 50-byte strings that documents with smaller ids hold."""
+    return repeats.summary(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and inclusion proofs of the documents, checked against tampered leaves."""
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0,
+                      F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.summary(docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered})
