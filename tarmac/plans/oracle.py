@@ -3,14 +3,16 @@
 Each text derives the flight view from the supplied tables.  All metrics
 come from one definition: ``hist`` counts equal (carrier, origin, month,
 flown, delays) rows with delays as whole minutes, ``facts`` holds integer
-sums, counts and bounds of it per carrier, origin and month, and every
-result rolls ``facts`` up.  Means, rates and differences are integers too:
+sums, counts and bounds of it per carrier, origin and month (and the minutes
+of the five causes), and every report rolls ``facts`` up.  Means, rates and differences are integers too:
 hundredths, rounded half-up once by integer division.  So nothing here
 averages or rounds floating numbers, as the Spark plans do.
 """
 
 from __future__ import annotations
 
+from tarmac.schema import CAUSES
+
 FLIGHT_VIEW = """
 fv_join AS (
   SELECT l.l_shipdate, p.p_brand, sn.n_name AS origin, cn.n_name AS dest,
@@ -101,10 +103,12 @@ def rate(scale: int = 2) -> str:
 
 LATE_MEAN = as_number(half_up("sum(late_sum)", "sum(voli)"))
 
-FACTS = """
+FACTS = f"""
 hist AS (
   SELECT op_unique_carrier AS carrier, origin, month, cancelled = 0 AS flown,
-         CAST(dep_delay AS BIGINT) AS dep, CAST(arr_delay AS BIGINT) AS arr, count(*) AS n
+         CAST(dep_delay AS BIGINT) AS dep, CAST(arr_delay AS BIGINT) AS arr, count(*) AS n,
+         [sum(carrier_delay), sum(weather_delay), sum(nas_delay), sum(security_delay),
+          sum(late_aircraft_delay)] AS minutes
   FROM flights GROUP BY ALL
 ),
 facts AS (
@@ -118,7 +122,8 @@ facts AS (
          min(arr) FILTER (flown AND arr > 0) AS first_late, max(arr) FILTER (flown) AS last_arr,
          coalesce(sum(n) FILTER (flown AND dep <= 14), 0) AS basso,
          coalesce(sum(n) FILTER (flown AND dep > 14 AND dep <= 60), 0) AS medio,
-         coalesce(sum(n) FILTER (flown AND dep > 60), 0) AS alto
+         coalesce(sum(n) FILTER (flown AND dep > 60), 0) AS alto,
+         {", ".join(f"coalesce(sum(minutes[{i}]) FILTER (flown), 0) AS m{i}" for i in range(1, 6))}
   FROM hist GROUP BY ALL
 )"""
 
@@ -151,45 +156,33 @@ FROM facts GROUP BY ALL
 
 MEANS = f"""{mean("dep")} AS ritardo_medio_partenza, {mean("arr")} AS ritardo_medio_arrivo"""
 
-# Cause rows: one aggregate with a column per cause, turned into rows by
-# UNPIVOT; ranked; the top three joined into the list text.
-CAUSE_UNION = """
-cause_wide AS (
-  SELECT origin, month,
-         sum(carrier_delay) FILTER (WHERE cancelled = 0) AS "Carrier",
-         sum(weather_delay) FILTER (WHERE cancelled = 0) AS "Weather",
-         sum(nas_delay) FILTER (WHERE cancelled = 0) AS "NAS",
-         sum(security_delay) FILTER (WHERE cancelled = 0) AS "Security",
-         sum(late_aircraft_delay) FILTER (WHERE cancelled = 0) AS "Late Aircraft"
-  FROM flights GROUP BY ALL
-  HAVING count(*) FILTER (WHERE cancelled = 0) > 0
-),
-cause_sums AS (
-  SELECT origin, month, causa, CAST(minuti_totali AS BIGINT) AS minuti_totali
-  FROM cause_wide UNPIVOT INCLUDE NULLS (
-         minuti_totali FOR causa IN ("Carrier", "Weather", "NAS", "Security", "Late Aircraft"))
+# Causes: the minutes of a month as pairs (minus minutes, cause), so that sorted pairs are ranked causes.
+_PAIRS = ", ".join(f"{{'m': -CAST(sum(m{i}) AS BIGINT), 'c': '{name}'}}" for i, name in enumerate(CAUSES.values(), 1))
+_LABEL = "p.c || ' (' || abs(p.m) || ' min)'"
+
+CAUSE_UNION = f"""
+cause_list AS (
+  SELECT origin, month, list_sort([{_PAIRS}]) AS pairs
+  FROM facts GROUP BY origin, month HAVING sum(voli) > sum(gone)
 ),
 cause_ranked AS (
-  SELECT *,
-         printf('%s (%d min)', causa, minuti_totali) AS cause_desc,
-         row_number() OVER (PARTITION BY origin, month
-                            ORDER BY minuti_totali DESC NULLS LAST, causa) AS ranking
-  FROM cause_sums
+  SELECT origin, month, p.c AS causa, -p.m AS minuti_totali, ranking, {_LABEL} AS cause_desc
+  FROM (SELECT origin, month, unnest(pairs) AS p, generate_subscripts(pairs, 1) AS ranking FROM cause_list)
 ),
+cause_sums AS (SELECT origin, month, causa, minuti_totali FROM cause_ranked),
 cause_top AS (
   SELECT origin, month,
-         '[' || string_agg(chr(39) || cause_desc || chr(39), ', ' ORDER BY ranking) || ']'
-           AS cause_maggiori
-  FROM cause_ranked WHERE ranking <= 3 AND cause_desc IS NOT NULL
-  GROUP BY ALL
+         CAST(list_transform(pairs[1:3], lambda p: {_LABEL}) AS VARCHAR) AS cause_maggiori
+  FROM cause_list
 ),
-bands AS ({bands})""".format(bands=BANDS)
+bands AS ({BANDS})"""
 
+# Without flown flights there is no list: the left side of the join stands alone.
 Q2 = """
 SELECT b.origin AS aeroporto_partenza, b.month AS mese,
        b.numero_ritardi_basso, b.numero_ritardi_medio, b.numero_ritardi_alto,
-       CASE WHEN t.cause_maggiori IS NULL THEN '[]' ELSE t.cause_maggiori END AS cause_maggiori
-FROM bands b LEFT JOIN cause_top t USING (origin, month)
+       ifnull(t.cause_maggiori, '[]') AS cause_maggiori
+FROM bands b LEFT JOIN cause_top t ON b.origin = t.origin AND b.month = t.month
 """
 
 # Q3: pairs and airports are two roll-ups of the facts; their means stay integer hundredths.

@@ -23,6 +23,7 @@ from tarmac.functions.metrics import (
 )
 from tarmac.functions.text import cause_label, list_text
 from tarmac.operators.baseline import anomalous, difference, rank_in_group, window_baseline
+from tarmac.operators.joins import left_join
 from tarmac.operators.topk import ordered_list, top_k_per_group, unpivot_columns
 from tarmac.schema import BAND_HIGH_ABOVE, BAND_LOW_BELOW, CAUSES, TOP_CAUSES
 
@@ -137,6 +138,25 @@ def airport_month_finish(agg: DataFrame, k: int = TOP_CAUSES, sort: bool = True)
     return out.orderBy("aeroporto_partenza", "mese") if sort else out
 
 
+def cause_lists(agg: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
+    """The list text of the top-k causes per airport and month; none without flown flights."""
+    top = top_k_per_group(causes_long(agg), ["origin", "month"], cause_order(), k)
+    return top.groupBy("origin", "month").agg(
+        list_text(ordered_list("ranking", cause_label("causa", "minuti_totali"))).alias("cause_maggiori"))
+
+
+def airport_month_join(agg: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
+    """Q2 in the original's shape (J2, J3): bands left-joined with the cause lists on (origin, month).
+
+    ``agg``, the (origin, month) aggregate, should be a written table, since
+    both sides read it.  Months without flown flights have no list and stay
+    with ``[]``; so do rows of an unknown airport, since null matches nothing.
+    """
+    bands = agg.select("origin", "month", "numero_ritardi_basso", "numero_ritardi_medio", "numero_ritardi_alto")
+    joined = left_join(bands, cause_lists(agg, k), ["origin", "month"])
+    return joined.withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}).fillna("[]", "cause_maggiori")
+
+
 # --------------------------------------------------------------------- Q3
 def pair_aggregate(df: DataFrame, rate_scale: int = 2) -> DataFrame:
     """Per (origin, carrier): flights, unrounded departure sums, rounded means."""
