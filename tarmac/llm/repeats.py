@@ -53,11 +53,12 @@ REACH = DEPTH - DIGIT + 1
 SPAN = DEPTH + REACH - 1
 ROW = 80
 PACK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 HOT = 50_000
-#: Windows hashed, and windows sorted, at once.
+#: Windows hashed, strings compared and windows sorted at once.
 PIECE = 1 << 18
-SORTED = 1 << 20
+STRINGS = 1 << 15
+SORTED = 1 << 18
 _LOW = np.uint64((1 << 19) - 1)
 _ALL = np.uint32((1 << REACH) - 1)
 
@@ -239,6 +240,16 @@ def least_documents(entries: Entries) -> np.ndarray:
     return least
 
 
+def window_masks(strings: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Bit i of a string: its i-th window stands in a document with a smaller id than its own."""
+    entries = Entries(strings, doc, doc)
+    least, count = least_documents(entries), strings[:, SPAN]
+    mask = np.zeros(len(doc), np.uint32)
+    for i in range(REACH):
+        mask |= ((least[entries.of, i] < doc) & (i < count)).astype(np.uint32) << np.uint32(i)
+    return mask
+
+
 _ASK = "kind int, bucket long, pack long, base long, n long, data binary, more binary"
 _TELL = "pack long, kind int, base long, n long, data binary, more binary"
 _KEYS, _STRINGS, _FLAGS = 0, 1, 2
@@ -314,10 +325,14 @@ def _tell_strings(key: tuple, asked: pa.Table) -> pa.Table:
     strings = np.concatenate([_unpacked(r["data"], r["n"], f"V{ROW}") for r in rows])
     strings = strings.view(np.uint8).reshape(-1, ROW)
     doc = np.concatenate([_unpacked(r["more"], r["n"], np.int64) for r in rows])
-    entries = Entries(strings, doc, doc)
-    smaller = least_documents(entries)[entries.of] < doc[:, None]
-    smaller &= np.arange(REACH) < strings[:, SPAN][:, None]
-    mask = (smaller << np.arange(REACH, dtype=np.uint32)).sum(axis=1, dtype=np.uint32)
+    mask = np.zeros(len(doc), np.uint32)
+    group, _ = group_keys(strings)
+    order = np.argsort(group, kind="stable")
+    group, lo = group[order], 0
+    while lo < len(order):  # whole groups, about STRINGS strings at once
+        hi = int(np.searchsorted(group, group[min(lo + STRINGS, len(order)) - 1], side="right"))
+        mask[order[lo:hi]] = window_masks(strings[order[lo:hi]], doc[order[lo:hi]])
+        lo = hi
     for r, part in zip(rows, np.split(mask, np.cumsum([r["n"] for r in rows])[:-1])):
         if part.any():
             out.append((r["pack"], _STRINGS, r["base"], r["n"], _packed(part), b""))
@@ -334,12 +349,12 @@ def covered_bytes(pack: Pack, told: list[dict]) -> np.ndarray:
     # a string that another document of the pack with a smaller id has goes whole
     mask = np.where(entries.doc > entries.least[entries.of], _ALL, masks[entries.of])
     count = entries.rows[entries.of, SPAN]
-    edge = np.zeros(len(pack.raw) + 1, np.int32)
+    edge = np.zeros(len(pack.raw) + 1, np.int8)  # at most DEPTH windows cover a byte
     for step in range(REACH):
         at = entries.start[((mask >> np.uint32(step)) & 1 == 1) & (step < count)] + step
         edge[at] += 1
         edge[at + DEPTH] -= 1
-    return np.cumsum(edge[:-1]) > 0
+    return np.cumsum(edge[:-1], dtype=np.int8) > 0
 
 
 def _keep(kind: pa.DataType):
@@ -361,10 +376,14 @@ def _keep(kind: pa.DataType):
         spans = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.StructArray.from_arrays(
             [pa.array(start - base), pa.array(end - base)], ["start", "end"]))
         keep = ~gone
-        kept_ends = np.r_[0, np.cumsum(keep)][pack.offsets].astype(np.int64)
+        sizes = np.diff(pack.offsets)
+        left = sizes.copy()
+        some = np.flatnonzero(sizes)
+        left[some] = np.add.reduceat(keep, pack.offsets[some], dtype=np.int64) if len(some) else 0
+        kept_ends = np.r_[0, np.cumsum(left)]
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), docs.num_rows, [
             None, pa.py_buffer(kept_ends), pa.py_buffer(np.ascontiguousarray(pack.raw[keep]))]).cast(pa.binary())
-        return pa.Table.from_arrays([docs.column("id").cast(kind), pa.array(np.diff(pack.offsets)), spans, kept],
+        return pa.Table.from_arrays([docs.column("id").cast(kind), pa.array(sizes), spans, kept],
                                     names=["id", "n_bytes", "spans", "kept"])
     return run
 

@@ -65,6 +65,7 @@ def passages(seed):
 def test_passages_equal_brute_force_however_they_are_dealt(spark, seed, hot, pack, monkeypatch):
     ship(spark)
     monkeypatch.setattr(repeats, "SORTED", 500)
+    monkeypatch.setattr(repeats, "STRINGS", 40)
     rows = passages(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
     got = repeats.remove(docs, pack_bytes=pack, bucket_bytes=pack, hot=hot)
