@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import words as W
+from tarmac.llm.common import materialise
 
 #: Filters in the order of their bits: few words, repeated words, capitals, symbols, copy of an earlier text.
 FILTERS = "ABCDE"
@@ -279,5 +280,10 @@ def orders(profiled: DataFrame) -> DataFrame:
 
 
 def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per part, order of the five filters and step."""
-    return orders(profile(failures(measure(docs, id_col)), labels, id_col))
+    """One row per part, order of the five filters and step.
+
+    The few bytes that the pass over the texts finds for each document are
+    written to the shared folder first, since several joins start from them.
+    """
+    failed = materialise(docs.sparkSession, failures(measure(docs, id_col)), "failures")
+    return orders(profile(failed, labels, id_col))
