@@ -147,3 +147,105 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0,
                       F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return merkle.summary(docs, ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered})
+
+
+ORACLE["op11_filteraudit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+earliest AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+marks AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, good, toxic, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+    + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INT)
+    + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > first, false) AS INT) AS mask
+  FROM w JOIN earliest USING (t) LEFT JOIN marks USING (doc_id)),
+cells AS (SELECT part, mask, count(*) AS n, count_if(good) AS good, count_if(toxic) AS toxic FROM failed GROUP BY ALL),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letter a, letter b, letter c, letter d, letter e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, 1 << (ascii(substr(filter_order, step, 1)) - 65) AS bit,
+    coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, i, 1)) - 65))), 0)::INT AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+done AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT * EXCLUDE (bit), CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM done
+"""
+
+ORACLE["op12_repeats"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (SELECT doc_id, first, substr(h, 2 * first + 1, 2098) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49, 1000)) AS first FROM d)),
+windows AS (SELECT doc_id, first + i AS i, md5(substr(s, 2 * i + 1, 100)) AS k
+  FROM (SELECT doc_id, first, s, unnest(range(0, len(s) // 2 - 49)) AS i FROM blocks)),
+owners AS (SELECT k, min(doc_id) AS owner FROM windows GROUP BY k),
+gone AS (SELECT doc_id, i FROM windows JOIN owners USING (k) WHERE owner < doc_id),
+runs AS (
+  SELECT *, sum(CASE WHEN i <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone)),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b, b - a AS n FROM spans
+  UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(len(h)) // 2, 0 FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, any_value(len(h)) // 2 AS n_bytes, CAST(sum(n) AS BIGINT) AS n_removed, count(*) - 1 AS n_spans,
+  sha256(unhex(string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a))) AS kept_sha256
+FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+"""
+
+ORACLE["op13_merkle"] = r"""
+WITH RECURSIVE rows AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 2 = 0 AS tampered,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+    || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+    || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+    || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+    sha256(head || CASE WHEN text IS NULL THEN '-' WHEN tampered
+      THEN strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), '')
+      ELSE strlen(text) || ':' || text END) AS changed,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY source) AS n
+  FROM rows),
+tree(source, level, place, node, n) AS (
+  SELECT source, 0, place, leaf, n FROM leaves
+  UNION ALL SELECT source, level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (any_value(n) + 2) // 3
+  FROM tree WHERE n > 1 GROUP BY source, level, place // 3),
+subroots AS (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY source IS NOT NULL, source) - 1 AS place,
+    count(*) OVER () AS n FROM tree WHERE n = 1),
+top(level, place, node, n) AS (
+  SELECT 0, place, subroot, n FROM subroots
+  UNION ALL SELECT level + 1, place // 3, sha256(string_agg(node, '' ORDER BY place)), (any_value(n) + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, place // 3),
+steps AS (
+  SELECT l.doc_id, t.level, string_agg(t.node, '' ORDER BY t.place) FILTER (t.place < l.place // (3 ** t.level)::BIGINT) AS a,
+    string_agg(t.node, '' ORDER BY t.place) FILTER (t.place > l.place // (3 ** t.level)::BIGINT) AS b
+  FROM leaves l JOIN tree t ON t.source IS NOT DISTINCT FROM l.source AND t.n > 1
+    AND t.place // 3 = (l.place // (3 ** t.level)::BIGINT) // 3 GROUP BY ALL
+  UNION ALL
+  SELECT l.doc_id, 1000 + t.level, string_agg(t.node, '' ORDER BY t.place) FILTER (t.place < s.place // (3 ** t.level)::BIGINT),
+    string_agg(t.node, '' ORDER BY t.place) FILTER (t.place > s.place // (3 ** t.level)::BIGINT)
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source JOIN top t ON t.n > 1
+    AND t.place // 3 = (s.place // (3 ** t.level)::BIGINT) // 3 GROUP BY ALL),
+proofs AS (
+  SELECT doc_id, array_agg({'a': coalesce(a, ''), 'b': coalesce(b, '')} ORDER BY level) AS steps FROM steps GROUP BY doc_id),
+folded AS (
+  SELECT l.doc_id, leaf, subroot, (SELECT node FROM top WHERE n = 1) AS root,
+    sha256(coalesce(array_to_string(list_transform(steps, lambda s: s.a || s.b), ''), '')) AS proof_sha256,
+    list_reduce(list_prepend({'a': changed, 'b': ''}, coalesce(steps, [])),
+      lambda x, s: {'a': sha256(s.a || x.a || s.b), 'b': ''}).a AS folded_root
+  FROM leaves l JOIN subroots s ON s.source IS NOT DISTINCT FROM l.source LEFT JOIN proofs USING (doc_id))
+SELECT *, folded_root = root AS verified FROM folded
+"""
