@@ -51,7 +51,7 @@ def test_parquet_volumes_and_merge_schema(spark, tmp_dir):
         clean.count() + 2692)
     # a part file with one extra column: merged schema has it
     extra = v10.limit(5).withColumnRenamed("dest", "dest2")
-    extra.write.mode("append").parquet(paths[10])
+    IO.write_volume(extra, tmp_dir, 10, mode="append")
     merged = IO.read_clean(spark, paths[10], merge_schema=True)
     assert {"dest", "dest2"} <= set(merged.columns)
 

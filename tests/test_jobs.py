@@ -7,7 +7,7 @@ import sys
 
 from tarmac.plans import catalog as C
 from tarmac.plans import jobs
-from tarmac.sources.io import write_report
+from tarmac.sources.io import read_clean, write_report
 from tests.conftest import ROOT, SF_SMALL
 
 
@@ -23,7 +23,7 @@ def test_prepare_and_report_jobs(spark, tmp_dir):
     paths = jobs.prepare_job(spark, raw_csv, tmp_dir, percents=[50, 100])
     clean_rows = spark.read.parquet(os.path.join(tmp_dir, "clean")).count()
     assert clean_rows == 5384
-    assert spark.read.parquet(paths[100]).count() == clean_rows
+    assert read_clean(spark, paths[100]).count() == clean_rows
     out = jobs.report_job(spark, paths[100], "q1", os.path.join(tmp_dir, "q1"))
     lines = _csv_lines(out)
     assert lines[0] == ("codice,aeroporto_partenza,numero_voli,ritardo_minimo,ritardo_massimo,"
