@@ -7,7 +7,7 @@ the entities' rounded means.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,16 +16,23 @@ from tarmac.functions.metrics import safe_ratio, stable_round
 
 
 def window_baseline(df: DataFrame, group: Sequence[str], sum_col: str, count_col: str,
-                    out: str, scale: int | None = 2) -> DataFrame:
+                    out: str, scale: int | None = 2,
+                    mean: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Group mean from per-entity sums, attached to each entity row.
 
+    ``mean`` makes the mean from the group's sum and count, by default their
+    quotient rounded to ``scale``.
+
     On an aggregate by (group, entity) this is one window over ``group``
     (one small exchange of the aggregate) instead of a second scan, a
     second aggregate and a join.
     """
     w = Window.partitionBy(*group)
-    mean = safe_ratio(F.sum(sum_col).over(w), F.sum(count_col).over(w))
-    return df.withColumn(out, stable_round(mean, scale) if scale is not None else mean)
+    total, n = F.sum(sum_col).over(w), F.sum(count_col).over(w)
+    if mean is not None:
+        return df.withColumn(out, mean(total, n))
+    ratio = safe_ratio(total, n)
+    return df.withColumn(out, stable_round(ratio, scale) if scale is not None else ratio)
 
 
 def join_baseline(entity: DataFrame, base: DataFrame, on: Sequence[str],

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.metrics import count_where
+from tarmac.functions.metrics import count_where, nan_to_null
 
 
 def _long_form(wide: DataFrame, names: Sequence[str], name_col: str, value_col: str) -> DataFrame:
@@ -79,3 +79,63 @@ def describe_schema(df: DataFrame) -> DataFrame:
     return (wide.select(F.explode(items).alias("_kv"))
                 .select(F.col("_kv.pos").alias("position"), F.col("_kv.k").alias("column_name"),
                         F.col("_kv.t").alias("data_type"), F.col("_kv.v").alias("non_null")))
+
+
+class ObservedProfile:
+    """D1 to D8 as metrics that Spark gathers while the cleaned table is written.
+
+    ``raw(df)`` and ``clean(df)`` mark the two places of the chain where rows
+    are counted; they add no scan and no exchange, only running aggregates in
+    the tasks of the write.  After it ``table(spark)`` has the profile.
+    """
+
+    #: Distinct values kept apart in a ``distinct`` column; with more of them the counts are estimates.
+    VALUES = 10_000
+
+    def __init__(self, steps: Mapping[str, Column], outlier: Column, valid: Column, bounded: Sequence[str],
+                 distinct: str, missing: Column):
+        self._steps, self._outlier, self._valid = dict(steps), outlier, valid
+        self._bounded, self._distinct, self._missing = list(bounded), distinct, missing
+        self._on_raw, self._on_clean = Observation(), Observation()
+        self._types: list[tuple[str, str]] = []
+
+    def raw(self, df: DataFrame) -> DataFrame:
+        """Observe the rows before the cleaning: steps, bounds, outliers, distinct values."""
+        kept = F.lit(True)
+        aggs = [F.count(F.lit(1)).alias("step:input")]
+        for name, cond in self._steps.items():
+            kept = kept & F.coalesce(cond, F.lit(False))
+            aggs.append(count_where(kept).alias(f"step:{name}"))
+        for c in self._bounded:
+            value = F.when(self._valid, nan_to_null(F.col(c).cast("double")))
+            aggs += [F.min(value).alias(f"bound:{c}_min"), F.max(value).alias(f"bound:{c}_max")]
+        aggs += [count_where(self._valid & self._outlier).alias("outlier:outliers"),
+                 count_where(self._valid).alias("outlier:rows"),
+                 F.call_function("approx_top_k", F.col(self._distinct), F.lit(self.VALUES), F.lit(2 * self.VALUES)).alias("distinct:values"),
+                 count_where(F.col(self._distinct).isNull()).alias("distinct:null")]
+        return df.observe(self._on_raw, *aggs)
+
+    def clean(self, df: DataFrame) -> DataFrame:
+        """Observe the cleaned rows: nulls, types, and nulls among the rows that ``missing`` picks."""
+        self._types = df.dtypes
+        aggs = []
+        for c in df.columns:
+            null = F.col(f"`{c}`").isNull()
+            aggs += [count_where(null).alias(f"null:{c}"), count_where(null & self._missing).alias(f"missing:{c}")]
+        return df.observe(self._on_clean, F.count(F.lit(1)).alias("rows"), *aggs)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``profile, name, value, type``: one row per finding, from the metrics of the finished write."""
+        raw, clean = self._on_raw.get, self._on_clean.get
+        names = {"step": "step_counts", "bound": "bounds", "outlier": "outliers"}
+        rows = [(names[k.split(":")[0]], k.split(":", 1)[1], v) for k, v in raw.items() if k.split(":")[0] in names]
+        n, outliers = raw["outlier:rows"], raw["outlier:outliers"]
+        rows.append(("outliers", "percent", outliers / n * 100.0 if n else None))
+        rows += [("distinct", r["item"], r["count"]) for r in raw["distinct:values"] if r["item"] is not None]
+        rows.append(("distinct", None, raw["distinct:null"]))
+        out = [Row(profile=p, name=name, value=None if v is None else float(v), type=None) for p, name, v in rows]
+        for c, kind in self._types:
+            out.append(Row(profile="nulls", name=c, value=float(clean[f"null:{c}"]), type=None))
+            out.append(Row(profile="missing_code", name=c, value=float(clean[f"missing:{c}"]), type=None))
+            out.append(Row(profile="schema", name=c, value=float(clean["rows"] - clean[f"null:{c}"]), type=kind))
+        return spark.createDataFrame(out, "profile string, name string, value double, type string").coalesce(1)

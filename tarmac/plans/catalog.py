@@ -12,20 +12,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.functions.metrics import clipped_mean, max_where, min_where, rate, stable_round
+from tarmac.functions.metrics import exact_clipped_mean, exact_mean_where, max_where, min_where, rate
 from tarmac.functions.text import cause_label, fmt_duration, list_text, map_values
 from tarmac.operators import prep, profile, volumes
 from tarmac.operators.baseline import join_baseline, rank_in_group
 from tarmac.operators.profile import head_n
 from tarmac.operators.topk import ordered_list, rank_rows, top_k_per_group
+from tarmac.plans import jobs
 from tarmac.plans import oracle as O
 from tarmac.plans import reports as R
 from tarmac.plans import runlog as RL
-from tarmac.schema import CAUSES, CLEAN_DDL, TARGET_COLUMNS
+from tarmac.schema import CAUSES, CLEAN_DDL, CLEAN_SCHEMA, RAW_SCHEMA, TARGET_COLUMNS
 from tarmac.session import checkpoint_dir
 from tarmac.sources.catalog import register_table, run_sql_file, use_db
 from tarmac.sources.flightview import flights_raw
-from tarmac.sources.io import read_clean, read_raw, read_runlog, write_report, write_split, write_volume
+from tarmac.sources.io import (
+    current_run, read_clean, read_raw, read_runlog, write_report, write_split, write_volume,
+)
 from tarmac.streaming import read_published, run_incremental_report
 
 QUERIES: dict = {}
@@ -58,9 +61,7 @@ def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 W = O.with_flights
-RAW_COLS = ("year, month, fl_date, op_unique_carrier, op_carrier_fl_num, origin, dest, "
-            "dep_delay, arr_delay, cancelled, diverted, cancellation_code, carrier_delay, "
-            "weather_delay, nas_delay, security_delay, late_aircraft_delay")
+RAW_COLS = ", ".join(RAW_SCHEMA.fieldNames())
 _DUCK_NOT_OUTLIER = ("NOT coalesce(dep_delay < -30 OR dep_delay > 1440, false) "
                      "AND NOT coalesce(arr_delay < -30 OR arr_delay > 1440, false)")
 
@@ -209,11 +210,14 @@ def profile_missing_code(spark, sf_dir):
     return profile.null_counts(missing, TARGET_COLUMNS)
 
 
-@register("profile_schema", W("\nUNION ALL ".join(
+_SCHEMA_SQL = "\nUNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS column_name, CASE any_value(typeof({c})) "
     "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'VARCHAR' THEN 'string' ELSE lower(any_value(typeof("
     f"{c}))) END AS data_type, count({c}) AS non_null FROM flights"
-    for i, c in enumerate(TARGET_COLUMNS))))
+    for i, c in enumerate(TARGET_COLUMNS))
+
+
+@register("profile_schema", W(_SCHEMA_SQL))
 def profile_schema(spark, sf_dir):
     """The clean table's columns, Spark types (the table DDL) and
     non-null counts."""
@@ -249,7 +253,7 @@ def cond_agg(spark, sf_dir):
 SELECT carrier AS codice, {O.LATE_MEAN} AS ritardo_medio FROM facts GROUP BY ALL"""))
 def clipped_mean_q(spark, sf_dir):
     return (flights(spark, sf_dir).groupBy(F.col("op_unique_carrier").alias("codice"))
-            .agg(stable_round(clipped_mean("arr_delay"), 2).alias("ritardo_medio")))
+            .agg(exact_clipped_mean("arr_delay").alias("ritardo_medio")))
 
 
 @register("cancel_rate", W(f"""
@@ -535,6 +539,61 @@ def x_anomalous_pairs(spark, sf_dir):
     return R.anomalous_pairs(flights(spark, sf_dir), 10.0)
 
 
+# ------------------------------------------ reports rolled up from one scan
+def _facts(spark, sf_dir):
+    return _written(spark, R.flight_facts(flights(spark, sf_dir)), "facts")
+
+
+@register("rollup_q1", W(O.Q1))
+def rollup_q1(spark, sf_dir):
+    """Q1 from the written table of flight facts, as are the next four."""
+    return R.carrier_stats_of(_facts(spark, sf_dir))
+
+
+@register("rollup_q2", W(O.Q2, O.CAUSE_UNION))
+def rollup_q2(spark, sf_dir):
+    return R.airport_month_report_of(_facts(spark, sf_dir))
+
+
+@register("rollup_q3", W("SELECT * FROM q3", O.Q3_CTES))
+def rollup_q3(spark, sf_dir):
+    return R.carrier_vs_airport_of(_facts(spark, sf_dir))
+
+
+@register("rollup_means", ORACLE["x_airport_month_means"])
+def rollup_means(spark, sf_dir):
+    return (R.airport_month_means_of(_facts(spark, sf_dir))
+            .withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}))
+
+
+@register("rollup_cancel_causes", ORACLE["x_cancel_causes"])
+def rollup_cancel_causes(spark, sf_dir):
+    return R.cancel_causes_of(_facts(spark, sf_dir))
+
+
+def _fractional(f: DataFrame) -> DataFrame:
+    """Delays with fractions of a minute."""
+    part = (F.col("op_carrier_fl_num") % 1000) * 0.001 - 0.3
+    return f.withColumns({c: F.col(c) + F.coalesce(part, F.lit(0.125)) for c in ("dep_delay", "arr_delay")})
+
+
+@register("exact_means", W("""
+SELECT origin, op_unique_carrier,
+       CAST(sign(dep_sum) * ((200 * abs(dep_sum) + dep_n * 1000) // (dep_n * 2000)) AS DOUBLE) / 100 AS dep_mean,
+       CAST((200 * late_sum + voli * 1000) // (voli * 2000) AS DOUBLE) / 100 AS late_mean
+FROM (SELECT origin, op_unique_carrier, count(*) AS voli, count(d) FILTER (cancelled = 0) AS dep_n,
+             CAST(sum(d) FILTER (cancelled = 0) AS HUGEINT) AS dep_sum, CAST(sum(greatest(a, 0)) AS HUGEINT) AS late_sum
+      FROM parts GROUP BY ALL)""", """
+parts AS (
+  SELECT origin, op_unique_carrier, cancelled, CAST(dep_delay AS BIGINT) * 1000 + part AS d,
+         coalesce(CAST(arr_delay AS BIGINT) * 1000 + part, 0) AS a
+  FROM (SELECT *, coalesce(CAST(op_carrier_fl_num AS BIGINT) % 1000 - 300, 125) AS part FROM flights))"""))
+def exact_means(spark, sf_dir):
+    """A4, A8, F9 over fractional delays: exact sums, one rounding."""
+    return _fractional(flights(spark, sf_dir)).groupBy("origin", "op_unique_carrier").agg(
+        exact_mean_where("dep_delay", R.flown()).alias("dep_mean"), exact_clipped_mean("arr_delay").alias("late_mean"))
+
+
 # ------------------------------------------------------- run-log analytics
 _RUNLOG_SQL = """runlog AS (
   SELECT CAST(month AS INTEGER) AS percentuale, op_unique_carrier AS motore, origin AS analisi,
@@ -675,6 +734,40 @@ def external_table(spark, sf_dir):
         use_db(spark, before)
 
 
+@register("partitioned_table", W("SELECT origin, month, count(*) AS rows, count_if(cancelled = 1) AS gone "
+                                 "FROM flights WHERE month IN (3, 4) GROUP BY ALL"))
+def partitioned_table(spark, sf_dir):
+    """S4 over folders by month: DDL with partition recovery, a filter that prunes folders."""
+    db = f"tarmac_{uuid.uuid4().hex}"
+    path = write_volume(flights(spark, sf_dir), _scratch(spark, "volume"), 100, partition_by=["month"])
+    name = register_table(spark, "voli", path=current_run(spark, path), db=db, schema=CLEAN_SCHEMA, partitioned_by=["month"])
+    return spark.table(name).filter("month IN (3, 4)").groupBy("origin", "month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("cancelled") == 1).alias("gone"))
+
+
+@register("observed_profile", W(f"""
+SELECT 'step_counts' AS profile, 'input' AS name, CAST(count(*) AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS type FROM flights_raw
+UNION ALL SELECT 'step_counts', 'drop_corrupt', count(*), NULL FROM raw_ok
+UNION ALL SELECT 'step_counts', 'drop_outliers', count(*), NULL FROM flights
+UNION ALL SELECT 'bounds', 'dep_delay_min', min(dep_delay), NULL FROM raw_ok
+UNION ALL SELECT 'bounds', 'dep_delay_max', max(dep_delay), NULL FROM raw_ok
+UNION ALL SELECT 'bounds', 'arr_delay_min', min(arr_delay), NULL FROM raw_ok
+UNION ALL SELECT 'bounds', 'arr_delay_max', max(arr_delay), NULL FROM raw_ok
+UNION ALL SELECT 'outliers', 'outliers', count_if(NOT ({_DUCK_NOT_OUTLIER})), NULL FROM raw_ok
+UNION ALL SELECT 'outliers', 'rows', count(*), NULL FROM raw_ok
+UNION ALL SELECT 'outliers', 'percent', CAST(count_if(NOT ({_DUCK_NOT_OUTLIER})) AS DOUBLE) / count(*) * 100.0, NULL FROM raw_ok
+UNION ALL SELECT 'distinct', cancellation_code, count(*), NULL FROM flights_raw GROUP BY cancellation_code
+UNION ALL SELECT 'nulls', column_name, null_count, NULL FROM ({_null_sql("flights", TARGET_COLUMNS)})
+UNION ALL SELECT 'missing_code', column_name, null_count, NULL FROM ({_null_sql(
+    "(SELECT * FROM flights WHERE cancelled = 1 AND cancellation_code IS NULL)", TARGET_COLUMNS)})
+UNION ALL SELECT 'schema', column_name, non_null, data_type FROM ({_SCHEMA_SQL})"""))
+def observed_profile(spark, sf_dir):
+    """D1 to D8 gathered by the write of the cleaned table."""
+    found = jobs.flight_profile()
+    _written_path(spark, found.clean(prep.clean(found.raw(flights_raw(spark, sf_dir)))), "clean")
+    return found.table(spark)
+
+
 @register("runlog_csv", W("""
 SELECT motore, 'Cluster' AS ambiente, tempo_secondi_cluster AS tempo_secondi FROM cmp
 UNION ALL SELECT motore, 'Locale', tempo_secondi_locale FROM cmp""", _COMPARE_SQL))

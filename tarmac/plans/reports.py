@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.metrics import (
-    clipped_mean, count_where, max_where, mean_where, min_where, rate, stable_round,
+    clipped, count_where, exact_clipped_mean, exact_mean, exact_mean_where, exact_sum, max_where, min_where, rate,
+    rate_of,
 )
 from tarmac.functions.text import cause_label, list_text
 from tarmac.operators.baseline import anomalous, difference, rank_in_group, window_baseline
@@ -51,7 +52,7 @@ def carrier_stats(df: DataFrame, rate_scale: int = 2, sort: bool = True) -> Data
              .agg(F.count(F.lit(1)).alias("numero_voli"),
                   min_where(arr, flown() & (arr >= 1.0), 0.0).alias("ritardo_minimo"),
                   max_where(arr, flown(), 0.0).alias("ritardo_massimo"),
-                  stable_round(clipped_mean(arr), 2).alias("ritardo_medio"),
+                  exact_clipped_mean(arr).alias("ritardo_medio"),
                   rate(cancelled(), rate_scale).alias("tasso_cancellazione"))
              .select(F.col("op_unique_carrier").alias("codice"),
                      F.col("origin").alias("aeroporto_partenza"),
@@ -80,8 +81,8 @@ MEAN_COLUMNS = ["ritardo_medio_partenza", "ritardo_medio_arrivo"]
 
 def mean_aggs() -> list:
     """Mean departure and arrival delay of flown flights, rounded."""
-    return [stable_round(mean_where("dep_delay", flown()), 2).alias(MEAN_COLUMNS[0]),
-            stable_round(mean_where("arr_delay", flown()), 2).alias(MEAN_COLUMNS[1])]
+    return [exact_mean_where("dep_delay", flown()).alias(MEAN_COLUMNS[0]),
+            exact_mean_where("arr_delay", flown()).alias(MEAN_COLUMNS[1])]
 
 
 def airport_month_aggregate(df: DataFrame, with_means: bool = False) -> DataFrame:
@@ -159,14 +160,14 @@ def airport_month_join(agg: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
 
 # --------------------------------------------------------------------- Q3
 def pair_aggregate(df: DataFrame, rate_scale: int = 2) -> DataFrame:
-    """Per (origin, carrier): flights, unrounded departure sums, rounded means."""
+    """Per (origin, carrier): flights, exact departure sums, rounded means."""
     dep, arr = F.col("dep_delay"), F.col("arr_delay")
     return (df.groupBy("origin", "op_unique_carrier")
               .agg(F.count(F.lit(1)).alias("numero_voli"),
-                   F.sum(F.when(flown(), dep)).alias("_dep_sum"),
+                   exact_sum(dep, flown()).alias("_dep_sum"),
                    F.count(F.when(flown(), dep)).alias("_dep_n"),
-                   stable_round(mean_where(dep, flown()), 2).alias("ritardo_medio_partenza"),
-                   stable_round(mean_where(arr, flown()), 2).alias("ritardo_medio_arrivo"),
+                   exact_mean_where(dep, flown()).alias("ritardo_medio_partenza"),
+                   exact_mean_where(arr, flown()).alias("ritardo_medio_arrivo"),
                    rate(cancelled(), rate_scale).alias("tasso_cancellazione")))
 
 
@@ -184,7 +185,7 @@ def carrier_vs_airport(df: DataFrame, rate_scale: int = 2, sort: bool = True) ->
 
 def carrier_vs_airport_finish(pairs: DataFrame, sort: bool = True) -> DataFrame:
     """Q3 from its (origin, carrier) aggregate: airport baseline and rank."""
-    based = window_baseline(pairs, ["origin"], "_dep_sum", "_dep_n", "_airport_mean", 2)
+    based = window_baseline(pairs, ["origin"], "_dep_sum", "_dep_n", "_airport_mean", mean=exact_mean)
     ranked = rank_in_group(based, ["origin"], "ritardo_medio_partenza", "classifica")
     out = ranked.select(
         F.col("origin").alias("aeroporto_partenza"),
@@ -198,14 +199,13 @@ def carrier_vs_airport_finish(pairs: DataFrame, sort: bool = True) -> DataFrame:
 def airport_mean(df: DataFrame) -> DataFrame:
     """A4: mean departure delay of flown flights per airport, rounded."""
     return (df.groupBy("origin")
-              .agg(stable_round(mean_where("dep_delay", flown()), 2)
-                   .alias("ritardo_medio_complessivo")))
+              .agg(exact_mean_where("dep_delay", flown()).alias("ritardo_medio_complessivo")))
 
 
 def airport_mean_of_pairs(pairs: DataFrame) -> DataFrame:
     """A4 from the pair aggregate: its unrounded sums added per airport."""
-    return pairs.groupBy("origin").agg(stable_round(
-        F.try_divide(F.sum("_dep_sum"), F.sum("_dep_n")), 2).alias("ritardo_medio_complessivo"))
+    return pairs.groupBy("origin").agg(
+        exact_mean(F.sum("_dep_sum"), F.sum("_dep_n")).alias("ritardo_medio_complessivo"))
 
 
 # ------------------------------------------------------- README extras X1-X5
@@ -240,6 +240,10 @@ def cancel_causes(df: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
     counts = (df.filter(cancelled() & F.col("cancellation_code").isNotNull())
                 .groupBy("origin", "month", "cancellation_code")
                 .agg(F.count(F.lit(1)).alias("numero_cancellazioni")))
+    return _top_codes(counts, k)
+
+
+def _top_codes(counts: DataFrame, k: int) -> DataFrame:
     return top_k_per_group(counts, ["origin", "month"],
                            [F.col("numero_cancellazioni").desc(),
                             F.col("cancellation_code").asc()], k, "classifica")
@@ -248,3 +252,77 @@ def cancel_causes(df: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
 def anomalous_pairs(df: DataFrame, threshold: float = 10.0) -> DataFrame:
     """Q3 rows whose rounded difference to the airport is >= threshold."""
     return anomalous(carrier_vs_airport(df, sort=False), "differenza", threshold)
+
+
+# ------------------------------------------------ all reports from one scan
+#: Of ``flight_facts``: columns that add up, and the two that do not.
+_ADDED = ["voli", "flown", "gone", "late_sum", "dep_sum", "dep_n", "arr_sum", "arr_n", "numero_ritardi_basso",
+          "numero_ritardi_medio", "numero_ritardi_alto", *CAUSES]
+
+
+def flight_facts(df: DataFrame) -> DataFrame:
+    """Mergeable aggregates per carrier, airport, month and cancellation code.
+
+    Counts, exact sums, bounds, delay bands and cause minutes: everything the
+    reports roll up.  One scan of the flights; written once, the table has a
+    few rows per carrier, airport and month whatever the number of flights,
+    and each report is a small aggregate of it.
+    """
+    dep, arr = F.col("dep_delay"), F.col("arr_delay")
+    code = F.when(cancelled(), F.col("cancellation_code")).alias("cancellation_code")
+    return df.groupBy("op_unique_carrier", "origin", "month", code).agg(
+        F.count(F.lit(1)).alias("voli"), count_where(flown()).alias("flown"), count_where(cancelled()).alias("gone"),
+        exact_sum(clipped(arr)).alias("late_sum"),
+        exact_sum(dep, flown()).alias("dep_sum"), F.count(F.when(flown(), dep)).alias("dep_n"),
+        exact_sum(arr, flown()).alias("arr_sum"), F.count(F.when(flown(), arr)).alias("arr_n"),
+        *band_aggs(), *cause_aggs(),
+        min_where(arr, flown() & (arr >= 1.0)).alias("first_late"), max_where(arr, flown()).alias("last_arr"))
+
+
+def _rolled(facts: DataFrame, *keys: str) -> DataFrame:
+    return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _ADDED], F.min("first_late").alias("first_late"),
+                                    F.max("last_arr").alias("last_arr"))
+
+
+def _means_of_facts() -> list:
+    return [exact_mean("dep_sum", "dep_n").alias(MEAN_COLUMNS[0]), exact_mean("arr_sum", "arr_n").alias(MEAN_COLUMNS[1])]
+
+
+def carrier_stats_of(facts: DataFrame, rate_scale: int = 2, sort: bool = True) -> DataFrame:
+    """Q1 from ``flight_facts``."""
+    none = F.lit(0.0)
+    out = _rolled(facts, "op_unique_carrier", "origin", "month").select(
+        F.col("op_unique_carrier").alias("codice"), F.col("origin").alias("aeroporto_partenza"),
+        F.col("voli").alias("numero_voli"), F.coalesce("first_late", none).alias("ritardo_minimo"),
+        F.coalesce("last_arr", none).alias("ritardo_massimo"), exact_mean("late_sum", "voli").alias("ritardo_medio"),
+        rate_of("gone", "voli", rate_scale).alias("tasso_cancellazione"), F.col("month").alias("mese"))
+    return out.orderBy("codice", "aeroporto_partenza", "mese") if sort else out
+
+
+def airport_month_report_of(facts: DataFrame, k: int = TOP_CAUSES, sort: bool = True,
+                            with_means: bool = False) -> DataFrame:
+    """Q2 from ``flight_facts``."""
+    agg = _rolled(facts, "origin", "month").withColumn("_flown", F.col("flown"))
+    if with_means:
+        agg = agg.select("*", *_means_of_facts())
+    return airport_month_finish(agg, k, sort)
+
+
+def carrier_vs_airport_of(facts: DataFrame, rate_scale: int = 2, sort: bool = True) -> DataFrame:
+    """Q3 from ``flight_facts``."""
+    pairs = _rolled(facts, "origin", "op_unique_carrier").select(
+        "origin", "op_unique_carrier", F.col("voli").alias("numero_voli"), F.col("dep_sum").alias("_dep_sum"),
+        F.col("dep_n").alias("_dep_n"), *_means_of_facts(), rate_of("gone", "voli", rate_scale).alias("tasso_cancellazione"))
+    return carrier_vs_airport_finish(pairs, sort)
+
+
+def airport_month_means_of(facts: DataFrame) -> DataFrame:
+    """X3 from ``flight_facts``."""
+    return _rolled(facts, "origin", "month").select("origin", "month", *_means_of_facts())
+
+
+def cancel_causes_of(facts: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
+    """X4 from ``flight_facts``."""
+    counts = facts.filter(F.col("cancellation_code").isNotNull()).groupBy("origin", "month", "cancellation_code").agg(
+        F.sum("gone").alias("numero_cancellazioni"))
+    return _top_codes(counts, k)

@@ -5,17 +5,42 @@ Column names are parameters; defaults follow the run-log CSV header.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.text import fmt_duration, map_values
+from tarmac.schema import RUNLOG_SCHEMA
+from tarmac.sources.io import read_runlog
 
 # Environment labels of the two-run comparison.
 ENVIRONMENT_NAMES = {"tempo_secondi_cluster": "Cluster", "tempo_secondi_locale": "Locale"}
 
 
+def log_run(spark: SparkSession, log: str, volume: int, engine: str, analysis: str, seconds: float,
+            status: int) -> str:
+    """Append one run to the log folder.
+
+    Every run is a folder of its own with one CSV file, written under a new
+    name and complete or absent, so any number of writers can log at once.
+    """
+    row = spark.createDataFrame([(volume, engine, analysis, round(seconds), status)], RUNLOG_SCHEMA)
+    path = f"{log.rstrip('/')}/run-{uuid.uuid4().hex}"
+    row.coalesce(1).write.option("header", True).csv(path)
+    return path
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """All runs of a log folder, or of a single CSV file."""
+    try:
+        return read_runlog(spark, f"{log.rstrip('/')}/run-*")
+    except AnalysisException:  # no run folders
+        return read_runlog(spark, log)
+
+
 def cell_times(log: DataFrame, keys: Sequence[str] = ("percentuale", "motore", "analisi"),
                value: str = "tempo_secondi") -> DataFrame:
     """One row per cell.  ``value`` is the SUM of repeated measurements

@@ -19,9 +19,12 @@ SQL_DIR = resources.files("tarmac.plans").joinpath("sql")  # also readable from
 def register_table(spark: SparkSession, name: str, path: str | None = None,
                    db: str | None = None, source: str = "parquet",
                    df: DataFrame | None = None, replace: bool = True,
-                   schema=None) -> str:
+                   schema=None, partitioned_by: list[str] | None = None) -> str:
     """Expose a dataset under ``[db.]name``.
 
+    ``partitioned_by``: the folder columns (``month=1/``) of a partitioned
+    dataset, by DDL with partition recovery; needs ``path`` and ``schema``.
+
     With ``path``: an external table over the folder (dropped and created
     again when ``replace``), like an external Hive table over Parquet.
     With ``df``: a temporary view (no catalog write).  ``schema`` fixes the
@@ -36,7 +39,12 @@ def register_table(spark: SparkSession, name: str, path: str | None = None,
     full = f"{db}.{name}" if db else name
     if replace:
         spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": full})
-    spark.catalog.createTable(full, path=path, source=source, schema=schema)
+    if partitioned_by:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+        run_sql_file(spark, "setup_partitioned", {"table": full},
+                     {"columns": columns, "folders": ", ".join(partitioned_by), "path": path})
+    else:
+        spark.catalog.createTable(full, path=path, source=source, schema=schema)
     return full
 
 
