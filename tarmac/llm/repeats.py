@@ -52,9 +52,9 @@ REACH = DEPTH - DIGIT + 1
 #: Bytes of the string that spans an anchor's windows, and of its row: string, windows, bytes before the anchor, alone.
 SPAN = DEPTH + REACH - 1
 ROW = 80
-PACK_BYTES = 8 << 20
+PACK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
-HOT = 50_000
+HOT = 2_000
 #: Windows hashed, strings compared and windows sorted at once.
 PIECE = 1 << 18
 STRINGS = 1 << 15
