@@ -146,23 +146,22 @@ class Pack:
         new = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])] if len(key) else np.zeros(0, bool)
         return np.bincount(key[new], minlength=len(self.keys))
 
-    def entries(self, repeated: np.ndarray, hot: np.ndarray) -> Entries:
-        """Strings of the anchors whose keys are repeated, the windows of hot ones alone."""
-        whole = np.flatnonzero(repeated[self.key_of] & ~hot[self.key_of])
-        split = np.flatnonzero(hot[self.key_of])
-        each = np.repeat(split, self.count[split])
-        first = np.cumsum(self.count[split]) - self.count[split]
-        step = np.arange(len(each)) - np.repeat(first, self.count[split])
-        at = np.concatenate([whole, each])
-        start = np.concatenate([self.start[whole], self.start[each] + step])
-        count = np.concatenate([self.count[whole], np.ones(len(each), np.int64)])
-        alone = np.arange(len(at)) >= len(whole)
+    def strings(self, repeated: np.ndarray, hot: np.ndarray) -> Strings:
+        """What the pack sends for the anchors whose keys are repeated."""
+        at = np.flatnonzero(repeated[self.key_of])
         padded = np.concatenate([self.raw, np.zeros(SPAN, np.uint8)])
-        rows = np.zeros((len(at), ROW), np.uint8)
-        rows[:, :SPAN] = np.lib.stride_tricks.sliding_window_view(padded, SPAN)[start]
-        rows[:, :SPAN] *= np.arange(SPAN) < (count + DEPTH - 1)[:, None]
-        rows[:, SPAN], rows[:, SPAN + 1], rows[:, SPAN + 2] = count, self.place[at] - start, alone
-        return Entries(rows, self.doc[at], start)
+        rows = _rows(np.lib.stride_tricks.sliding_window_view(padded, SPAN)[self.start[at]], self.count[at],
+                     self.place[at] - self.start[at], 0)
+        return Strings(Entries(rows, self.doc[at]), hot[self.key_of[at]], self.start[at])
+
+
+def _rows(spans: np.ndarray, count: np.ndarray, before: np.ndarray, alone: int) -> np.ndarray:
+    """Rows of strings: their bytes, windows, bytes before the anchor, and whether they are single windows of hot anchors."""
+    rows = np.zeros((len(spans), ROW), np.uint8)
+    rows[:, :spans.shape[1]] = spans
+    rows[:, :spans.shape[1]][np.arange(spans.shape[1]) >= (count + DEPTH - 1)[:, None]] = 0
+    rows[:, SPAN], rows[:, SPAN + 1], rows[:, SPAN + 2] = count, before, alone
+    return rows
 
 
 def group_keys(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,9 +177,9 @@ def group_keys(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Entries:
-    """Strings in the order of their groups, equal ones side by side; ``of``: number of each string given."""
+    """Strings in the order of their groups, equal ones as one; ``of``: number of each string given."""
 
-    def __init__(self, rows: np.ndarray, doc: np.ndarray, start: np.ndarray):
+    def __init__(self, rows: np.ndarray, doc: np.ndarray):
         group, own = group_keys(rows)
         order = np.lexsort((own, group))
         rows, group = rows[order], group[order]
@@ -190,7 +189,37 @@ class Entries:
         self.of[order] = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(rows)]))
         self.rows, self.group = rows[new], group[new]
         self.least = np.minimum.reduceat(doc[order], new) if len(new) else doc
-        self.doc, self.start = doc, start
+        self.doc = doc
+
+
+class Strings:
+    """The different strings of a pack, and what of them is sent: strings whole, those of hot anchors by window."""
+
+    def __init__(self, whole: Entries, hot: np.ndarray, start: np.ndarray):
+        self.whole, self.start = whole, start
+        split = np.zeros(len(whole.rows), bool)
+        split[whole.of] = hot
+        self.sent_whole = np.flatnonzero(~split)
+        split = np.flatnonzero(split)
+        count = whole.rows[split, SPAN].astype(np.int64)
+        self.string = np.repeat(split, count)  # of each window sent alone
+        self.step = np.arange(len(self.string)) - np.repeat(np.cumsum(count) - count, count)
+        flat = np.concatenate([whole.rows.reshape(-1), np.zeros(DEPTH, np.uint8)])
+        windows = np.lib.stride_tricks.sliding_window_view(flat, DEPTH)[ROW * self.string + self.step]
+        rows = _rows(windows, np.ones(len(windows), np.int64), whole.rows[self.string, SPAN + 1] - self.step, 1)
+        self.sent = Entries(np.concatenate([whole.rows[self.sent_whole], rows]),
+                            np.concatenate([whole.least[self.sent_whole], whole.least[self.string]]))
+
+    def masks(self, found: np.ndarray) -> np.ndarray:
+        """Bits of each place's windows that an earlier document holds; ``found``: those of what was sent."""
+        out = np.zeros(len(self.whole.rows), np.uint32)
+        n = len(self.sent_whole)
+        out[self.sent_whole] = found[self.sent.of[:n]]
+        of = self.sent.of[n:]
+        earlier = (found[of] & 1 == 1) | (self.sent.least[of] < self.whole.least[self.string])
+        np.bitwise_or.at(out, self.string, earlier.astype(np.uint32) << self.step.astype(np.uint32))
+        # a string that another document of the pack with a smaller id has goes whole
+        return np.where(self.whole.doc > self.whole.least[self.whole.of], _ALL, out[self.whole.of])
 
 
 def equal_windows(eight: np.ndarray, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,7 +271,7 @@ def least_documents(entries: Entries) -> np.ndarray:
 
 def window_masks(strings: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Bit i of a string: its i-th window stands in a document with a smaller id than its own."""
-    entries = Entries(strings, doc, doc)
+    entries = Entries(strings, doc)
     least, count = least_documents(entries), strings[:, SPAN]
     mask = np.zeros(len(doc), np.uint32)
     for i in range(REACH):
@@ -306,7 +335,7 @@ def _ask_strings(bits: int):
         if not docs.num_rows:
             return _table([], _ASK)
         number, pack, flags = key[0].as_py(), Pack(docs), told.to_pylist()
-        entries = pack.entries(*_flags(flags, len(pack.keys)))
+        entries = pack.strings(*_flags(flags, len(pack.keys))).sent
         rows = [(_STRINGS, bucket, number, a, b - a, _packed(entries.rows[a:b]), _packed(entries.least[a:b]))
                 for bucket, a, b in _slices(_bucket(entries.group, bits))]
         # what the first pass found comes along, for the last one
@@ -341,17 +370,16 @@ def _tell_strings(key: tuple, asked: pa.Table) -> pa.Table:
 
 def covered_bytes(pack: Pack, told: list[dict]) -> np.ndarray:
     """Whether each byte of the pack's texts lies in a window that an earlier document holds."""
-    entries = pack.entries(*_flags(told, len(pack.keys)))
-    masks = np.zeros(len(entries.rows), np.uint32)
+    strings = pack.strings(*_flags(told, len(pack.keys)))
+    found = np.zeros(len(strings.sent.rows), np.uint32)
     for r in told:
         if r["kind"] == _STRINGS:
-            masks[r["base"]: r["base"] + r["n"]] = _unpacked(r["data"], r["n"], np.uint32)
-    # a string that another document of the pack with a smaller id has goes whole
-    mask = np.where(entries.doc > entries.least[entries.of], _ALL, masks[entries.of])
-    count = entries.rows[entries.of, SPAN]
+            found[r["base"]: r["base"] + r["n"]] = _unpacked(r["data"], r["n"], np.uint32)
+    mask = strings.masks(found)
+    count = strings.whole.rows[strings.whole.of, SPAN]
     edge = np.zeros(len(pack.raw) + 1, np.int8)  # at most DEPTH windows cover a byte
     for step in range(REACH):
-        at = entries.start[((mask >> np.uint32(step)) & 1 == 1) & (step < count)] + step
+        at = strings.start[((mask >> np.uint32(step)) & 1 == 1) & (step < count)] + step
         edge[at] += 1
         edge[at + DEPTH] -= 1
     return np.cumsum(edge[:-1], dtype=np.int8) > 0
