@@ -161,26 +161,29 @@ def triggers() -> list[str]:
     return sorted(w for w in words if not any(v != w and v in w for v in words))
 
 
-def _spaces(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" ")))
+#: Characters that no normal form holds, put around matches.
+_OPEN, _CLOSE = "\x01", "\x02"
 
 
-def _intervals(norm: Column, pattern: Column) -> Column:
-    """Word intervals ``struct<start, stop>`` of the matches of a pattern."""
-    matches = F.regexp_extract_all(norm, pattern, F.lit(0))
-    between = F.transform(F.split(norm, pattern, -1), _spaces)
-    steps = F.arrays_zip(F.transform(matches, _spaces).alias("inner"),
-                         F.slice(between, F.lit(1), F.size(matches)).alias("outer"))
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
-    start = F.struct(F.lit(-1).alias("at"), empty.alias("found"))
+def _places(words: Column, mark: str, at_start: bool) -> Column:
+    """Numbers of the words that begin or end with a mark (the first element is what stands before the first space)."""
+    def place(word: Column, i: Column) -> Column:
+        return F.when(word.startswith(mark) if at_start else word.endswith(mark), i - 1)
+
+    return F.filter(F.transform(words, place), lambda i: i.isNotNull())
+
 
-    def advance(state: Column, step: Column) -> Column:
-        at = state["at"] + step["outer"]
-        stop = at + step["inner"] + 1
-        one = F.struct(at.alias("start"), stop.alias("stop"))
-        return F.struct((at + step["inner"]).alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
+def _intervals(norm: Column, pattern: Column) -> Column:
+    """Word intervals ``struct<start, stop>`` of the matches of a pattern.
 
-    return F.aggregate(steps, start, advance)["found"]
+    Matches are marked in the text and their words found by number, so the
+    cost grows with the text and not with matches times matches.
+    """
+    marked = F.regexp_replace(norm, pattern, F.lit(f"{_OPEN}$0{_CLOSE}"))
+    pairs = _let(F.split(marked, " "), lambda words: F.arrays_zip(
+        _places(words, _OPEN, True).alias("start"), _places(words, _CLOSE, False).alias("last")))
+    intervals = F.transform(pairs, lambda x: F.struct(x["start"].alias("start"), (x["last"] + 1).alias("stop")))
+    return F.when(F.rlike(norm, pattern), intervals).otherwise(F.array().cast("array<struct<start:int,stop:int>>"))
 
 
 def _labelled(intervals: Column, label: str) -> Column:
@@ -231,27 +234,55 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         "id", "n_words",
         F.coalesce(F.when(norm.isNotNull(), base), none.cast("array<struct<label:string,start:int,stop:int>>")).alias("base"),
         F.coalesce(F.when(norm.isNotNull(), found), none.cast(f"array<{kinds}>")).alias("detections"))
-    return listed.withColumn("kept", _unsuppressed(F.col("detections"), kinds)).withColumnRenamed("id", id_col)
-
-
-def _unsuppressed(detections: Column, kinds: str) -> Column:
-    """Detections not inside another one of the same or higher priority."""
-    top = 4
-    ordered = F.array_sort(F.transform(detections, lambda d: F.struct(
-        d["start"].alias("start"), (-d["stop"]).alias("before"), (-d["priority"]).alias("rank"), d.alias("d"))))
-    start = F.struct(
-        F.array(*[F.lit(-1)] * top).alias("reach"),  # furthest end so far of priority 1.., 2.., 3.., 4..
-        F.array().cast(f"array<{kinds}>").alias("kept"))
-
-    def advance(state: Column, item: Column) -> Column:
-        d = item["d"]
-        inside = F.element_at(state["reach"], d["priority"]) >= d["stop"]
-        reach = F.array(*[F.greatest(state["reach"][p - 1], F.when(d["priority"] >= p, d["stop"]).otherwise(-1))
-                          for p in range(1, top + 1)])
-        return F.struct(reach.alias("reach"),
-                        F.when(inside, state["kept"]).otherwise(F.concat(state["kept"], F.array(d))).alias("kept"))
-
-    return F.aggregate(ordered, start, advance)["kept"]
+    return _with_kept(listed, kinds).withColumnRenamed("id", id_col)
+
+
+#: Priorities go from 1 to TOP; detections are compared in blocks of so many.
+TOP, BLOCK = 4, 128
+
+
+def _with_kept(listed: DataFrame, kinds: str) -> DataFrame:
+    """Add ``kept``: detections not inside another one of the same or higher priority.
+
+    In order of start (longer and more important ones first) a detection is
+    inside if one before it, of its priority or more, reaches its end.  How
+    far those before reach is taken from the ends of whole blocks and, within
+    a block, from the few before, so the cost grows with the detections.
+    """
+    def reach(items: Column, priority: Column) -> Column:
+        ends = F.transform(items, lambda d: F.when(d["priority"] >= priority, d["stop"]))
+        return F.coalesce(F.array_max(ends), F.lit(-1))
+
+    def kept_of(detections: Column, numbers: Column) -> Column:
+        def block(b: Column) -> Column:
+            return F.slice(detections, b * BLOCK + 1, F.lit(BLOCK))
+
+        def outside(items: Column, before: Column) -> Column:
+            marked = F.transform(items, lambda d, i: F.struct(d.alias("d"), (F.greatest(
+                F.element_at(before, d["priority"]), reach(F.slice(items, F.lit(1), i), d["priority"])) < d["stop"]).alias("keep")))
+            return F.transform(F.filter(marked, lambda x: x["keep"]), lambda x: x["d"])
+
+        def furthest(ends: Column, b: Column) -> Column:
+            return _let(F.slice(ends, F.lit(1), b), lambda done: F.array(*[
+                F.coalesce(F.array_max(F.transform(done, lambda e: e[p])), F.lit(-1)) for p in range(TOP)]))
+
+        ends = F.transform(numbers, lambda b: _let(block(b), lambda items: F.array(
+            *[reach(items, F.lit(p)) for p in range(1, TOP + 1)])))
+        return _let(ends, lambda e: F.flatten(F.transform(numbers, lambda b: _let(
+            block(b), lambda items: _let(furthest(e, b), lambda before: outside(items, before))))))
+
+    ordered = F.transform(F.array_sort(F.transform("detections", lambda d: F.struct(
+        d["start"].alias("start"), (-d["stop"]).alias("before"), (-d["priority"]).alias("rank"), d.alias("d")))),
+        lambda x: x["d"])
+    kept = _let(ordered, lambda o: _let(
+        F.sequence(F.lit(0), F.floor((F.size(o) - 1) / BLOCK).cast("int")), lambda numbers: kept_of(o, numbers)))
+    none = F.array().cast(f"array<{kinds}>")
+    return listed.withColumn("kept", F.when(F.size("detections") > 0, kept).otherwise(none))
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def summary(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:

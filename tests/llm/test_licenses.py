@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from tarmac.llm import licenses
 from tests.llm.odd import LONG, ODD, empty_docs, odd_docs
@@ -101,3 +102,51 @@ def test_the_gate_lets_every_rule_through():
     texts = [p for _, _, p, _, _ in licenses.rules()]
     assert all("cc by" in p or any(w in p for w in licenses.triggers()) for p in texts)
     assert not {"cc", "mit", "isc", "public", "common"} & set(licenses.triggers())
+
+
+def detections_of(text):
+    """Every match of every rule whose keyword the normal form holds, as word intervals, and those that stay."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+    norm = " " + " ".join(words) + " "
+    found = []
+    for label, keyword, pattern, priority, confidence in licenses.rules():
+        if keyword in norm:
+            for m in re.finditer(f"(?<= )(?:{pattern})(?= )", norm):
+                start = norm[: m.start()].count(" ") - 1
+                found.append((label, priority, start, start + m[0].count(" ") + 1))
+    order = sorted(found, key=lambda d: (d[2], -d[3], -d[1], d))
+    kept = [d for i, d in enumerate(order) if not any(e[1] >= d[1] and e[3] >= d[3] for e in order[:i])]
+    return sorted(found), sorted(kept)
+
+
+def test_detections_and_suppression_equal_brute_force(spark):
+    rng = random.Random(12)
+    pieces = ["Licensed under the Apache License, Version 2.0", "MIT License", "all rights reserved", "copyright 2020",
+              "see the GNU General Public License", "version 3", "cc by", "CC BY-SA 4.0", "public domain", "and", "the",
+              "released into the public domain", "without warranty of any kind", "SPDX-License-Identifier: MPL-2.0",
+              "Permission is hereby granted, free of charge, to any person obtaining a copy", "proprietary license"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(n)) for n in [1, 2, 3, 5, 9] * 8 + [150, 400]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = 0
+    for r in licenses.scan(docs).collect():
+        found, kept = (sorted((d["label"], d["priority"], d["start"], d["stop"]) for d in r[c]) for c in ("detections", "kept"))
+        want_found, want_kept = detections_of(texts[r["doc_id"]])
+        assert found == want_found, texts[r["doc_id"]][:300]
+        # equal places of equal priority: which of the labels stays is a matter of their order
+        assert [(d[1], *d[2:]) for d in sorted(kept, key=lambda d: d[2:])] == [
+            (d[1], *d[2:]) for d in sorted(want_kept, key=lambda d: d[2:])]
+        seen = max(seen, len(found))
+    assert seen > 3 * licenses.BLOCK
+
+
+def test_cost_grows_with_the_matches(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "cc by " * n)], "doc_id long, text string")
+        at = time.perf_counter()
+        row = licenses.summary(licenses.scan(docs)).collect()[0]
+        assert row["n_base"] == n and row["last_word"] == 2 * n - 2 and row["labels"] == "cc-by"
+        return time.perf_counter() - at
+
+    seconds(10)
+    few, many = seconds(10_000), seconds(100_000)
+    assert many < max(20 * few, 60), (few, many)
