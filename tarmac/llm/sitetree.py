@@ -9,15 +9,17 @@ node's styles (presentation) and of its texts (content), 1 - sum(c/m *
 log_m c) over the counts c of equal ones.  The importance of a branch
 joins both: (1 - GAMMA**l) * presentation + GAMMA**l * content, with l the
 mean number of children and content averaged over the branch's texts.
-Branches seen often enough whose importance is low repeat on the site and
-are removed from each page.
+Branches seen often enough whose importance is low, in itself or against the
+most important branch of their host, repeat on the site and are removed from
+each page.
 
 The tree is a table (host, path), built by two additions with map-side
 sums, so a host with most of the pages is no larger a task than others.
-Elements that HTML marks as menus, forms and the like are left out whatever
-their importance.  So are those whose class words do, and forms, unless they
-hold the article or most of the page's text, or nothing else is left; an
-article or main element, where there is one, holds the text.
+Elements that HTML marks as menus, footers and the like are left out whatever
+their importance.  So are those that class words or roles mark, forms, field
+sets and dialogs, but only if they hold no article and at most half of the
+text of the article element (of the page, outside of it), and something else
+is left.  Readers' comments may hold more, if text stands before them.  An article or main element, where there is one, holds the text.
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ from pyspark.sql import functions as F
 from tarmac.llm.common import materialise
 
 GAMMA = 0.9
+#: Importance below which a branch goes, and share of its host's highest importance below which it goes.
 LOW = 0.35
+LOW_SHARE = 0.6
 #: Occurrences of a node on its host from which its importance counts.
 SUPPORT = 20
 #: Elements nested deeper take the path of their ancestor at this depth.
@@ -59,7 +63,9 @@ ENDS_ITSELF = {  # a start tag ends an open element of these, inside the given c
     "option": ({"option"}, {"select"}),
 }
 # Elements and class words that mark what is no part of the article.
-NOISE_TAGS = frozenset("head nav footer aside button menu dialog fieldset".split())
+NOISE_TAGS = frozenset("head nav footer aside button menu".split())
+#: Elements that may hold the article; they go as those that class words mark.
+MARKED_TAGS = frozenset("form fieldset dialog".split())
 NOISE_WORDS = frozenset(
     "ad ads adsense adv advert adverts advertisement advertising alert announcement banner breadcrumb breadcrumbs comment "
     "comments consent cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter "
@@ -69,6 +75,8 @@ NOISE_WORDS = frozenset(
 #: Of these, words of what readers wrote, which can be more than the article.
 COMMENT_WORDS = frozenset("comment comments disqus replies reply respond responses".split())
 #: The words after these in a class name say how something is laid out, not what it is.
+#: Class names with these words tell a state, not what an element is (``comments-open``).
+STATES = frozenset("allowed closed count disabled enabled free off on open".split())
 MODIFIERS = frozenset("with without has have no not hide show".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
 MAIN_TAGS = frozenset(("article", "main"))
@@ -108,20 +116,20 @@ class Page:
 
 
 def _marking(value: str) -> list[str]:
-    """Words of class names, without those after a modifier."""
+    """Words of class names, without those after a modifier and without names of states."""
     out: list[str] = []
     for name in value.split():
-        for word in _WORD.findall(name):
-            if word.lower() in MODIFIERS:
-                break
-            out.append(word.lower())
+        words = [w.lower() for w in _WORD.findall(name)]
+        if STATES.intersection(words[1:]):
+            continue
+        out += words[: next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))]
     return out
 
 
 def _describe(tag: str, attributes: str, main: bool) -> tuple[str, bool, set[str]]:
     """Path step of an element, whether it is no part of the article, and the words that mark it as such."""
     words: list[str] = []
-    marks = {"form"} if tag == "form" else set()
+    marks = {tag} if tag in MARKED_TAGS else set()
     noise = tag in NOISE_TAGS or (tag == "header" and not main)
     if "=" in attributes or "hidden" in attributes:
         for m in _ATTRIBUTE.finditer(attributes):
@@ -133,7 +141,8 @@ def _describe(tag: str, attributes: str, main: bool) -> tuple[str, bool, set[str
                     hits = NOISE_WORDS.intersection(found)
                     marks |= hits - {"header"} if main else hits
             elif name == "role":
-                noise = noise or value.lower() in NOISE_ROLES
+                if value.lower() in NOISE_ROLES and tag not in ("html", "body", *MAIN_TAGS):
+                    marks.add("role")
             elif name == "style":
                 noise = noise or bool(_HIDDEN.search(value))
             else:
@@ -250,14 +259,26 @@ def parse(source: str) -> Page:
 
 def _sort_out(page: Page, rows: list[tuple[str, str, bool, tuple[int, ...]]], comments: list[bool], holds: set[int]) -> None:
     """Blocks and noise of a page from its rows: which marked elements are no part of the article."""
-    sizes = [0] * len(comments)
-    for _, text, _, marks in rows:
+    sizes, inside = [0] * len(comments), [0] * len(comments)
+    told = [False] * len(comments)  # text other than headings stands before the element, outside of all marked ones
+    paragraph, entered = False, set()
+    for path, text, main, marks in rows:
         for mark in marks:
             sizes[mark] += len(text)
+            inside[mark] += len(text) * main
+            if mark not in entered:
+                entered.add(mark)
+                told[mark] = paragraph
+        paragraph = paragraph or not (marks or path[path.rfind("/") + 1:].split(".")[0] in HEADINGS)
     total = sum(len(text) for _, text, _, _ in rows)
-    out = {i for i in range(len(comments)) if comments[i] or (i not in holds and 2 * sizes[i] <= total)}
-    if any(main and not marks for _, _, main, marks in rows):
-        out = set(range(len(comments)))
+    article = sum(len(text) for _, text, main, _ in rows if main)
+    plain = any(main and not marks for _, _, main, marks in rows)  # an article that no marked element holds
+
+    def goes(i: int) -> bool:
+        small = 2 * inside[i] <= article if inside[i] else 2 * sizes[i] <= total
+        return (plain if i in holds else small) or (comments[i] and told[i])
+
+    out = {i for i in range(len(comments)) if goes(i)}
     if rows and all(out.intersection(marks) for *_, marks in rows):  # nothing left
         out = {i for i in out if comments[i]} if any(not any(comments[i] for i in marks) for *_, marks in rows) else set()
     for path, text, main, marks in rows:
@@ -358,9 +379,12 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         ((1 - fade) * F.col("presentation") + fade * F.col("content")).alias("importance"))
 
 
-def low_branches(tree: DataFrame, below: float = LOW, support: int = SUPPORT) -> DataFrame:
-    """``host, low``: paths of the branches to remove."""
-    return tree.filter((F.col("importance") < below) & (F.col("m") >= support)).groupBy("host").agg(
+def low_branches(tree: DataFrame, below: float = LOW, support: int = SUPPORT, share: float = LOW_SHARE) -> DataFrame:
+    """``host, low``: paths of the branches to remove, ``below`` or under a ``share`` of the host's most important one."""
+    often = tree.filter(F.col("m") >= support)
+    highest = often.groupBy("host").agg(F.max("importance").alias("highest"))
+    bound = F.greatest(F.lit(below), F.lit(share) * F.col("highest"))
+    return often.join(highest, "host").filter(F.col("importance") < bound).groupBy("host").agg(
         F.collect_set("path").alias("low"))
 
 

@@ -1,3 +1,8 @@
+import collections
+import math
+import random
+import re
+
 import pytest
 
 from tarmac.llm import sitetree
@@ -87,6 +92,83 @@ def test_marked_elements_around_the_article(source, want):
     assert text_of(source) == want
 
 
+PARAGRAPHS = [f"Paragraph {i} of the story goes on for some words." for i in range(12)]
+STORY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("source, before", [
+    ("<article><h1>Title</h1><div class='article-body share-enabled'>{}</div></article>", ["Title"]),
+    ("<article><h1>Title</h1><div class='entry-content alert-box-wrapper'>{}</div></article>", ["Title"]),
+    ("<main><h1>Title</h1><form id=aspnetForm>{}</form></main>", ["Title"]),
+    ("<main><h1>Title</h1><div class='notice-board'>{}</div></main>", ["Title"]),
+    ("<p>A short line.</p><div class='post comments-open'>{}</div>", ["A short line."]),
+    ("<h1>Title</h1><fieldset>{}</fieldset>", ["Title"]), ("<h1>Title</h1><div role=dialog>{}</div>", ["Title"]),
+    ("<body role=dialog>{}</body>", []), ("<h1>Title</h1><div class=comments>{}</div>", ["Title"]),
+    ("<article><div class=promo><p>Buy.</p></div>{}<div class='share'>Share it</div></article>", []),
+    ("<article>{}</article><div class=comments><p>" + "A very long comment by a reader. " * 60 + "</p></div>", []),
+    ("<article>{}<div class=comments><p>" + "A very long comment by a reader. " * 60 + "</p></div></article>", []),
+    ("<div class='widget'><p>w</p></div><div class='main-wrapper sidebar-layout'>{}<div class=sidebar>s</div></div>", []),
+])
+def test_an_article_in_marked_elements_stays(source, before):
+    assert text_of(source.format(STORY)) == "\n".join(before + PARAGRAPHS)
+
+
+def brute_importance(pages):
+    """``path: importance`` of one host by the definition, over its distinct pages."""
+    styles, contents, seen = {}, {}, set()
+    for _, _, source in pages:
+        page = sitetree.parse(source)
+        blocks = [(b[0], b[1]) for b in page.blocks] + page.noise
+        key = tuple(blocks)
+        if key in seen:
+            continue
+        seen.add(key)
+        for path, children in page.styles:
+            styles.setdefault(path, []).append(children)
+        for path, text in blocks:
+            contents.setdefault(path, []).append(text)
+
+    def diversity(values):
+        m = len(values)
+        return 1.0 if m == 1 else -sum(c / m * math.log(c / m, m) for c in collections.Counter(values).values())
+
+    out = {}
+    for path, seen_styles in styles.items():
+        below = [(len(t), diversity(t)) for p, t in contents.items() if p == path or p.startswith(path + "/")]
+        if path.count("/") and below:
+            content = sum(m * d for m, d in below) / sum(m for m, _ in below)
+            fade = sitetree.GAMMA ** (sum(map(len, seen_styles)) / len(seen_styles))
+            out[path] = (1 - fade) * diversity(seen_styles) + fade * content
+    return out
+
+
+def test_the_tree_equals_its_definition(spark):
+    ship(spark)
+    pages = [(i, "http://one.example.org/", source) for i, _, source in site(30)]
+    pages += [(100 + i, "http://one.example.org/x", f"<nav><ul><li>a{i % 3}</li><li>b</li></ul></nav><div><p>t{i}</p></div>")
+              for i in range(25)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["path"]: r["importance"] for r in sitetree.style_tree(frame).collect()}
+    want = brute_importance(pages)
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in got)
+
+
+def test_menus_fall_against_the_articles_of_their_host(spark):
+    """Menus whose links differ from page to page, on a host that no word list helps with."""
+    ship(spark)
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    pages = []
+    for i in range(60):
+        links = "".join(f"<li>{word()}</li>" for _ in range(6))
+        story = "".join(f"<p>{' '.join(word() for _ in range(20))}</p>" for _ in range(rng.randrange(2, 9)))
+        pages.append((i, "http://two.example.org/", f"<div class=top><ul>{links}</ul></div><div class=text>{story}</div>"))
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for r in sitetree.extract(frame).collect():
+        assert r["text"].split("\n") == re.findall(r"<p>(.*?)</p>", pages[r["page_id"]][2])
+
+
 @pytest.mark.parametrize("source, want", [
     ("<p>a</p><svg class=icon/><p>b</p>", "a\nb"), ("<p>a <math/> b</p>", "a b"),
     ("<p>a</p><svg/><p>b</p><svg><title>t</title></svg><p>c</p>", "a\nb\nc"),
