@@ -26,7 +26,11 @@ from tarmac.functions.text import cause_label, list_text
 from tarmac.operators.baseline import anomalous, difference, rank_in_group, window_baseline
 from tarmac.operators.joins import left_join
 from tarmac.operators.topk import ordered_list, top_k_per_group, unpivot_columns
-from tarmac.schema import BAND_HIGH_ABOVE, BAND_LOW_BELOW, CAUSES, TOP_CAUSES
+from tarmac.schema import BAND_HIGH_ABOVE, BAND_LOW_BELOW, CAUSES, Q1_COLUMNS, Q2_COLUMNS, Q3_COLUMNS, TOP_CAUSES
+
+CARRIER, AIRPORT, FLIGHTS, LEAST, MOST, MEAN, RATE, MONTH = Q1_COLUMNS
+_, _, BAND_LOW, BAND_MID, BAND_HIGH, CAUSE_LIST = Q2_COLUMNS
+_, COMPANY, _, DEP_MEAN, ARR_MEAN, _, DIFFERENCE, RANK = Q3_COLUMNS
 
 
 def flown():
@@ -49,26 +53,26 @@ def carrier_stats(df: DataFrame, rate_scale: int = 2, sort: bool = True) -> Data
     """
     arr = F.col("arr_delay")
     out = (df.groupBy("op_unique_carrier", "origin", "month")
-             .agg(F.count(F.lit(1)).alias("numero_voli"),
-                  min_where(arr, flown() & (arr >= 1.0), 0.0).alias("ritardo_minimo"),
-                  max_where(arr, flown(), 0.0).alias("ritardo_massimo"),
-                  exact_clipped_mean(arr).alias("ritardo_medio"),
-                  rate(cancelled(), rate_scale).alias("tasso_cancellazione"))
-             .select(F.col("op_unique_carrier").alias("codice"),
-                     F.col("origin").alias("aeroporto_partenza"),
-                     "numero_voli", "ritardo_minimo", "ritardo_massimo", "ritardo_medio",
-                     "tasso_cancellazione", F.col("month").alias("mese")))
-    return out.orderBy("codice", "aeroporto_partenza", "mese") if sort else out
+             .agg(F.count(F.lit(1)).alias(FLIGHTS),
+                  min_where(arr, flown() & (arr >= 1.0), 0.0).alias(LEAST),
+                  max_where(arr, flown(), 0.0).alias(MOST),
+                  exact_clipped_mean(arr).alias(MEAN),
+                  rate(cancelled(), rate_scale).alias(RATE))
+             .select(F.col("op_unique_carrier").alias(CARRIER),
+                     F.col("origin").alias(AIRPORT),
+                     FLIGHTS, LEAST, MOST, MEAN,
+                     RATE, F.col("month").alias(MONTH)))
+    return out.orderBy(CARRIER, AIRPORT, MONTH) if sort else out
 
 
 # --------------------------------------------------------------------- Q2
 def band_aggs(dep: str = "dep_delay") -> list:
     """Flown flights per departure-delay band; null delay in none."""
     d = F.col(dep)
-    return [count_where(flown() & (d < BAND_LOW_BELOW)).alias("numero_ritardi_basso"),
+    return [count_where(flown() & (d < BAND_LOW_BELOW)).alias(BAND_LOW),
             count_where(flown() & d.between(BAND_LOW_BELOW, BAND_HIGH_ABOVE))
-            .alias("numero_ritardi_medio"),
-            count_where(flown() & (d > BAND_HIGH_ABOVE)).alias("numero_ritardi_alto")]
+            .alias(BAND_MID),
+            count_where(flown() & (d > BAND_HIGH_ABOVE)).alias(BAND_HIGH)]
 
 
 def cause_aggs() -> list:
@@ -76,7 +80,7 @@ def cause_aggs() -> list:
     return [F.sum(F.when(flown(), F.col(c))).alias(c) for c in CAUSES]
 
 
-MEAN_COLUMNS = ["ritardo_medio_partenza", "ritardo_medio_arrivo"]
+MEAN_COLUMNS = [DEP_MEAN, ARR_MEAN]
 
 
 def mean_aggs() -> list:
@@ -127,23 +131,23 @@ def airport_month_finish(agg: DataFrame, k: int = TOP_CAUSES, sort: bool = True)
     """Q2 from its (origin, month) aggregate: top-k causes and the text."""
     # per-group values carried through the cause rows (constant per group;
     # regrouping on them needs no exchange: the partitioning is on the keys)
-    carry = ["numero_ritardi_basso", "numero_ritardi_medio", "numero_ritardi_alto"]
+    carry = [BAND_LOW, BAND_MID, BAND_HIGH]
     carry += [c for c in MEAN_COLUMNS if c in agg.columns]
     long = causes_long(agg, keep=carry, keep_empty=True)
     top = top_k_per_group(long, ["origin", "month"], cause_order(), k)
     out = (top.groupBy("origin", "month", *carry)
               .agg(ordered_list("ranking", cause_label("causa", "minuti_totali"))
                    .alias("_causes"))
-              .select(F.col("origin").alias("aeroporto_partenza"), F.col("month").alias("mese"),
-                      *carry, list_text("_causes").alias("cause_maggiori")))
-    return out.orderBy("aeroporto_partenza", "mese") if sort else out
+              .select(F.col("origin").alias(AIRPORT), F.col("month").alias(MONTH),
+                      *carry, list_text("_causes").alias(CAUSE_LIST)))
+    return out.orderBy(AIRPORT, MONTH) if sort else out
 
 
 def cause_lists(agg: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
     """The list text of the top-k causes per airport and month; none without flown flights."""
     top = top_k_per_group(causes_long(agg), ["origin", "month"], cause_order(), k)
     return top.groupBy("origin", "month").agg(
-        list_text(ordered_list("ranking", cause_label("causa", "minuti_totali"))).alias("cause_maggiori"))
+        list_text(ordered_list("ranking", cause_label("causa", "minuti_totali"))).alias(CAUSE_LIST))
 
 
 def airport_month_join(agg: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
@@ -153,9 +157,9 @@ def airport_month_join(agg: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
     both sides read it.  Months without flown flights have no list and stay
     with ``[]``; so do rows of an unknown airport, since null matches nothing.
     """
-    bands = agg.select("origin", "month", "numero_ritardi_basso", "numero_ritardi_medio", "numero_ritardi_alto")
+    bands = agg.select("origin", "month", BAND_LOW, BAND_MID, BAND_HIGH)
     joined = left_join(bands, cause_lists(agg, k), ["origin", "month"])
-    return joined.withColumnsRenamed({"origin": "aeroporto_partenza", "month": "mese"}).fillna("[]", "cause_maggiori")
+    return joined.withColumnsRenamed({"origin": AIRPORT, "month": MONTH}).fillna("[]", CAUSE_LIST)
 
 
 # --------------------------------------------------------------------- Q3
@@ -163,12 +167,12 @@ def pair_aggregate(df: DataFrame, rate_scale: int = 2) -> DataFrame:
     """Per (origin, carrier): flights, exact departure sums, rounded means."""
     dep, arr = F.col("dep_delay"), F.col("arr_delay")
     return (df.groupBy("origin", "op_unique_carrier")
-              .agg(F.count(F.lit(1)).alias("numero_voli"),
+              .agg(F.count(F.lit(1)).alias(FLIGHTS),
                    exact_sum(dep, flown()).alias("_dep_sum"),
                    F.count(F.when(flown(), dep)).alias("_dep_n"),
-                   exact_mean_where(dep, flown()).alias("ritardo_medio_partenza"),
-                   exact_mean_where(arr, flown()).alias("ritardo_medio_arrivo"),
-                   rate(cancelled(), rate_scale).alias("tasso_cancellazione")))
+                   exact_mean_where(dep, flown()).alias(DEP_MEAN),
+                   exact_mean_where(arr, flown()).alias(ARR_MEAN),
+                   rate(cancelled(), rate_scale).alias(RATE)))
 
 
 def carrier_vs_airport(df: DataFrame, rate_scale: int = 2, sort: bool = True) -> DataFrame:
@@ -186,14 +190,14 @@ def carrier_vs_airport(df: DataFrame, rate_scale: int = 2, sort: bool = True) ->
 def carrier_vs_airport_finish(pairs: DataFrame, sort: bool = True) -> DataFrame:
     """Q3 from its (origin, carrier) aggregate: airport baseline and rank."""
     based = window_baseline(pairs, ["origin"], "_dep_sum", "_dep_n", "_airport_mean", mean=exact_mean)
-    ranked = rank_in_group(based, ["origin"], "ritardo_medio_partenza", "classifica")
+    ranked = rank_in_group(based, ["origin"], DEP_MEAN, RANK)
     out = ranked.select(
-        F.col("origin").alias("aeroporto_partenza"),
-        F.col("op_unique_carrier").alias("compagnia"),
-        "numero_voli", "ritardo_medio_partenza", "ritardo_medio_arrivo", "tasso_cancellazione",
-        difference("ritardo_medio_partenza", "_airport_mean").alias("differenza"),
-        "classifica")
-    return out.orderBy("aeroporto_partenza", "compagnia", "classifica") if sort else out
+        F.col("origin").alias(AIRPORT),
+        F.col("op_unique_carrier").alias(COMPANY),
+        FLIGHTS, DEP_MEAN, ARR_MEAN, RATE,
+        difference(DEP_MEAN, "_airport_mean").alias(DIFFERENCE),
+        RANK)
+    return out.orderBy(AIRPORT, COMPANY, RANK) if sort else out
 
 
 def airport_mean(df: DataFrame) -> DataFrame:
@@ -246,18 +250,18 @@ def cancel_causes(df: DataFrame, k: int = TOP_CAUSES) -> DataFrame:
 def _top_codes(counts: DataFrame, k: int) -> DataFrame:
     return top_k_per_group(counts, ["origin", "month"],
                            [F.col("numero_cancellazioni").desc(),
-                            F.col("cancellation_code").asc()], k, "classifica")
+                            F.col("cancellation_code").asc()], k, RANK)
 
 
 def anomalous_pairs(df: DataFrame, threshold: float = 10.0) -> DataFrame:
     """Q3 rows whose rounded difference to the airport is >= threshold."""
-    return anomalous(carrier_vs_airport(df, sort=False), "differenza", threshold)
+    return anomalous(carrier_vs_airport(df, sort=False), DIFFERENCE, threshold)
 
 
 # ------------------------------------------------ all reports from one scan
 #: Of ``flight_facts``: columns that add up, and the two that do not.
-_ADDED = ["voli", "flown", "gone", "late_sum", "dep_sum", "dep_n", "arr_sum", "arr_n", "numero_ritardi_basso",
-          "numero_ritardi_medio", "numero_ritardi_alto", *CAUSES]
+_ADDED = ["voli", "flown", "gone", "late_sum", "dep_sum", "dep_n", "arr_sum", "arr_n", BAND_LOW,
+          BAND_MID, BAND_HIGH, *CAUSES]
 
 
 def flight_facts(df: DataFrame) -> DataFrame:
@@ -292,11 +296,11 @@ def carrier_stats_of(facts: DataFrame, rate_scale: int = 2, sort: bool = True) -
     """Q1 from ``flight_facts``."""
     none = F.lit(0.0)
     out = _rolled(facts, "op_unique_carrier", "origin", "month").select(
-        F.col("op_unique_carrier").alias("codice"), F.col("origin").alias("aeroporto_partenza"),
-        F.col("voli").alias("numero_voli"), F.coalesce("first_late", none).alias("ritardo_minimo"),
-        F.coalesce("last_arr", none).alias("ritardo_massimo"), exact_mean("late_sum", "voli").alias("ritardo_medio"),
-        rate_of("gone", "voli", rate_scale).alias("tasso_cancellazione"), F.col("month").alias("mese"))
-    return out.orderBy("codice", "aeroporto_partenza", "mese") if sort else out
+        F.col("op_unique_carrier").alias(CARRIER), F.col("origin").alias(AIRPORT),
+        F.col("voli").alias(FLIGHTS), F.coalesce("first_late", none).alias(LEAST),
+        F.coalesce("last_arr", none).alias(MOST), exact_mean("late_sum", "voli").alias(MEAN),
+        rate_of("gone", "voli", rate_scale).alias(RATE), F.col("month").alias(MONTH))
+    return out.orderBy(CARRIER, AIRPORT, MONTH) if sort else out
 
 
 def airport_month_report_of(facts: DataFrame, k: int = TOP_CAUSES, sort: bool = True,
@@ -311,8 +315,8 @@ def airport_month_report_of(facts: DataFrame, k: int = TOP_CAUSES, sort: bool =
 def carrier_vs_airport_of(facts: DataFrame, rate_scale: int = 2, sort: bool = True) -> DataFrame:
     """Q3 from ``flight_facts``."""
     pairs = _rolled(facts, "origin", "op_unique_carrier").select(
-        "origin", "op_unique_carrier", F.col("voli").alias("numero_voli"), F.col("dep_sum").alias("_dep_sum"),
-        F.col("dep_n").alias("_dep_n"), *_means_of_facts(), rate_of("gone", "voli", rate_scale).alias("tasso_cancellazione"))
+        "origin", "op_unique_carrier", F.col("voli").alias(FLIGHTS), F.col("dep_sum").alias("_dep_sum"),
+        F.col("dep_n").alias("_dep_n"), *_means_of_facts(), rate_of("gone", "voli", rate_scale).alias(RATE))
     return carrier_vs_airport_finish(pairs, sort)
 
 

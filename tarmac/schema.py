@@ -50,35 +50,20 @@ RUNLOG_COLUMNS = ["percentuale", "motore", "analisi", "tempo_secondi", "status"]
 
 CAUSE_COLUMNS = list(CAUSES)
 
-RAW_SCHEMA = T.StructType([
-    T.StructField("year", T.LongType()),
-    T.StructField("month", T.LongType()),
-    T.StructField("fl_date", T.StringType()),
-    T.StructField("op_unique_carrier", T.StringType()),
-    T.StructField("op_carrier_fl_num", T.DoubleType()),
-    T.StructField("origin", T.StringType()),
-    T.StructField("dest", T.StringType()),
-    T.StructField("dep_delay", T.DoubleType()),
-    T.StructField("arr_delay", T.DoubleType()),
-    T.StructField("cancelled", T.LongType()),
-    T.StructField("diverted", T.LongType()),
-    T.StructField("cancellation_code", T.StringType()),
-    *[T.StructField(c, T.LongType()) for c in CAUSE_COLUMNS],
-])
+_TYPES = {T.StringType(): ["fl_date", "op_unique_carrier", "origin", "dest", "cancellation_code"],
+          T.DoubleType(): ["op_carrier_fl_num", "dep_delay", "arr_delay"]}
+_TYPE_OF = {c: kind for kind, columns in _TYPES.items() for c in columns}
 
-CLEAN_SCHEMA = T.StructType([
-    T.StructField("month", T.LongType()),
-    T.StructField("fl_date", T.TimestampNTZType()),
-    T.StructField("op_unique_carrier", T.StringType()),
-    T.StructField("op_carrier_fl_num", T.DoubleType()),
-    T.StructField("origin", T.StringType()),
-    T.StructField("dest", T.StringType()),
-    T.StructField("dep_delay", T.DoubleType()),
-    T.StructField("arr_delay", T.DoubleType()),
-    T.StructField("cancelled", T.LongType()),
-    T.StructField("cancellation_code", T.StringType()),
-    *[T.StructField(c, T.LongType()) for c in CAUSE_COLUMNS],
-])
+
+def _schema(columns: list[str], **other: T.DataType) -> T.StructType:
+    """Columns with their types: whole numbers where nothing else is said."""
+    return T.StructType([T.StructField(c, other.get(c, _TYPE_OF.get(c, T.LongType()))) for c in columns])
+
+
+# The raw extract has two more columns, which cleaning uses or drops.
+_AFTER_CANCELLED = TARGET_COLUMNS.index("cancelled") + 1
+RAW_SCHEMA = _schema(["year", *TARGET_COLUMNS[:_AFTER_CANCELLED], "diverted", *TARGET_COLUMNS[_AFTER_CANCELLED:]])
+CLEAN_SCHEMA = _schema(TARGET_COLUMNS, fl_date=T.TimestampNTZType())
 
 # Column list of a table DDL.
 CLEAN_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CLEAN_SCHEMA)
