@@ -10,14 +10,19 @@ depends on a few symbols around it and not on its offset, so equal
 substrings get equal names in their interior.  A name is a hash of the
 phrase's symbols.
 
-The fingerprint is a similarity sketch of the set of names of the third
-level and above (about 30 bytes and more each); texts with few of them add
-the lower levels.  All of it runs on whole batches of texts as arrays.
-
-``edited_fingerprints`` needs each document's successor in id order.  The
-ids alone are ranged first; the bounds of the ranges, one per partition,
-reach the driver.  Then every text moves once, to its range, where sorted
-rows stream past; the first row of the next range follows as an extra row.
+The fingerprint holds two similarity sketches, one of the names of the
+levels below the third (about 30 bytes and less each), one of all others,
+and how many names the second one has.  Two texts are compared by both: the
+more long names the poorer of them has, from ``FEW`` to ``MANY``, the more
+weight theirs have.  No text changes its sketches at some length.  All of it
+runs on whole batches of texts as arrays.
+
+``edited_fingerprints`` needs each document's successor in id order.  Ids,
+with a hash of the text and the row's number for equal ones, are ranged
+first; the bounds of the ranges, one per partition, reach the driver.  Then
+every text moves once, to its range, where sorted rows stream past; the
+first row of the next range follows as an extra row.  Rows of one id, or
+without an id, may fill many ranges.
 """
 
 from __future__ import annotations
@@ -37,9 +42,9 @@ from tarmac.llm.minhash import sketches
 
 COORDINATES = 64
 LEVELS = 6
-#: Levels below this one count only for texts with fewer than FEW names above.
+#: First level of the second sketch, and the names there from which, and above which wholly, it counts.
 FIRST_LEVEL = 3
-FEW = 16
+FEW, MANY = 8, 32
 #: Text bytes parsed at once in a task.
 CHUNK_BYTES = 1 << 20
 _LOWEST = -(1 << 63)
@@ -104,32 +109,36 @@ def parse_level(symbols: np.ndarray, offsets: np.ndarray, level: int) -> tuple[n
 
 
 def fingerprints(offsets: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Sketch (texts x COORDINATES, uint16) of each text; undefined for empty texts."""
+    """Two sketches (texts x 2 COORDINATES) and the number of long names, up to ``MANY``, of each text, as uint16."""
     n = len(offsets) - 1
     symbols, bounds = raw, offsets
-    levels = []
+    low, high = ([], []), ([], [])
     for level in range(1, LEVELS + 1):
         above = np.diff(bounds) > (level > 1)  # a text that is one phrase already has no further names
         symbols, bounds = parse_level(symbols, bounds, level)
-        levels.append((symbols, bounds, above))
-    few = sum(np.diff(b) * above for _, b, above in levels[FIRST_LEVEL - 1:]) < FEW
-    owners, names = [], []
-    for level, (found, b, above) in enumerate(levels, start=1):
-        owner = np.repeat(np.arange(n), np.diff(b))
-        wanted = (above & few if level < FIRST_LEVEL else above)[owner]
+        owner = np.repeat(np.arange(n), np.diff(bounds))
+        wanted = above[owner]
+        owners, names = low if level < FIRST_LEVEL else high
         owners.append(owner[wanted])
-        names.append(found[wanted])
-    owners, names = np.concatenate(owners), np.concatenate(names)
-    order = np.argsort(owners, kind="stable")
-    counts = np.bincount(owners, minlength=n)
-    got = sketches(names[order], np.concatenate([[0], np.cumsum(counts)]), COORDINATES)
-    return (W.mix(got) >> np.uint64(48)).astype(np.uint16)
+        names.append(symbols[wanted])
+    out = np.zeros((n, 2 * COORDINATES + 1), np.uint16)
+    for i, (owners, names) in enumerate((low, high)):
+        owners, names = np.concatenate(owners), np.concatenate(names)
+        counts = np.bincount(owners, minlength=n)
+        got = sketches(names[np.argsort(owners, kind="stable")], np.concatenate([[0], np.cumsum(counts)]), COORDINATES)
+        got = (W.mix(got) >> np.uint64(48)).astype(np.uint16)
+        out[:, i * COORDINATES: (i + 1) * COORDINATES] = np.where(counts[:, None] > 0, got, 0)
+    out[:, -1] = np.minimum(counts, MANY)
+    return out
 
 
 def _likeness(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """Share of common names, 2J / (1 + J), from the equal coordinates; two empty texts are alike."""
-    j = (a == b).mean(axis=1)
-    out = 2 * j / (1 + j)
+    same = a[:, :-1] == b[:, :-1]
+    j = np.stack([same[:, :COORDINATES].mean(axis=1), same[:, COORDINATES:].mean(axis=1)])
+    low, high = 2 * j / (1 + j)
+    weight = np.clip((np.minimum(a[:, -1], b[:, -1]).astype(float) - FEW) / (MANY - FEW), 0, 1)
+    out = weight * high + (1 - weight) * low
     empty_a, empty_b = size_a == 0, size_b == 0
     return np.where(empty_a | empty_b, (empty_a & empty_b).astype(float), out)
 
@@ -194,26 +203,30 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    keyed = keyed.withColumns({"k": F.coalesce("id", F.lit(_LOWEST)), "h": F.xxhash64("text")})
+    keyed = keyed.withColumns({"k": F.coalesce("id", F.lit(_LOWEST)), "h": F.xxhash64("text"),
+                               "r": F.monotonically_increasing_id()})
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("k"))
-    bounds = sorted(r["low"] for r in ids.repartitionByRange(parts, "k").groupBy(F.spark_partition_id()).agg(
-        F.min("k").alias("low")).collect())  # one number per partition
+    bounds = sorted(tuple(r["low"]) for r in keyed.select("k", "h", "r").repartitionByRange(parts, "k", "h", "r").groupBy(
+        F.spark_partition_id()).agg(F.min(F.struct("k", "h", "r")).alias("low")).collect())  # three numbers per partition
     if not bounds:
         return spark.createDataFrame([], _SCHEMA).withColumnRenamed("id", id_col)
     cuts = bounds[1:]
 
     @F.pandas_udf("int")
-    def range_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(np.array(cuts, np.int64), k.to_numpy(np.int64), side="right").astype(np.int32))
-
-    before = {k: bisect.bisect_right(cuts, k) - 1 if k != bounds[0] else len(bounds) - 1 for k in bounds}
-    place = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("k"))
-    heads = keyed.filter(F.col("k").isin(bounds)).groupBy("k").agg(F.min_by(F.struct("id", "text"), "h").alias("head"))
-    extra = heads.select("k", F.lit(0).cast("long").alias("h"), "head.id", "head.text",
-                         place.cast("int").alias("part"), F.lit(True).alias("extra"))
-    own = keyed.select("k", "h", "id", "text", range_of("k").alias("part"), F.lit(False).alias("extra"))
-    moved = own.unionByName(extra).repartitionById(len(bounds), "part").sortWithinPartitions("part", "extra", "k", "h")
+    def range_of(k: pd.Series, h: pd.Series, r: pd.Series) -> pd.Series:
+        ids = np.array([c[0] for c in cuts], np.int64)
+        at = np.searchsorted(ids, k.to_numpy(np.int64), side="left")
+        for i in np.flatnonzero(np.append(ids, _LOWEST)[at] == k.to_numpy(np.int64)):  # ids that begin a range
+            at[i] = bisect.bisect_right(cuts, (k[i], h[i], r[i]))
+        return pd.Series(at.astype(np.int32))
+
+    # the first row of a range follows the range before; the first of all follows the last
+    places = [(*low, (i - 1) % len(bounds)) for i, low in enumerate(bounds)]
+    places = spark.createDataFrame(places, "k long, h long, r long, part int")
+    extra = keyed.join(F.broadcast(places), ["k", "h", "r"]).select(
+        "k", "h", "r", "id", "text", "part", F.lit(True).alias("extra"))
+    own = keyed.select("k", "h", "r", "id", "text", range_of("k", "h", "r").alias("part"), F.lit(False).alias("extra"))
+    moved = own.unionByName(extra).repartitionById(len(bounds), "part").sortWithinPartitions("part", "extra", "k", "h", "r")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int | None, str]] = []

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarmac.llm import parsing
 from tarmac.llm.common import ship
@@ -79,6 +80,39 @@ def test_odd_rows_and_empty_table(spark):
     assert [r["near_next"] for r in parsing.edited_fingerprints(one).collect()] == [1.0]
 
 
+def test_likeness_has_no_jump_at_any_length():
+    """The first three quarters stay: about 0.75 of the names are shared, whatever the length."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeinorstdl") for _ in range(rng.randrange(2, 9))) for _ in range(900)]
+    got = {}
+    for size in range(40, 801):
+        text, other = ((" ".join(rng.choice(words) for _ in range(400)))[:size].encode() for _ in range(2))
+        k = size // 4
+        edited = text[: size - k] + other[:k]
+        sketch, sizes = parsing._of_texts([text, edited, other])
+        got[size] = parsing._likeness(sketch[:1], sketch[1:2], sizes[:1], sizes[1:2])[0]
+        assert parsing._likeness(sketch[:1], sketch[:1], sizes[:1], sizes[:1])[0] == 1
+        if size >= 200:
+            assert parsing._likeness(sketch[:1], sketch[2:], sizes[:1], sizes[2:])[0] < 0.5
+    assert min(got.values()) >= 0.4, min(got, key=got.get)
+    means = [np.mean([got[s] for s in range(a, a + 60)]) for a in range(40, 740, 60)]
+    assert min(means) > 0.6 and max(abs(a - b) for a, b in zip(means, means[1:])) < 0.1, means
+
+
+def test_many_rows_of_one_id_fill_many_ranges(spark):
+    ship(spark)
+    rows = [(7, f"text number {i} of the same id, with some words of its own {i * i}") for i in range(200)]
+    rows += [(None, f"no id {i}") for i in range(100)] + [(7, "equal rows")] * 150 + [(9, "the last one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = parsing.edited_fingerprints(docs)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    got = got.collect()
+    assert len(got) == len(rows) and max(sizes) < len(rows) / 3
+    assert sorted(r["n_chars"] for r in got) == sorted(len(t) for _, t in rows)
+    last = [r for r in got if r["doc_id"] == 9]
+    assert len(last) == 1 and last[0]["n_chars"] == 12
+
+
 def test_fingerprints_do_not_depend_on_the_batch():
     texts = [b"x", b"", b"The quick brown fox", "é".encode() * 30, b"ab " * 40, LONG.encode(), b"x"]
     whole = parsing._of_texts(texts)[0]
