@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,27 @@ def materialise(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def free_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query go when it has ended.
+
+    For a chain of steps that each write a table: what comes next reads the
+    table, so the disk holds the files of one step at a time.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def smallest(frame: DataFrame, hashed: Column, tie: str, limit: int) -> DataFrame:
     """The ``limit`` rows with the smallest 64-bit hash (ties: smallest ``tie``).
 
