@@ -71,6 +71,13 @@ def materialise(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Take the files of a table that ``materialise`` wrote away; nothing may read it any more."""
+    folders = {os.path.dirname(f) for f in table.inputFiles()}
+    for folder in folders:
+        table.sparkSession.range(0).write.mode("overwrite").parquet(folder)
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
