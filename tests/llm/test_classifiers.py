@@ -80,3 +80,20 @@ def test_features_of_single_texts_equal_those_of_a_batch():
     batch = quality.features(*W.buffers(pa.array(texts)))
     for i, t in enumerate(texts):
         assert np.allclose(batch[i], quality.features(*W.buffers(pa.array([t])))[0])
+
+
+def test_every_labelled_row_trains(spark, monkeypatch):
+    ship(spark)
+    ids = spark.range(6400).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    # the toxic word of the labels that come last by the hash of the id is another one than that of the first 2,500
+    order = [r["doc_id"] for r in ids.filter("toxic = 1").orderBy(F.xxhash64("doc_id", F.lit(17))).collect()]
+    late = spark.createDataFrame([(i,) for i in order[2500:]], "doc_id long").withColumn("late", F.lit(True))
+    word = F.when(F.col("toxic") == 0, "").when(F.col("late"), " zlobnik").otherwise(" grobnik")
+    docs = ids.join(late, "doc_id", "left").select("doc_id", F.concat(F.lit("the river runs to the sea"), word).alias("text"))
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 1600, raising=False)  # several shards
+    model = toxicity.fit(docs, ids)
+    got = {r["text"].split()[-1]: r["s"] for r in docs.withColumn("s", toxicity.scorer(docs, model)(F.col("text"))).collect()}
+    assert got["sea"] < toxicity.CUT <= min(got["grobnik"], got["zlobnik"])
+    # repeated rows of documents and of labels count once
+    rows = toxicity.labelled(docs.union(docs), ids.union(ids), "toxic")
+    assert rows.count() == rows.select("doc_id").distinct().count() == 6400 and rows.select("_shard").distinct().count() > 2
