@@ -135,3 +135,21 @@ def test_split_makes_one_file_of_small_values_and_several_of_a_hot_one(spark, tm
     assert files.pop("month=1") >= 4 and len(files) == 40
     assert sum(files.values()) <= 60 and min(files.values()) == 1  # 480 without the exchange
     assert spark.read.parquet(path).count() == 90_000
+
+
+def test_digests_are_added_up_by_hash_and_cuts_need_few_passes(spark, monkeypatch):
+    rows = spark.range(3000).select((F.col("id") % 2500).alias("a"), F.lit(None).cast("string").alias("b"))
+    df = IO.scratch_table(rows.repartition(4), "test_digests")
+    plan = volumes.digests(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    same = IO.scratch_table(volumes.digests(df), "test_digests")
+    assert same.filter("_m > 1 AND _place IS NULL OR _m = 1 AND _place IS NOT NULL").count() == 0
+    want = {}
+    for limit in (100_000, 0):  # 0: every class is divided down to one score
+        monkeypatch.setattr(volumes, "CLASS_ROWS", limit, raising=False)
+        passes = []
+        monkeypatch.setattr(volumes, "_histogram", lambda r, v, f=volumes._histogram: passes.append(1) or f(r, v))
+        want[limit] = volumes._last_taken(same, 3000)
+        assert bool(passes) == (limit == 0)
+        monkeypatch.undo()
+    assert want[0] == want[100_000] and volumes.sample_volume(df, 30, same=same).count() == 900
