@@ -195,10 +195,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
+def _met(entries: DataFrame) -> DataFrame:
+    """``key, id, n`` of the keys that several ids share, with the rows of a key.
+
+    Nearly every key is of one row, so rows are counted where they meet:
+    counts made before the exchange would be as many as the rows, and held
+    by every task.
+    """
+    entries = entries.repartition("key")
+    keys = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
+    return entries.join(keys.filter("low < high").select("key", "n"), "key")
+
+
 def _links(spark, entries: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Linked pairs ``a, b`` that join all documents linked through buckets ``key, id``."""
-    keys = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
-    buckets = materialise(spark, entries.join(keys.filter("low < high").select("key", "n"), "key"), "buckets")
+    buckets = materialise(spark, _met(entries), "buckets")
     degree = buckets.groupBy("id").agg(F.sum("n").alias("degree"))
     top = buckets.join(degree, "id").groupBy("key").agg(
         F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("top"))

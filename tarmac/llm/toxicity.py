@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import words as W
-from tarmac.llm.common import discard, free_shuffles, materialise, whole_text
+from tarmac.llm.common import discard, free_shuffles, long_rows, materialise, whole_text
 
 BUCKETS = 1 << 16  # the upper 16 bits of a hash
 DIM = 16
@@ -522,7 +522,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     alike.
     """
     spark = docs.sparkSession
-    with free_shuffles(spark):
+    with free_shuffles(spark), long_rows(spark):
         rows = labelled(docs, labels, "toxic", id_col, text_col)
         batches = materialise(spark, prepared(rows), "toxic-batches")
         n, positive = (int(c or 0) for c in batches.agg(F.sum("n"), F.sum("positive")).first())

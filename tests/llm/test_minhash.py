@@ -115,3 +115,13 @@ def test_components_of_long_chains(spark):
     roots = {r["node"]: r["root"] for r in got.collect()}
     assert all(roots[i] == 0 for i in range(1, 301)) and roots[500] == 499 and 0 not in roots
     assert components(got.filter(F.lit(False)), "node", "root").count() == 0
+
+
+def test_bucket_keys_are_not_counted_before_they_meet(spark):
+    entries = spark.createDataFrame([(1, 7), (2, 7), (2, 8), (3, 9), (3, 9), (4, 7)], "id long, key long")
+    met = minhash._met(entries)
+    assert sorted(tuple(r) for r in met.select("key", "id", "n").collect()) == [(7, 1, 3), (7, 2, 3), (7, 4, 3)]
+    plan = met._jdf.queryExecution().sparkPlan().toString()
+    kinds = [line.strip(" :+-*()0123456789").split("(")[0].split()[0] for line in plan.splitlines() if line.strip()]
+    at = max(i for i, k in enumerate(kinds) if k == "HashAggregate")
+    assert kinds.count("HashAggregate") == 2 and "Exchange" in kinds[at:]  # both below the join, above the exchange
