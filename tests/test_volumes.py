@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import volumes
 from tarmac.plans import catalog as C
 from tarmac.sources import io as IO
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, flight_rows
 
 
 @pytest.fixture(scope="module")
@@ -153,3 +153,12 @@ def test_digests_are_added_up_by_hash_and_cuts_need_few_passes(spark, monkeypatc
         assert bool(passes) == (limit == 0)
         monkeypatch.undo()
     assert want[0] == want[100_000] and volumes.sample_volume(df, 30, same=same).count() == 900
+
+
+def test_the_query_builds_every_volume(spark, monkeypatch):
+    # 40 copies each of three rows, one without a delay, and ten rows that occur once
+    rows = [{"origin": "ABE", "arr_delay": 3.0}, {"origin": "ATL", "arr_delay": 5.0}, {"origin": "BWI", "arr_delay": None}] * 40
+    rows += [{"origin": "CLT", "arr_delay": 1.0, "op_carrier_fl_num": float(i)} for i in range(10)]
+    monkeypatch.setattr(C, "flights", lambda spark, sf_dir: flight_rows(spark, rows).repartition(3))
+    got = {r["volume"]: (r["rows"], r["minutes"]) for r in C.build_volumes_q(spark, SF_SMALL).collect()}
+    assert got == {10: (13, 33), 25: (33, 83), 50: (65, 165), 75: (98, 248), 100: (130, 330), 150: (195, 495)}
